@@ -1,0 +1 @@
+"""Transformations of DataFrames."""

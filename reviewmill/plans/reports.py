@@ -1,0 +1,26 @@
+"""The stored SQL reports, run over a view of the silver table."""
+
+from __future__ import annotations
+
+from importlib import resources
+
+from pyspark.sql import DataFrame
+
+SILVER_VIEW = "silver_reviews"
+
+
+def report_sql(name: str) -> str:
+    return resources.files("reviewmill.sql").joinpath(f"{name}.sql").read_text()
+
+
+def run_report(silver: DataFrame, name: str) -> DataFrame:
+    silver.createOrReplaceTempView(SILVER_VIEW)
+    return silver.sparkSession.sql(report_sql(name))
+
+
+def category_trend(silver: DataFrame) -> DataFrame:
+    return run_report(silver, "category_trend")
+
+
+def data_quality_report(silver: DataFrame) -> DataFrame:
+    return run_report(silver, "data_quality")
