@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from reviewmill.operators.features import review_features, silver_reviews
+from reviewmill.operators.layout import spread_to_cores
 from reviewmill.operators.normalise import keyed_reviews
 from reviewmill.operators.validation import valid_reviews
 from reviewmill.session import use_utc
@@ -23,5 +24,10 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver_reviews(valid(spark, sf_dir))
 
 
+def spread_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features for training, where one file of text would keep most cores idle."""
+    return review_features(spread_to_cores(valid(spark, sf_dir)))
+
+
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return review_features(valid(spark, sf_dir))

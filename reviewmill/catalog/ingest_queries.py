@@ -31,7 +31,7 @@ from reviewmill.operators.validation import (
     rejected_reviews,
     valid_reviews,
 )
-from reviewmill.plans.ingest import IngestTarget, Lineage, capped, ingest_metrics, run_ingest
+from reviewmill.plans.ingest import IngestTarget, Lineage, capped, run_ingest
 from reviewmill.schemas import MODEL_SCORE, REVIEW_COLUMNS
 from reviewmill.session import shared_folder, use_utc
 from reviewmill.sinks.tables import write_bronze, write_json, write_table
@@ -61,7 +61,10 @@ def src_row_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ingest_norm_a(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reviews(spark, sf_dir).select(*REVIEW_COLUMNS)
+    """Keyed records; ratings are still the text they arrive as."""
+    return reviews(spark, sf_dir).select(*REVIEW_COLUMNS).withColumn(
+        "stars", F.col("stars").cast("string")
+    )
 
 
 def ingest_norm_b(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,11 +134,10 @@ def ingest_metrics_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = IngestTarget(f"{folder}/bronze", f"{folder}/rejects", f"{folder}/metrics")
     lineage = Lineage("documents", "raw_review_documents")
     run_ingest(document_reviews(spark, sf_dir), "keyed", target, lineage)
-    stored = read_bronze(spark, target.bronze_path)
-    reported = spark.read.json(target.metrics_path).select(F.sum("rows_written")).scalar()
-    return ingest_metrics(stored, lineage, target).select(
+    stored = read_bronze(spark, target.bronze_path).agg(F.count("*")).scalar()
+    return spark.read.json(target.metrics_path).select(
         "dataset", "dataset_config", "split", "streaming", "rows_written",
-        reported.alias("rows_reported"),
+        stored.alias("rows_stored"),
     )
 
 
@@ -145,9 +147,9 @@ def ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = StreamTarget(
         f"{folder}/bronze", f"{folder}/rejects", f"{folder}/audit", f"{folder}/checkpoint"
     )
-    path = f"{sf_dir}/events.parquet"
-    schema = spark.read.parquet(path).schema
-    events = stream_feed(spark, path, "events", file_format="parquet", schema=schema)
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    pattern = f"{sf_dir}/events.parquet*"
+    events = stream_feed(spark, pattern, "events", file_format="parquet", schema=schema)
     start_ingest(events.select(*event_review_columns()), "raw", target).awaitTermination()
     return read_bronze(spark, target.bronze_path).select(*REVIEW_COLUMNS)
 
@@ -222,6 +224,7 @@ QUERIES = {
 }
 
 _COLUMNS = ", ".join(REVIEW_COLUMNS)
+_AS_TEXT = _COLUMNS.replace("stars", "CAST(stars AS VARCHAR) AS stars")
 _FIELDS = """concat_ws(',', CASE WHEN review_id IS NULL OR review_id = '' THEN 'review_id' END,
     CASE WHEN stars IS NULL THEN 'stars' END,
     CASE WHEN review_body IS NULL OR review_body = '' THEN 'review_body' END,
@@ -260,7 +263,7 @@ SELECT review_id, stars, review_date FROM valid
 ORDER BY ('0x' || substr(md5(review_id), 1, 13))::BIGINT, review_id LIMIT {ROW_CAP}""",
     "bronze_scan": f"{REVIEWS_TO_VALID} SELECT {_COLUMNS}, {_MONTHS} FROM valid",
     "metrics_flatten": f"{_rule('by_length', SCORED)} UNION ALL {_rule('by_score', _BY_SCORE)}",
-    "ingest_norm_a": f"WITH {DOCUMENT_REVIEWS} SELECT {_COLUMNS} FROM document_reviews",
+    "ingest_norm_a": f"WITH {DOCUMENT_REVIEWS} SELECT {_AS_TEXT} FROM document_reviews",
     "ingest_norm_b": f"{EVENT_REVIEWS} SELECT {_COLUMNS} FROM event_reviews",
     "ingest_missing": f"{_REJECTS} SELECT row_key, fields FROM rejects WHERE reason = '{MISSING}'",
     "ingest_stars_range": f"""{_REJECTS}
@@ -288,7 +291,7 @@ SELECT review_id, review_date, language, {_MONTHS} FROM valid""",
 SELECT language, {_MONTHS}, count(*) AS reviews FROM valid GROUP BY ALL""",
     "ingest_metrics": f"""{REVIEWS_TO_VALID}
 SELECT 'documents' AS dataset, 'raw_review_documents' AS dataset_config, 'full' AS split,
-  false AS streaming, count(*) AS rows_written, count(*) AS rows_reported FROM valid""",
+  false AS streaming, count(*) AS rows_written, count(*) AS rows_stored FROM valid""",
     "silver": f"""{REVIEWS_TO_SILVER}
 SELECT {_COLUMNS}, review_dt, is_positive, review_month_start FROM silver""",
 }

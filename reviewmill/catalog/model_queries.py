@@ -11,9 +11,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.catalog.common import features, valid
+from reviewmill.catalog.common import spread_features, valid
 from reviewmill.operators.features import scaling_input
-from reviewmill.operators.scoring import score_card
+from reviewmill.operators.layout import spread_to_cores
 from reviewmill.operators.splits import split_by_time
 from reviewmill.plans.baseline import fit_baseline, score_baseline
 from reviewmill.plans.scaling import fit_light
@@ -25,6 +25,7 @@ from reviewmill.plans.training import (
     comparison,
     fit_families,
     fitted_stages,
+    measure,
     scored,
     text_stages,
     whole_table,
@@ -42,22 +43,26 @@ def _nonzero(vector: str):
 
 
 def hashing_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = PipelineModel(text_stages(PROFILE.hash_buckets)).transform(features(spark, sf_dir))
+    rows = PipelineModel(text_stages(PROFILE.hash_buckets)).transform(spread_features(spark, sf_dir))
     used, total = _nonzero("tf")
     return rows.select("review_id", used.alias("used_buckets"), total.alias("tokens"))
 
 
 def feature_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = PipelineModel(text_stages(PROFILE.hash_buckets)).transform(features(spark, sf_dir))
+    rows = PipelineModel(text_stages(PROFILE.hash_buckets)).transform(spread_features(spark, sf_dir))
     vectors = Pipeline(stages=fitted_stages()).fit(rows).transform(rows)
     used, _ = _nonzero("features")
     size = F.size(vector_to_array("features"))
     return vectors.select("review_id", size.alias("dimensions"), used.alias("used_dimensions"))
 
 
+def _one_row(spark: SparkSession, metrics: dict[str, float]) -> DataFrame:
+    return spark.range(1).select(*[F.lit(value).alias(name) for name, value in metrics.items()])
+
+
 def _family(name: str):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        rows = features(spark, sf_dir)
+        rows = spread_features(spark, sf_dir)
         run = fit_families(rows, PROFILE, [name])
         table = comparison(rows, run.models)
         run.release()
@@ -68,7 +73,7 @@ def _family(name: str):
 
 def cv_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean AUC of every grid point of every family."""
-    run = fit_families(features(spark, sf_dir), PROFILE)
+    run = fit_families(spread_features(spark, sf_dir), PROFILE)
     run.release()
     rows = [(m.name, point, auc) for m in run.models for point, auc in m.cv_auc]
     return spark.createDataFrame(rows, "model string, params string, mean_auc double")
@@ -76,7 +81,7 @@ def cv_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def model_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The three families and the baseline on the same test rows."""
-    rows = features(spark, sf_dir)
+    rows = spread_features(spark, sf_dir)
     run = fit_families(rows, PROFILE)
     table = comparison(rows, [*run.models, baseline_model(rows, PROFILE)])
     run.release()
@@ -84,7 +89,7 @@ def model_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def best_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = features(spark, sf_dir)
+    rows = spread_features(spark, sf_dir)
     run = fit_families(rows, PROFILE)
     run.release()
     return best_by_metric(comparison(rows, run.models), families=FAMILIES)
@@ -92,22 +97,21 @@ def best_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of the newest reviews from the best family by test AUC."""
-    rows = features(spark, sf_dir)
+    rows = spread_features(spark, sf_dir)
     run = fit_families(rows, PROFILE)
     best = best_by_metric(comparison(rows, run.models)).first().model
     return scored(next(m.predictions for m in run.models if m.name == best))
 
 
 def model_ngram_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, _, test = split_by_time(features(spark, sf_dir))
-    return score_card(scored(score_baseline(fit_baseline(train), test)))
+    train, _, test = split_by_time(spread_features(spark, sf_dir))
+    return _one_row(spark, measure(score_baseline(fit_baseline(train), test)))
 
 
 def model_light(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fit the light model and report how well it separates the rows it was fitted on."""
-    rows = scaling_input(valid(spark, sf_dir))
-    fitted = fit_light(rows).transform(rows).withColumn("review_id", F.md5("text"))
-    return score_card(scored(fitted))
+    rows = scaling_input(spread_to_cores(valid(spark, sf_dir)))
+    return _one_row(spark, measure(fit_light(rows).transform(rows)))
 
 
 QUERIES = {

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewmill.functions.reviews import parsed_date
 from reviewmill.schemas import PARTITION_COLUMNS
 
+# Iterative fits start a task per partition in every iteration, so small tables get few.
+ROWS_PER_PARTITION = 2_000
+
 
 def with_month_partitions(reviews: DataFrame) -> DataFrame:
     day = parsed_date(F.col("review_date"))
@@ -28,6 +33,22 @@ def spread(rows: DataFrame, partitions: int) -> DataFrame:
     return rows.repartition(partitions)
 
 
+def spread_to_cores(
+    scanned: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION
+) -> DataFrame:
+    """Spread a scan that leaves cores idle although it has rows for them; leave others alone.
+
+    A table of many files has enough partitions: it is neither counted nor shuffled. Give this a
+    scan and not a plan with joins or aggregates, whose partitions are unknown before they run.
+    """
+    cores = scanned.sparkSession.sparkContext.defaultParallelism
+    partitions = scanned.rdd.getNumPartitions()
+    if partitions >= cores:
+        return scanned
+    wanted = min(cores, math.ceil(scanned.count() / rows_per_partition))
+    return scanned if partitions >= wanted else spread(scanned, wanted)
+
+
 def partition_sizes(rows: DataFrame) -> DataFrame:
     return rows.groupBy(F.spark_partition_id().alias("partition_id")).agg(
         F.count("*").alias("rows_in_partition")

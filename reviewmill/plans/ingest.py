@@ -6,13 +6,14 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewmill.operators.normalise import keyed_reviews, mixed_reviews, raw_reviews
 from reviewmill.operators.ordering import first_rows
 from reviewmill.operators.validation import rejected_reviews, valid_reviews
-from reviewmill.sinks.tables import write_bronze, write_json, write_log
+from reviewmill.sinks.tables import batch_path, write_bronze, write_json, write_log
+from reviewmill.sources.tables import path_exists
 
 NORMALISERS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "keyed": keyed_reviews,
@@ -62,14 +63,21 @@ def capped(valid: DataFrame, max_rows: int) -> DataFrame:
     return placed.drop("_position")
 
 
-def ingest_metrics(rows_written: DataFrame, lineage: Lineage, target: IngestTarget) -> DataFrame:
-    """One row: the lineage, the number of rows in ``rows_written``, and the paths."""
-    return rows_written.agg(F.count("*").alias("rows_written")).select(
-        *[F.lit(value).alias(name) for name, value in vars(lineage).items()],
-        "rows_written",
-        F.lit(target.bronze_path).alias("bronze_path"),
-        F.lit(target.rejects_path).alias("audit_log"),
-    )
+def stored_rows(spark: SparkSession, path: str) -> int:
+    return spark.read.parquet(path).count() if path_exists(spark, path) else 0
+
+
+def ingest_metrics(
+    spark: SparkSession, rows_written: int, lineage: Lineage, target: IngestTarget
+) -> DataFrame:
+    """One row: the lineage, the number of rows written, and the paths."""
+    values = {
+        **vars(lineage),
+        "rows_written": rows_written,
+        "bronze_path": target.bronze_path,
+        "audit_log": target.rejects_path,
+    }
+    return spark.range(1).select(*[F.lit(value).alias(name) for name, value in values.items()])
 
 
 def run_ingest(
@@ -82,20 +90,14 @@ def run_ingest(
 ) -> int:
     """Ingest one feed and return the number of rows written.
 
-    The count is observed while the rows are written, so it costs no second pass.
+    The stored files carry their row counts, so counting them reads no data.
     """
+    spark = records.sparkSession
+    stored = target.bronze_path if batch is None else batch_path(target.bronze_path, batch)
+    before = stored_rows(spark, stored) if batch is None else 0
     reviews = normalise(records, shape)
-    written = Observation("ingest")
-    valid = capped(valid_reviews(reviews), max_rows).observe(
-        written, F.count(F.lit(1)).alias("rows_written")
-    )
-    write_bronze(valid, target.bronze_path, batch)
+    write_bronze(capped(valid_reviews(reviews), max_rows), target.bronze_path, batch)
     write_log(rejected_reviews(reviews), target.rejects_path, batch)
-    rows = int(written.get["rows_written"])
-    spark = records.sparkSession
-    metrics = spark.createDataFrame(
-        [{**vars(lineage), "rows_written": rows, "bronze_path": target.bronze_path,
-          "audit_log": target.rejects_path}]
-    )
-    write_json(metrics, target.metrics_path)
+    rows = stored_rows(spark, stored) - before
+    write_json(ingest_metrics(spark, rows, lineage, target), target.metrics_path)
     return rows

@@ -8,8 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from reviewmill.operators.features import review_features, silver_reviews
+from reviewmill.operators.layout import spread_to_cores
 from reviewmill.operators.sampling import hash_sample
-from reviewmill.operators.scoring import score_card
 from reviewmill.operators.splits import split_by_time
 from reviewmill.plans.baseline import fit_baseline, score_baseline
 from reviewmill.plans.training import (
@@ -18,8 +18,8 @@ from reviewmill.plans.training import (
     best_by_metric,
     comparison,
     fit_families,
+    measure,
     metrics_record,
-    scored,
     stored_predictions,
 )
 from reviewmill.sinks.tables import write_json, write_table
@@ -41,7 +41,7 @@ def baseline_model(features: DataFrame, profile: Profile) -> TrainedModel:
     start = time.time()
     model = fit_baseline(train)
     predictions = score_baseline(model, test)
-    metrics = score_card(scored(predictions)).first().asDict()
+    metrics: dict[str, float] = measure(predictions)
     metrics["train_seconds"] = round(time.time() - start, 2)
     return TrainedModel(
         "ngram_logreg", model, "", [], predictions, score_baseline(model, valid), metrics
@@ -53,7 +53,7 @@ def run_training(
 ) -> list[TrainedModel]:
     """Train and store everything; the best family's predictions are the ones that are kept."""
     bronze = read_bronze(spark, bronze_path)
-    features = review_features(bronze)
+    features = review_features(spread_to_cores(bronze))
     run = fit_families(features, profile)
     for model in run.models:
         model.pipeline.write().overwrite().save(f"{target.model_dir}/{model.name}")

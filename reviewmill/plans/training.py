@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import time
-from collections import defaultdict
 from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 from multiprocessing.pool import ThreadPool
@@ -27,7 +26,7 @@ from pyspark.sql import functions as F
 
 from reviewmill.functions.draws import DEFAULT_SEED
 from reviewmill.operators.sampling import hash_sample, with_fold
-from reviewmill.operators.scoring import score_card
+from reviewmill.operators.scoring import accuracy, confusion, f1_binary, f1_weighted
 from reviewmill.operators.splits import split_by_time
 from reviewmill.operators.text_stats import OUTPUT_PREFIX, STATISTICS, TextStats
 from reviewmill.schemas import MODEL_METRICS
@@ -88,8 +87,8 @@ FAST = Profile(
 
 
 def whole_table(profile: Profile) -> Profile:
-    """The same settings without sampling."""
-    return replace(profile, sample_fraction=1.0)
+    """The same settings without sampling, and with folds running side by side."""
+    return replace(profile, sample_fraction=1.0, parallelism=max(2, profile.parallelism))
 
 
 def text_stages(hash_buckets: int) -> list:
@@ -181,48 +180,71 @@ def scored(predictions: DataFrame) -> DataFrame:
     )
 
 
-def _fit_grid(
-    estimator: Estimator, grid: list[dict], train: DataFrame, held: DataFrame, parallelism: int
-) -> list[float]:
-    """AUC of every grid point on the held-out fold; up to ``parallelism`` fits run at a time."""
-    evaluator = BinaryClassificationEvaluator(metricName="areaUnderROC")
+def measure(predictions: DataFrame) -> dict[str, float]:
+    """Exact AUC, both F1s and accuracy of predictions, which are computed once for all of them."""
+    rows = predictions.select("label", "prediction", "rawPrediction")
+    rows.persist(StorageLevel.MEMORY_AND_DISK)
+    cells = confusion(rows).select(
+        f1_weighted().alias("f1_weighted"),
+        f1_binary().alias("f1_binary"),
+        accuracy().alias("accuracy"),
+    )
+    # Without bins the evaluator sorts all distinct scores and does not thin out the curve.
+    auc = BinaryClassificationEvaluator(metricName="areaUnderROC", numBins=0).evaluate(rows)
+    metrics = {"auc": auc, **cells.first().asDict()}
+    rows.unpersist()
+    return metrics
 
-    def auc_of(point: dict) -> float:
-        return evaluator.evaluate(estimator.fit(train, point).transform(held))
 
-    with ThreadPool(max(1, min(parallelism, len(grid)))) as pool:
-        return pool.map(inheritable_thread_target(train.sparkSession)(auc_of), grid)
+def _validate_fold(
+    train: DataFrame, fold: int, families: list[str], profile: Profile
+) -> dict[str, tuple[list[float], float]]:
+    """AUC of every grid point of every family on one held-out fold, and each family's seconds.
+
+    The fold fits the term weights and the category index on its own training rows, once for all
+    families and grid points.
+    """
+    start = time.time()
+    evaluator = BinaryClassificationEvaluator(metricName="areaUnderROC")
+    kept, held = train.where(F.col("fold") != fold), train.where(F.col("fold") == fold)
+    features = Pipeline(stages=fitted_stages()).fit(kept)
+    kept_vectors = features.transform(kept).select("label", "features")
+    held_vectors = features.transform(held).select("label", "features")
+    kept_vectors.persist(StorageLevel.MEMORY_AND_DISK)
+    held_vectors.persist(StorageLevel.MEMORY_AND_DISK)
+    shared = time.time() - start
+    results = {}
+    for name in families:
+        start = time.time()
+        estimator, grid = classifier(name, profile)
+        aucs = [
+            evaluator.evaluate(estimator.fit(kept_vectors, point).transform(held_vectors))
+            for point in grid
+        ]
+        results[name] = (aucs, shared + time.time() - start)
+    kept_vectors.unpersist()
+    held_vectors.unpersist()
+    return results
 
 
 def cross_validate(
     train: DataFrame, families: list[str], profile: Profile
 ) -> tuple[dict[str, list[float]], dict[str, float]]:
-    """Mean AUC over the folds for every grid point of every family, and the seconds spent.
+    """Mean AUC over the folds for every grid point of every family, and each family's seconds.
 
-    Each fold fits the term weights and the category index on its own training rows, once for all
-    families and grid points.
+    Up to ``parallelism`` folds run at a time, so their small jobs share the cluster and no more
+    folds than that are cached.
     """
-    totals: dict[str, list[float]] = {}
-    seconds: dict[str, float] = defaultdict(float)
-    for fold in range(profile.folds):
-        start = time.time()
-        kept, held = train.where(F.col("fold") != fold), train.where(F.col("fold") == fold)
-        features = Pipeline(stages=fitted_stages()).fit(kept)
-        kept_vectors = features.transform(kept).select("label", "features")
-        held_vectors = features.transform(held).select("label", "features")
-        kept_vectors.persist(StorageLevel.MEMORY_AND_DISK)
-        held_vectors.persist(StorageLevel.MEMORY_AND_DISK)
-        shared = time.time() - start
-        for name in families:
-            start = time.time()
-            estimator, grid = classifier(name, profile)
-            aucs = _fit_grid(estimator, grid, kept_vectors, held_vectors, profile.parallelism)
-            so_far = totals.get(name, [0.0] * len(grid))
-            totals[name] = [a + b / profile.folds for a, b in zip(so_far, aucs)]
-            seconds[name] += shared + time.time() - start
-        kept_vectors.unpersist()
-        held_vectors.unpersist()
-    return totals, seconds
+    validate = inheritable_thread_target(train.sparkSession)(
+        lambda fold: _validate_fold(train, fold, families, profile)
+    )
+    with ThreadPool(max(1, min(profile.parallelism, profile.folds))) as pool:
+        folds = pool.map(validate, range(profile.folds))
+    mean_auc = {
+        name: [sum(aucs) / profile.folds for aucs in zip(*[fold[name][0] for fold in folds])]
+        for name in families
+    }
+    return mean_auc, {name: sum(fold[name][1] for fold in folds) for name in families}
 
 
 def fit_families(
@@ -252,9 +274,7 @@ def fit_families(
         best = max(range(len(grid)), key=lambda i: cv_auc[name][i])
         model: Model = estimator.fit(train_vectors, grid[best])
         predictions = model.transform(test_vectors)
-        rows_scored = scored(predictions).persist(StorageLevel.MEMORY_AND_DISK)
-        metrics = score_card(rows_scored).first().asDict()
-        rows_scored.unpersist()
+        metrics = measure(predictions)
         metrics["train_seconds"] = round(seconds[name] + shared + time.time() - start, 2)
         pipeline = PipelineModel([*text_stages(profile.hash_buckets), *learned.stages, model])
         trained.append(

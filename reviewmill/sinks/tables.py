@@ -10,6 +10,10 @@ from reviewmill.schemas import PARTITION_COLUMNS
 BATCH_FOLDER = "ingest_batch"
 
 
+def batch_path(path: str, batch: int) -> str:
+    return f"{path}/{BATCH_FOLDER}={batch}"
+
+
 def write_bronze(valid: DataFrame, path: str, batch: int | None = None) -> None:
     """Append valid reviews to their month folders.
 
@@ -20,8 +24,8 @@ def write_bronze(valid: DataFrame, path: str, batch: int | None = None) -> None:
     if batch is None:
         rows.write.mode("append").partitionBy(*PARTITION_COLUMNS).parquet(path)
     else:
-        target = f"{path}/{BATCH_FOLDER}={batch}"
-        rows.write.mode("overwrite").partitionBy(*PARTITION_COLUMNS).parquet(target)
+        folder = batch_path(path, batch)
+        rows.write.mode("overwrite").partitionBy(*PARTITION_COLUMNS).parquet(folder)
 
 
 def write_table(rows: DataFrame, path: str) -> None:
@@ -33,7 +37,7 @@ def write_log(rows: DataFrame, path: str, batch: int | None = None) -> None:
     if batch is None:
         rows.write.mode("append").json(path)
     else:
-        rows.write.mode("overwrite").json(f"{path}/{BATCH_FOLDER}={batch}")
+        rows.write.mode("overwrite").json(batch_path(path, batch))
 
 
 def write_json(rows: DataFrame, path: str) -> None:
