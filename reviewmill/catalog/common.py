@@ -25,7 +25,7 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def spread_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Features for training, where one file of text would keep most cores idle."""
+    """Features for work on the text, where a single file would keep most cores idle."""
     return review_features(spread_to_cores(valid(spark, sf_dir)))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.catalog.common import features, silver, valid
+from reviewmill.catalog.common import features, silver, spread_features, valid
 from reviewmill.catalog.oracle_views import REVIEWS_TO_FEATURES, REVIEWS_TO_SILVER
 from reviewmill.functions.draws import draw_hex, hex_threshold
 from reviewmill.operators.dashboards import business_insights, daily_volume, data_quality
@@ -84,7 +84,7 @@ def cv_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def text_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = TextStats().transform(features(spark, sf_dir))
+    rows = TextStats().transform(spread_features(spark, sf_dir))
     return rows.select("review_id", *[f"txt_{name}" for name in STATISTICS])
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.catalog.common import features, valid
+from reviewmill.catalog.common import spread_features, valid
 from reviewmill.catalog.oracle_views import (
     ACCURACY,
     AUC,
@@ -90,13 +90,13 @@ def eval_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tok_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = space_tokens(F.col("review_text"))
-    return features(spark, sf_dir).select(
+    return spread_features(spark, sf_dir).select(
         "review_id", F.size(tokens).alias("tokens"), F.md5(F.array_join(tokens, "|")).alias("digest")
     )
 
 
 def stopword_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = features(spark, sf_dir).select(
+    rows = spread_features(spark, sf_dir).select(
         "review_id", without_stop_words(space_tokens(F.col("review_text"))).alias("kept")
     )
     return rows.select(
@@ -105,16 +105,16 @@ def stopword_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def term_freq(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return terms.term_frequencies(features(spark, sf_dir), "review_id", "review_text")
+    return terms.term_frequencies(spread_features(spark, sf_dir), "review_id", "review_text")
 
 
 def idf_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    idf = terms.inverse_document_frequencies(features(spark, sf_dir), "review_text")
+    idf = terms.inverse_document_frequencies(spread_features(spark, sf_dir), "review_text")
     return idf.select("term", "doc_freq", _rounded("idf", "idf"))
 
 
 def tfidf_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    weights = terms.tf_idf(features(spark, sf_dir), "review_id", "review_text")
+    weights = terms.tf_idf(spread_features(spark, sf_dir), "review_id", "review_text")
     return weights.select("review_id", "term", "tf", _rounded("tfidf", "tfidf"))
 
 
@@ -123,7 +123,7 @@ def category_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ngram_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return terms.gram_vocabulary(features(spark, sf_dir), "review_text")
+    return terms.gram_vocabulary(spread_features(spark, sf_dir), "review_text")
 
 
 QUERIES = {

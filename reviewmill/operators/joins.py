@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reviewmill.session import written
+
 MAX_BROADCAST_ROWS = 100_000
 SALTS = 32
 HOT_SHARE = 1.0 / 1000
@@ -23,7 +25,11 @@ def lookup_join(
     spread_by: str,
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
-    """Broadcast the lookup where its measured size allows it, else join with salted keys."""
+    """Broadcast the lookup where its measured size allows it, else join with salted keys.
+
+    The lookup is derived once; its row count then comes from the files it was written to.
+    """
+    lookup = written(lookup, "lookup")
     if has_at_most(lookup, max_broadcast_rows):
         return facts.join(F.broadcast(lookup), key, "left")
     return salted_join(facts, lookup, key, spread_by)
@@ -46,8 +52,9 @@ def hot_key_join(
 
     A key is hot if it holds more than a thousandth of all facts. There can be at most a thousand
     such keys, so their list is small enough to broadcast. Only hot keys are salted and only their
-    lookup rows are repeated.
+    lookup rows are repeated. The lookup is used three times, so it is written once.
     """
+    lookup = written(lookup, "lookup")
     all_facts = lookup.agg(F.sum(weight).cast("double") * HOT_SHARE).scalar()
     flagged = lookup.withColumn("_hot", F.col(weight) > all_facts)
     hot_keys = flagged.where("_hot").select(key, F.lit(True).alias("_hot_key"))

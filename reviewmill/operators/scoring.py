@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewmill.operators.ordering import running_total
+from reviewmill.session import written
 
 # Worth of a true positive, cost of a false positive and of a false negative.
 PROFIT_TP, COST_FP, COST_FN = 3.0, 1.0, 2.0
@@ -69,6 +70,7 @@ def area_under_roc(scored: DataFrame, buckets: int | None = None) -> DataFrame:
     per_score = scored.groupBy("score").agg(
         F.count_if(positive).alias("positives"), F.count_if(~positive).alias("negatives")
     )
+    per_score = written(per_score, "scores")
     ranked = running_total(per_score, "score", F.col("negatives"), "upto", buckets=buckets)
     twice_below = 2 * F.col("upto") - F.col("negatives")
     totals = ranked.agg(

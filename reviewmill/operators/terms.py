@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from reviewmill.functions.text import STOP_WORDS, one_and_two_grams, space_tokens, words
 from reviewmill.operators.joins import hot_key_join
+from reviewmill.session import written
 
 # Size of the n-gram vocabulary and the least number of documents for a term.
 VOCABULARY_SIZE, MIN_DOCUMENTS = 50_000, 5
@@ -103,9 +104,8 @@ def category_index(reviews: DataFrame, column: str = "product_category") -> Data
     Values are counted first. The position is the number of values with a higher count plus the
     place among those with the same count, so no task sees all values.
     """
-    values = reviews.where(F.col(column).isNotNull()).groupBy(column).agg(
-        F.count("*").alias("reviews")
-    )
+    counts = reviews.where(F.col(column).isNotNull()).groupBy(column)
+    values = written(counts.agg(F.count("*").alias("reviews")), "categories")
     # A table of n rows has fewer than sqrt(2 n) different counts.
     higher = Window.orderBy(F.desc("reviews")).rowsBetween(Window.unboundedPreceding, -1)
     per_count = (

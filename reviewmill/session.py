@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that take effect on a session that is already running.
 RUNTIME_CONF = {
@@ -59,3 +59,15 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="reviewmill-")
     return f"{root.rstrip('/')}/reviewmill/{purpose}-{uuid.uuid4().hex}"
+
+
+def written(rows: DataFrame, purpose: str) -> DataFrame:
+    """Write a small derived table to the shared folder once and read it from there.
+
+    For tables that a plan uses several times and that are much smaller than their input: the input
+    is read once, a lost executor costs no recomputation, and the size of the files tells the
+    optimizer and the size checks how large the table really is.
+    """
+    folder = shared_folder(rows.sparkSession, purpose)
+    rows.write.parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
