@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from reviewmill.operators.features import review_features, silver_reviews
-from reviewmill.operators.layout import spread_to_cores
+from reviewmill.operators.layout import sized_for_work
 from reviewmill.operators.normalise import keyed_reviews
 from reviewmill.operators.validation import valid_reviews
 from reviewmill.session import use_utc
@@ -26,7 +26,7 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def spread_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Features for work on the text, where a single file would keep most cores idle."""
-    return review_features(spread_to_cores(valid(spark, sf_dir)))
+    return review_features(sized_for_work(valid(spark, sf_dir)))
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,18 +33,22 @@ def spread(rows: DataFrame, partitions: int) -> DataFrame:
     return rows.repartition(partitions)
 
 
-def spread_to_cores(
-    scanned: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION
+def sized_for_work(
+    scanned: DataFrame, kept: float = 1.0, rows_per_partition: int = ROWS_PER_PARTITION
 ) -> DataFrame:
-    """Spread a scan that leaves cores idle although it has rows for them; leave others alone.
+    """Give a scan a partition count that fits the share of its rows that was ``kept``.
 
-    A table of many files has enough partitions: it is neither counted nor shuffled. Give this a
-    scan and not a plan with joins or aggregates, whose partitions are unknown before they run.
+    A scan of many files has enough partitions: it is neither counted nor shuffled. Of a sample,
+    neighbouring partitions are merged without a shuffle, so that an iterative fit does not start
+    a task for every file split of the whole table. A scan that leaves cores idle although it has
+    rows for them is spread. Give this a scan with filters and not a plan with joins or aggregates,
+    whose partitions are unknown before they run.
     """
     cores = scanned.sparkSession.sparkContext.defaultParallelism
     partitions = scanned.rdd.getNumPartitions()
     if partitions >= cores:
-        return scanned
+        merged = max(cores, math.ceil(partitions * kept))
+        return scanned.coalesce(merged) if merged < partitions else scanned
     wanted = min(cores, math.ceil(scanned.count() / rows_per_partition))
     return scanned if partitions >= wanted else spread(scanned, wanted)
 

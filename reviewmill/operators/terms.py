@@ -89,10 +89,23 @@ def gram_vocabulary(
     size: int = VOCABULARY_SIZE,
     min_documents: int = MIN_DOCUMENTS,
 ) -> DataFrame:
-    """The most frequent terms among those that occur in enough documents."""
+    """The most frequent terms among those that occur in enough documents; ties go by name.
+
+    Before anything is sorted, terms that are too rare to be among the first ``size`` are filtered
+    out. The lowest count that can be needed follows from the number of terms per count, so a task
+    never has to sort or merge the whole vocabulary.
+    """
+    counts = gram_counts(documents, text).where(F.col("doc_freq") >= min_documents)
+    counts = written(counts, "grams")
+    # Texts of n words have fewer than sqrt(4 n) different term counts.
+    from_the_top = Window.orderBy(F.desc("total")).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    per_total = counts.groupBy("total").agg(F.count("*").alias("_terms"))
+    reached = per_total.select("total", F.sum("_terms").over(from_the_top).alias("_reached"))
+    lowest = reached.where(F.col("_reached") >= size).agg(F.max("total")).scalar()
     return (
-        gram_counts(documents, text)
-        .where(F.col("doc_freq") >= min_documents)
+        counts.where(F.col("total") >= F.coalesce(lowest, F.lit(0)))
         .orderBy(F.desc("total"), "term")
         .limit(size)
     )

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from reviewmill.operators.validation import rejected_reviews, valid_reviews
 from reviewmill.plans.ingest import IngestTarget, Lineage, normalise, run_ingest, union_feeds
 from reviewmill.schemas import REVIEW_COLUMNS
+from reviewmill.sinks.tables import write_bronze
 from reviewmill.sources.examples import document_reviews
 from reviewmill.sources.feeds import read_feed, read_mixed_json_feed, stream_feed
 from reviewmill.sources.tables import (
@@ -102,6 +103,24 @@ def test_a_repeated_micro_batch_leaves_its_rows_once(spark, tmp_path):
     assert read_rejects(spark, target.rejects_path).count() == rejected_reviews(reviews).count()
 
 
+def test_a_hot_month_is_split_over_several_files(spark, tmp_path):
+    """Nine rows in ten share a month; its folder must not be left to one task."""
+    rows = spark.range(20_000).select(
+        F.col("id").cast("string").alias("review_id"),
+        F.lit("en").alias("language"),
+        F.sha2(F.col("id").cast("string"), 512).alias("review_body"),
+        F.when(F.col("id") % 10 == 0, "2024-02-01").otherwise("2024-01-01").alias("review_date"),
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        write_bronze(rows.repartition(16), str(tmp_path / "hot"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = list((tmp_path / "hot").glob("language=en/review_year=2024/review_month=1/*.parquet"))
+    assert len(files) > 3
+    assert spark.read.parquet(str(tmp_path / "hot")).count() == 20_000
+
+
 MIXED = [
     {"review_id": "k1", "stars": 4, "review_body": "b", "review_date": "2024-01-03", "language": "de",
      "product_category": "c", "verified_purchase": "True"},

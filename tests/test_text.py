@@ -72,6 +72,9 @@ def test_gram_counts_match_brute_force(spark):
     }
     top = gram_vocabulary(frame(spark, texts), "t", size=2, min_documents=2).collect()
     assert [r.term for r in top] == ["red", "blue"]
+    for size in range(1, 9):
+        found = gram_vocabulary(frame(spark, texts), "t", size=size, min_documents=1).collect()
+        assert [r.term for r in found] == sorted(totals, key=lambda g: (-totals[g], g))[:size]
 
 
 def test_tf_idf_matches_brute_force(spark):
