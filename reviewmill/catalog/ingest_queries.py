@@ -260,7 +260,7 @@ SELECT user_id, asin, "timestamp", rating, text, title, verified_purchase,
   'raw_review_events' AS _dataset_config FROM event_feed""",
     "src_row_cap": f"""{REVIEWS_TO_VALID}
 SELECT review_id, stars, review_date FROM valid
-ORDER BY ('0x' || substr(md5(review_id), 1, 13))::BIGINT, review_id LIMIT {ROW_CAP}""",
+ORDER BY ('0x' || substr(md5(concat_ws('|', {_COLUMNS})), 1, 13))::BIGINT LIMIT {ROW_CAP}""",
     "bronze_scan": f"{REVIEWS_TO_VALID} SELECT {_COLUMNS}, {_MONTHS} FROM valid",
     "metrics_flatten": f"{_rule('by_length', SCORED)} UNION ALL {_rule('by_score', _BY_SCORE)}",
     "ingest_norm_a": f"WITH {DOCUMENT_REVIEWS} SELECT {_AS_TEXT} FROM document_reviews",

@@ -6,6 +6,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from reviewmill.session import written
+
 BUCKET = "_bucket"
 OFFSET = "_offset"
 
@@ -78,13 +80,31 @@ def first_rows(
 ) -> DataFrame:
     """The first ``count`` rows by a numeric key, all rows for 0.
 
-    A large count is cut by each row's running position instead of by a limit, because a limit
-    brings everything it keeps into one task.
+    A limit brings everything it keeps into one task. A large count is therefore cut at a key: rows
+    per key are counted, the running total shows the key at which the count is reached, and all rows
+    below it are kept by a plain filter. Only rows with that very key are counted off.
     """
     if count <= 0:
         return rows
     order = order_by or [F.col(key)]
     if count <= max_sorted_limit:
         return rows.orderBy(*order).limit(count)
-    placed = running_total(rows, key, F.lit(1).cast("bigint"), "_place", order)
-    return placed.where(F.col("_place") <= count).drop("_place")
+    per_key = written(rows.groupBy(key).agg(F.count("*").alias("_rows")), "keys")
+    placed = running_total(per_key, key, F.col("_rows"), "_upto")
+    at_cut = placed.where(F.col("_upto") >= count).orderBy(key).first()
+    if at_cut is None:
+        return rows
+    wanted = count - (at_cut["_upto"] - at_cut["_rows"])
+    below, same_key = rows.where(F.col(key) < at_cut[key]), rows.where(F.col(key) == at_cut[key])
+    return below.unionByName(_some_of(same_key, wanted, order, max_sorted_limit))
+
+
+def _some_of(rows: DataFrame, count: int, order: list[Column], max_sorted_limit: int) -> DataFrame:
+    """``count`` rows of a group; of many copies of one row, that row is repeated in parallel."""
+    if count > max_sorted_limit:
+        distinct = rows.distinct().limit(2)
+        if distinct.count() == 1:
+            copies = rows.sparkSession.range(count)
+            row = distinct.select(F.struct("*")).scalar()
+            return copies.select(row.alias("row")).select("row.*")
+    return rows.orderBy(*order).limit(count)

@@ -50,16 +50,16 @@ def union_feeds(feeds: list[DataFrame]) -> DataFrame:
 
 
 def capped(valid: DataFrame, max_rows: int) -> DataFrame:
-    """The first valid rows in the order of a digest of their key; all of them for 0.
+    """The first valid rows in the order of a digest of the row; all of them for 0.
 
-    A distributed scan has no arrival order, so the digest stands in for it. The whole row breaks
-    ties between reviews that share a key.
+    A distributed scan has no arrival order, so the digest stands in for it. It covers the whole row
+    and not just its id, because an id may belong to any number of rows.
     """
     if max_rows <= 0:
         return valid
-    position = F.conv(F.substring(F.md5("review_id"), 1, 13), 16, 10).cast("bigint")
-    order = [F.col("_position"), *[F.col(c) for c in valid.columns]]
-    placed = first_rows(valid.withColumn("_position", position), max_rows, "_position", order)
+    digest = F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in valid.columns]))
+    position = F.conv(F.substring(digest, 1, 13), 16, 10).cast("bigint")
+    placed = first_rows(valid.withColumn("_position", position), max_rows, "_position")
     return placed.drop("_position")
 
 

@@ -38,9 +38,21 @@ def test_first_rows_is_the_same_either_way(spark, limit):
     assert first_rows(rows, 0, "k").count() == 1000
 
 
+@pytest.mark.parametrize("limit", [0, 5, 1000])
+def test_first_rows_with_many_rows_per_key(spark, limit):
+    """Key 1 has a third of the rows, all of them copies of each other; key 2 has different rows."""
+    pairs = [(1, 0)] * 30 + [(2, i) for i in range(30)] + [(3, 0), (0, 0)]
+    rows = spark.createDataFrame(pairs, "k bigint, v bigint")
+    for count in [1, 20, 31, 40, 61, 62, 99]:
+        found = first_rows(rows, count, "k", [F.col("k"), F.col("v")], max_sorted_limit=limit)
+        assert sorted(map(tuple, found.collect())) == sorted(pairs)[:count]
+
+
 def test_capped_keeps_duplicated_reviews_apart(spark):
     rows = spark.createDataFrame([("same", i) for i in range(20)], "review_id string, n int")
-    assert sorted(r.n for r in capped(rows, 5).collect()) == [0, 1, 2, 3, 4]
+    kept = sorted(r.n for r in capped(rows, 5).collect())
+    assert len(set(kept)) == 5
+    assert sorted(r.n for r in capped(rows.repartition(3), 5).collect()) == kept
     assert capped(rows, 0).count() == 20
 
 
