@@ -193,7 +193,7 @@ def metrics_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_json(models.agg(F.collect_list(F.struct("*")).alias("models")), folder)
     return model_rows(read_model_metrics(spark, folder)).select(
         *[F.round(f.name, 9).alias(f.name) if f.name in names else f.name
-          for f in MODEL_SCORE.fields if f.name not in ("auc",)]
+          for f in MODEL_SCORE.fields if f.name not in ("auc", "valid_auc")]
     )
 
 

@@ -8,14 +8,20 @@ from pyspark.sql import functions as F
 from reviewmill.session import written
 
 MAX_BROADCAST_ROWS = 100_000
+MAX_KEY_BYTES = 32 * 1024 * 1024
 SALTS = 32
 HOT_SHARE = 1.0 / 1000
 SALT = "_salt"
 
 
-def has_at_most(rows: DataFrame, limit: int) -> bool:
-    """Whether a table has no more than ``limit`` rows, without counting the rest."""
-    return rows.limit(limit + 1).count() <= limit
+def fits_broadcast(
+    lookup: DataFrame, key: str, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_KEY_BYTES
+) -> bool:
+    """Whether a stored lookup has few enough rows and short enough keys to be sent everywhere."""
+    size = lookup.agg(
+        F.count("*").alias("rows"), F.coalesce(F.sum(F.octet_length(key)), F.lit(0)).alias("bytes")
+    ).first()
+    return size["rows"] <= max_rows and size["bytes"] <= max_bytes
 
 
 def lookup_join(
@@ -27,10 +33,10 @@ def lookup_join(
 ) -> DataFrame:
     """Broadcast the lookup where its measured size allows it, else join with salted keys.
 
-    The lookup is derived once; its row count then comes from the files it was written to.
+    The lookup is derived once and measured in the files it was written to.
     """
     lookup = written(lookup, "lookup")
-    if has_at_most(lookup, max_broadcast_rows):
+    if fits_broadcast(lookup, key, max_broadcast_rows):
         return facts.join(F.broadcast(lookup), key, "left")
     return salted_join(facts, lookup, key, spread_by)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewmill.functions.draws import DEFAULT_SEED
@@ -16,6 +16,8 @@ from reviewmill.operators.scoring import (
     expected_profit,
     f1_weighted,
 )
+from reviewmill.sinks.tables import write_json
+from reviewmill.sources.tables import read_predictions
 
 NOTES = "Scores come from rows newer than all training rows."
 
@@ -48,3 +50,12 @@ def evaluation_summary(
         profit.alias("business_metrics"),
         F.lit(NOTES).alias("notes"),
     )
+
+
+def run_evaluation(spark: SparkSession, predictions_path: str, out: str, **options) -> dict:
+    """Evaluate stored predictions, write the result, and return it."""
+    summary = evaluation_summary(
+        scored_from_store(read_predictions(spark, predictions_path)), **options
+    )
+    write_json(summary, out)
+    return spark.read.schema(summary.schema).json(out).first().asDict(recursive=True)

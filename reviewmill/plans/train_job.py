@@ -20,6 +20,7 @@ from reviewmill.plans.training import (
     fit_families,
     measure,
     metrics_record,
+    ranking_quality,
     stored_predictions,
 )
 from reviewmill.sinks.tables import write_json, write_table
@@ -49,8 +50,10 @@ def baseline_model(features: DataFrame, profile: Profile) -> TrainedModel:
     predictions = score_baseline(model, test)
     metrics: dict[str, float] = measure(predictions)
     metrics["train_seconds"] = round(time.time() - start, 2)
+    valid_predictions = score_baseline(model, valid)
+    metrics["valid_auc"] = ranking_quality(valid_predictions)
     return TrainedModel(
-        "ngram_logreg", model, "", [], predictions, score_baseline(model, valid), metrics
+        "ngram_logreg", model, "", [], predictions, valid_predictions, metrics
     )
 
 

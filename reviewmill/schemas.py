@@ -74,6 +74,7 @@ MODEL_SCORE = T.StructType(
         T.StructField("f1_weighted", T.DoubleType()),
         T.StructField("f1_binary", T.DoubleType()),
         T.StructField("accuracy", T.DoubleType()),
+        T.StructField("valid_auc", T.DoubleType()),
         T.StructField("train_seconds", T.DoubleType()),
     ]
 )

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from reviewmill.catalog.common import features, valid
 from reviewmill.plans import dashboards as export
 from reviewmill.plans.baseline import fit_baseline, with_grams
-from reviewmill.plans.evaluation import evaluation_summary, scored_from_store
+from reviewmill.plans.evaluation import run_evaluation
 from reviewmill.plans.scaling import run_scaling
 from reviewmill.plans.train_job import TrainingTarget, run_training
 from reviewmill.plans.training import (
@@ -22,6 +22,7 @@ from reviewmill.plans.training import (
     best_by_metric,
     classifier,
     cross_validate,
+    fast,
     scored,
     stored_predictions,
     training_rows,
@@ -41,10 +42,12 @@ def job(spark, tmp_path_factory):
     return path, target, run_training(spark, f"{path}/bronze", target, TINY)
 
 
-def test_grids():
+def test_grids(spark):
     sizes = {name: len(classifier(name, FULL)[1]) for name in FAMILIES}
     assert sizes == {"logreg": 4, "random_forest": 2, "linear_svc": 2}
     assert all(len(classifier(name, FAST)[1]) == 1 for name in FAMILIES)
+    assert fast(FULL) == FAST
+    assert fast(replace(FULL, sample_fraction=0.001)).sample_fraction == 0.001
     points = {tuple(sorted((p.name, v) for p, v in g.items())) for g in classifier("logreg", FULL)[1]}
     assert points == {(("elasticNetParam", e), ("regParam", r)) for e in (0.0, 0.5) for r in (0.01, 0.1)}
 
@@ -64,9 +67,11 @@ def test_stored_predictions_are_the_best_familys(spark, job):
     rows = stored.collect()
     assert rows and len({r.review_id for r in rows}) == len(rows)
     assert all((r.probability is None) == (best.name == "linear_svc") for r in rows)
-    summary = evaluation_summary(scored_from_store(stored)).first()
-    assert summary.auc == pytest.approx(best.metrics["auc"])
-    assert summary.f1 == pytest.approx(best.metrics["f1_weighted"])
+    summary = run_evaluation(spark, target.predictions_path, f"{job[0]}/evaluation", iterations=50)
+    assert summary["auc"] == pytest.approx(best.metrics["auc"])
+    assert summary["f1"] == pytest.approx(best.metrics["f1_weighted"])
+    assert 0.0 <= summary["bootstrap_accuracy_ci"]["low"] <= summary["bootstrap_accuracy_ci"]["high"]
+    assert summary["business_metrics"]["tp"] == sum(r.label == r.prediction == 1.0 for r in rows)
 
 
 def test_predictions_without_probability(spark, job):
@@ -101,9 +106,10 @@ def test_grid_points_share_folds(spark):
 
 
 def test_best_model_ignores_others_and_breaks_ties_by_name(spark):
-    rows = [("linear_svc", 0.7), ("logreg", 0.7), ("ngram_logreg", 0.9), ("random_forest", 0.6)]
-    table = spark.createDataFrame(rows, "model string, auc double")
+    rows = [("linear_svc", 0.7, 0.1), ("logreg", 0.7, 0.2), ("ngram_logreg", 0.9, 0.9)]
+    table = spark.createDataFrame(rows, "model string, auc double, valid_auc double")
     assert best_by_metric(table).first().model == "linear_svc"
+    assert best_by_metric(table, "valid_auc").first().model == "logreg"
 
 
 def test_baseline_weights_and_penalty_match_the_formula(spark):
