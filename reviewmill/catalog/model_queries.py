@@ -30,6 +30,7 @@ from reviewmill.plans.training import (
     text_stages,
     whole_table,
 )
+from reviewmill.session import written
 
 PROFILE = whole_table(FAST)
 
@@ -100,7 +101,9 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spread_features(spark, sf_dir)
     run = fit_families(rows, PROFILE)
     best = best_by_metric(comparison(rows, run.models)).first().model
-    return scored(next(m.predictions for m in run.models if m.name == best))
+    table = written(scored(next(m.predictions for m in run.models if m.name == best)), "predictions")
+    run.release()
+    return table
 
 
 def model_ngram_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
