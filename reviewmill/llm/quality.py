@@ -16,7 +16,7 @@ from reviewmill.session import written
 
 # A line is boilerplate if more different documents of its host have it than both limits say.
 LIMIT_DOCS = 20
-LIMIT_SHARE = 0.2
+LIMIT_SHARE = 0.08
 # A document is depleted if boilerplate held more than this share of its words.
 DEPLETED_SHARE = 0.7
 MIN_WORDS = 50
@@ -258,7 +258,7 @@ WITH t AS (
   SELECT source, count(DISTINCT md5(text)) AS docs FROM t GROUP BY source
 ), frequent AS (
   SELECT source, norm FROM worded JOIN hosts USING (source) GROUP BY source, norm, docs
-  HAVING count(DISTINCT content) > 20 AND count(DISTINCT content) > docs * 0.2
+  HAVING count(DISTINCT content) > 20 AND count(DISTINCT content) > docs * 0.08
 ), removed AS (
   SELECT doc_id, sum(n) AS n FROM worded JOIN frequent USING (source, norm) GROUP BY doc_id
 ), counts AS (
