@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from reviewmill.llm import exact_dedup, mixing, quality
+from reviewmill.llm import exact_dedup, line_dedup, minhash, mixing, quality
 
-MODULES = [exact_dedup, mixing, quality]
+MODULES = [line_dedup, mixing, quality, minhash, exact_dedup]
 
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}
