@@ -96,6 +96,13 @@ class Vocabulary:
         self.pairs, self.rank = pairs[order], order.astype(np.int32)
         self.merged = np.array([ids[a + b] for a, b in merges], dtype=np.int32)
 
+    @classmethod
+    def of(cls, arrays: dict) -> Vocabulary:
+        """The vocabulary with these attributes; what is broadcast is plain arrays."""
+        made = cls.__new__(cls)
+        made.__dict__.update(arrays)
+        return made
+
     def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The rank of each pair of ids; ``NO_RANK`` where no merge joins them."""
         wanted = left.astype(np.int64) * PAIR + right
@@ -328,11 +335,11 @@ def bpe_encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text")
     added names are replaced, all others stay. Repeated rows stay repeated. An empty table gives an
     empty result.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    sent = docs.sparkSession.sparkContext.broadcast(vars(vocabulary))
     rows = without(docs, ADDED)
 
     def encode(batches):
-        encoder = Encoder(sent.value)
+        encoder = Encoder(Vocabulary.of(sent.value))
         for batch in batches:
             tokens, counts = [], []
             for group in text_groups(batch.column(text_col).to_pylist()):
@@ -354,13 +361,14 @@ def bpe_decode(
     rows: DataFrame, vocabulary: Vocabulary, out_col: str = "decoded_text"
 ) -> DataFrame:
     """Add the text of the ids in ``tokens``; null where there are no ids but null."""
-    sent = rows.sparkSession.sparkContext.broadcast(vocabulary)
+    sent = rows.sparkSession.sparkContext.broadcast(vars(vocabulary))
     rest = without(rows, [out_col])
 
     def spell(batches):
+        known = Vocabulary.of(sent.value)
         for batch in batches:
             texts = [
-                None if t is None else decode(sent.value, np.frombuffer(t, dtype="<u4"))
+                None if t is None else decode(known, np.frombuffer(t, dtype="<u4"))
                 for t in batch.column("tokens").to_pylist()
             ]
             yield pa.RecordBatch.from_arrays(
@@ -373,10 +381,10 @@ def bpe_decode(
 
 def token_lengths(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text") -> DataFrame:
     """The number of tokens of each text and nothing else."""
-    sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    sent = docs.sparkSession.sparkContext.broadcast(vars(vocabulary))
 
     def count(batches):
-        encoder = Encoder(sent.value)
+        encoder = Encoder(Vocabulary.of(sent.value))
         for batch in batches:
             counts = []
             for group in text_groups(batch.column(0).to_pylist()):

@@ -47,7 +47,7 @@ def source_rates(docs: DataFrame, text_col: str, source_col: str, temper: float,
         weighed = sizes.join(wanted, "_source", "left").fillna(0.0, ["_weight"])
     sums = sizes.agg(F.sum("_size")).scalar().cast("double")
     total = weighed.agg(F.sum("_weight")).scalar()
-    rate = F.col("_weight") / total * sums / F.col("_size")
+    rate = F.coalesce(F.try_divide(F.col("_weight"), total), F.lit(0.0)) * sums / F.col("_size")
     return weighed.select(
         "_source", F.when(F.col("_size") > 0, rate).otherwise(F.lit(1.0)).alias("_rate")
     )

@@ -2,9 +2,21 @@
 
 from __future__ import annotations
 
-from reviewmill.llm import exact_dedup, line_dedup, minhash, mixing, quality
+from reviewmill.llm import (
+    bpe,
+    exact_dedup,
+    html_text,
+    line_dedup,
+    minhash,
+    mixing,
+    quality,
+    token_counts,
+    url_reputation,
+)
 
-MODULES = [line_dedup, mixing, quality, minhash, exact_dedup]
+MODULES = [
+    line_dedup, bpe, mixing, quality, minhash, url_reputation, html_text, token_counts, exact_dedup,
+]
 
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}
