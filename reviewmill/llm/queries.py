@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from reviewmill.llm import (
     bpe,
+    class_lm,
     exact_dedup,
     html_text,
     line_dedup,
@@ -15,7 +16,8 @@ from reviewmill.llm import (
 )
 
 MODULES = [
-    line_dedup, bpe, mixing, quality, minhash, url_reputation, html_text, token_counts, exact_dedup,
+    line_dedup, bpe, mixing, quality, minhash, url_reputation, html_text, token_counts, class_lm,
+    exact_dedup,
 ]
 
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
