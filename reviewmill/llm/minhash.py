@@ -98,16 +98,10 @@ def alike(a: str, b: str, at_least: float) -> Column:
     return agree(a, b)
 
 
-def wanted_rows(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Key and text of the rows that may be among ``nodes``, found without moving any text.
-
-    A bitmap of fixed size tells where to look; a bit set by chance lets a needless row through.
-    """
-    def place() -> Column:
-        return F.pmod(F.xxhash64("_id", "_th"), F.lit(BITMAP_BITS))
-
+def marks(nodes: DataFrame) -> np.ndarray:
+    """A bitmap of fixed size with a bit for each of the nodes (``_id``, ``_th``)."""
     words = (
-        nodes.select(place().alias("at"))
+        nodes.select(_place().alias("at"))
         .select((F.col("at") / 64).cast("int").alias("word"),
                 (F.col("at") % 64).cast("int").alias("place"))
         .groupBy("word")
@@ -116,15 +110,42 @@ def wanted_rows(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str) -
     )
     bits = np.zeros(BITMAP_BITS // 64, dtype=np.int64)
     bits[words["word"].to_numpy()] = words["bits"].to_numpy()
-    shared = docs.sparkSession.sparkContext.broadcast(bits)
+    return bits
 
-    @F.pandas_udf("boolean")
-    def marked(at: pd.Series) -> pd.Series:
-        at = at.to_numpy()
-        return pd.Series((shared.value[at >> 6] >> (at & 63)) & 1 == 1)
 
-    texts = docs.select(*row_key(id_col, text_col), F.col(text_col).alias("_text"))
-    return texts.where(marked(place())).select("_id", "_th", text_of("_text").alias("_text"))
+def _place() -> Column:
+    return F.pmod(F.xxhash64("_id", "_th"), F.lit(BITMAP_BITS))
+
+
+def of_wanted_texts(
+    docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, make, column: str, kind: str
+) -> DataFrame:
+    """``make()(text)`` for the rows that are among ``nodes``, once per node.
+
+    No text is shuffled to find the rows: a bitmap of fixed size tells where to look. A bit set by
+    chance lets a needless row through, which the join with the nodes drops.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(marks(nodes))
+    types = {"string": pa.string(), "binary": pa.binary()}
+
+    def pick(batches):
+        bits, made = shared.value, make()
+        for batch in batches:
+            at = batch.column("_at").to_numpy()
+            batch = batch.filter(pa.array((bits[at >> 6] >> (at & 63)) & 1 == 1))
+            for part in slices(batch):
+                values = [made(text) for text in part.column("_text").to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("_id"), part.column("_th"), pa.array(values, types[kind])],
+                    names=["_id", "_th", column],
+                )
+
+    texts = docs.select(*row_key(id_col, text_col), text_of(text_col).alias("_text")).select(
+        "_id", "_th", _place().alias("_at"), "_text"
+    )
+    found = texts.mapInArrow(pick, f"_id bigint, _th bigint, {column} {kind}")
+    only = found.join(nodes, ["_id", "_th"], "left_semi").dropDuplicates(["_id", "_th"])
+    return only.select(node().alias("_node"), column)
 
 
 def confirmed(docs: DataFrame, pairs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
@@ -132,8 +153,9 @@ def confirmed(docs: DataFrame, pairs: DataFrame, id_col: str, text_col: str, wor
     pairs = written(pairs, "minhash-pairs")
     nodes = pairs.select("a.*").union(pairs.select("b.*")).distinct().toDF("_id", "_th")
     nodes = written(nodes, "minhash-nodes")
-    texts = wanted_rows(docs, nodes, id_col, text_col).join(nodes, ["_id", "_th"], "left_semi")
-    texts = texts.dropDuplicates(["_id", "_th"]).select(node().alias("_node"), "_text")
+    texts = of_wanted_texts(
+        docs, nodes, id_col, text_col, lambda: lambda text: text, "_text", "string"
+    )
     left = texts.select(F.col("_node").alias("a"), F.col("_text").alias("_one"))
     right = texts.select(F.col("_node").alias("b"), F.col("_text").alias("_two"))
 
@@ -156,12 +178,18 @@ def confirmed(docs: DataFrame, pairs: DataFrame, id_col: str, text_col: str, wor
     )
 
 
+def shared_buckets(standing: DataFrame) -> DataFrame:
+    """Members of the buckets that hold more than one of the representatives."""
+    buckets = standing.select("_node", "_n", F.explode("_bands").alias("_bucket"))
+    several = buckets.groupBy("_bucket").agg(F.count("*").alias("_members")).where("_members > 1")
+    several = written(several.select("_bucket"), "minhash-several")
+    return written(buckets.join(several, "_bucket"), "minhash-buckets")
+
+
 def leader_pairs(buckets: DataFrame, sigs: DataFrame) -> DataFrame:
     """Each member of a bucket with the bucket's first member, if sizes and signatures allow."""
     leaders = written(
-        buckets.groupBy("_bucket").agg(F.min(F.struct("_node", "_n")).alias("_first"),
-                                       F.count("*").alias("_members"))
-        .where("_members > 1").select("_bucket", "_first"),
+        buckets.groupBy("_bucket").agg(F.min(F.struct("_node", "_n")).alias("_first")),
         "minhash-leaders",
     )
     pairs = (
@@ -202,25 +230,13 @@ def block_pairs(
                                                       F.col("_node.th").alias("_th"))
     nodes = written(nodes, "minhash-open")
 
-    def sign(batches):
+    def fine_signature():
         hashes, family = WordHashes(), hash_family(FINE, SEED + 1)
-        for batch in batches:
-            for part in slices(batch):
-                made = [
-                    minima(shingle_set(text, words, hashes), family).astype(np.uint8).tobytes()
-                    for text in part.column("_text").to_pylist()
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("_id"), part.column("_th"), pa.array(made, pa.binary())],
-                    names=["_id", "_th", "_fine"],
-                )
+        return lambda text: (
+            minima(shingle_set(text, words, hashes), family).astype(np.uint8).tobytes()
+        )
 
-    fine = (
-        wanted_rows(docs, nodes, id_col, text_col)
-        .mapInArrow(sign, "_id bigint, _th bigint, _fine binary")
-        .dropDuplicates(["_id", "_th"])
-        .select(node().alias("_node"), "_fine")
-    )
+    fine = of_wanted_texts(docs, nodes, id_col, text_col, fine_signature, "_fine", "binary")
     own = F.pmod(F.xxhash64("_node"), F.col("_blocks")).cast("int")
     dealt = (
         members.join(written(fine, "minhash-fine"), "_node")
@@ -292,7 +308,7 @@ def near_duplicates(
         .select("_node", "_n", "_bands", "_sig"),
         "minhash-representatives",
     )
-    buckets = standing.select("_node", "_n", F.explode("_bands").alias("_bucket"))
+    buckets = shared_buckets(standing)
     links = confirmed(docs, leader_pairs(buckets, standing.select("_node", "_sig")),
                       id_col, text_col, words)
     roots = written(components(links), "minhash-roots")

@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 # Words of the cache that turns a word into its hash; beyond that it starts anew.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 100_000
 MIX_1, MIX_2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -61,8 +61,8 @@ def minima(shingles: np.ndarray, family: tuple[np.ndarray, np.ndarray]) -> np.nd
     """
     factors, summands = family
     low = np.full(len(factors), np.iinfo(np.uint32).max, dtype=np.uint32)
-    for start in range(0, len(shingles), 512):
-        piece = shingles[start : start + 512]
+    for start in range(0, len(shingles), 256):
+        piece = shingles[start : start + 256]
         hashed = ((piece[None, :] * factors[:, None] + summands[:, None]) >> np.uint64(32)).astype(
             np.uint32
         )
