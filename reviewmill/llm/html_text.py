@@ -18,8 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewmill.llm.common import table, text_of, without
-from reviewmill.llm.minhash import slices
+from reviewmill.llm.common import slices, table, text_of, without
 
 SIGMA = 1.0
 RADIUS = 2

@@ -15,8 +15,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewmill.llm.common import packed, row_key, table, text_of, without
-from reviewmill.llm.minhash import node, slices
+from reviewmill.llm.common import packed, row_key, slices, table, text_of, without
+from reviewmill.llm.minhash import node
 from reviewmill.session import written
 
 MIN_WORDS = 50
@@ -192,7 +192,9 @@ def line_dedup(
                 kept_ranges(F.col("_removed"), F.col("_total")).alias("_kept")),
         "line-kept",
     )
-    joined = packed(rows, id_col, text_col).join(removed, ["_id", "_th"], "left")
+    joined = packed(rows, id_col, text_col).join(
+        removed.hint("merge"), ["_id", "_th"], "left"
+    )
     text = F.col("_row").getField(text_col)
     split = F.split(text, "\n")
     left = F.flatten(
