@@ -5,10 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.catalog.common import features, silver, spread_features, valid
-from reviewmill.catalog.oracle_views import REVIEWS_TO_FEATURES, REVIEWS_TO_SILVER
+from reviewmill.catalog.common import features, reviews, silver, spread_features, valid
+from reviewmill.catalog.oracle_views import (
+    DOCUMENT_REVIEWS,
+    REVIEWS_TO_FEATURES,
+    REVIEWS_TO_SILVER,
+)
 from reviewmill.functions.draws import draw_hex, hex_threshold
-from reviewmill.operators.dashboards import business_insights, daily_volume, data_quality
+from reviewmill.operators.dashboards import (
+    business_insights,
+    category_days,
+    category_trend,
+    daily_volume,
+    data_quality,
+    data_quality_report,
+)
 from reviewmill.operators.features import (
     category_dimension,
     join_category,
@@ -19,7 +30,6 @@ from reviewmill.operators.ordering import first_rows
 from reviewmill.operators.sampling import growing_fractions, hash_sample, with_fold
 from reviewmill.operators.splits import split_sizes, time_cuts, with_split
 from reviewmill.operators.text_stats import STATISTICS, TextStats
-from reviewmill.plans.reports import category_trend, data_quality_report
 from reviewmill.plans.scaling import BASE_FRACTION, PARTITIONS
 from reviewmill.session import use_utc
 from reviewmill.sources.examples import event_reviews, line_reviews
@@ -89,20 +99,21 @@ def text_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dash_data_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return data_quality(silver(spark, sf_dir))
+    """Over the reviews as they arrive: after validation nothing is missing."""
+    return data_quality(reviews(spark, sf_dir))
 
 
 def dash_daily_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return daily_volume(silver(spark, sf_dir))
+    return daily_volume(category_days(silver(spark, sf_dir)))
 
 
 def dash_business_insights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return business_insights(silver(spark, sf_dir))
+    return business_insights(category_days(silver(spark, sf_dir)))
 
 
 def dash_business_insights_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same table over the order lines, for volume."""
-    return business_insights(silver_reviews(line_reviews(use_utc(spark), sf_dir)))
+    return business_insights(category_days(silver_reviews(line_reviews(use_utc(spark), sf_dir))))
 
 
 def _dated(trend: DataFrame) -> DataFrame:
@@ -110,16 +121,18 @@ def _dated(trend: DataFrame) -> DataFrame:
 
 
 def sql_category_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _dated(category_trend(silver(spark, sf_dir)))
+    return _dated(category_trend(category_days(silver(spark, sf_dir))))
 
 
 def sql_category_trend_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same report over the order lines, for volume."""
-    return _dated(category_trend(silver_reviews(line_reviews(use_utc(spark), sf_dir))))
+    lines = silver_reviews(line_reviews(use_utc(spark), sf_dir))
+    return _dated(category_trend(category_days(lines)))
 
 
 def sql_data_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return data_quality_report(silver(spark, sf_dir))
+    """Over the reviews as they arrive."""
+    return data_quality_report(reviews(spark, sf_dir))
 
 
 QUERIES = {
@@ -200,21 +213,17 @@ SELECT review_id,
     ELSE length(regexp_replace(review_text, '[^A-Z]', '', 'g'))::DOUBLE / length(review_text)
     END AS txt_upper_ratio
 FROM features""",
-    "dash_data_quality": f"""{REVIEWS_TO_SILVER}
-SELECT count(*) AS rows_total,
-  count(*) FILTER (review_body IS NULL OR review_body = '') AS null_review_body,
-  count(*) FILTER (stars IS NULL) AS null_stars FROM silver""",
+    "dash_data_quality": f"""WITH {DOCUMENT_REVIEWS}
+SELECT count(*) AS rows_total, count(*) - count(nullif(review_body, '')) AS null_review_body,
+  count(*) - count(stars) AS null_stars FROM document_reviews""",
     "dash_daily_volume": f"""{REVIEWS_TO_SILVER}
 SELECT review_dt AS review_day, count(*) AS reviews_count FROM silver GROUP BY 1""",
     "dash_business_insights": f"{REVIEWS_TO_SILVER} {_INSIGHTS} FROM silver GROUP BY 1, 2",
     "dash_business_insights_lines": f"{_LINES} {_INSIGHTS} FROM line_reviews GROUP BY 1, 2",
     "sql_category_trend": f"{REVIEWS_TO_SILVER} {_TREND} FROM silver GROUP BY 1, 2",
     "sql_category_trend_lines": f"{_LINES} {_TREND} FROM line_reviews GROUP BY 1, 2",
-    "sql_data_quality": f"""{REVIEWS_TO_SILVER}
-SELECT count(*) AS rows_total,
-  CAST(sum(CASE WHEN review_body IS NULL OR review_body = '' THEN 1 ELSE 0 END) AS BIGINT)
-    AS null_body,
-  CAST(sum(CASE WHEN stars IS NULL OR stars NOT BETWEEN 1 AND 5 THEN 1 ELSE 0 END) AS BIGINT)
-    AS invalid_stars
-FROM silver""",
+    "sql_data_quality": f"""WITH {DOCUMENT_REVIEWS}
+SELECT count(*) AS rows_total, count(*) - count(nullif(review_body, '')) AS null_body,
+  count(*) - count(*) FILTER (stars IN (1, 2, 3, 4, 5)) AS invalid_stars
+FROM document_reviews""",
 }

@@ -18,9 +18,11 @@ from reviewmill.catalog.oracle_views import (
     REVIEWS_TO_SILVER,
     REVIEWS_TO_VALID,
     SCORED,
+    VALID,
 )
 from reviewmill.operators.layout import partition_sizes, spread, with_month_partitions
 from reviewmill.operators.normalise import keyed_reviews, raw_reviews
+from reviewmill.operators.ordering import first_rows
 from reviewmill.operators.scoring import score_card
 from reviewmill.operators.validation import (
     INVALID,
@@ -112,7 +114,7 @@ def ingest_part_cols(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(use_utc(spark), "bronze")
-    write_bronze(valid(spark, sf_dir), folder)
+    write_bronze(valid(spark, sf_dir), folder, "documents")
     return read_bronze(spark, folder)
 
 
@@ -141,16 +143,20 @@ def ingest_metrics_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    pattern = f"{sf_dir}/events.parquet*"
+    events = stream_feed(spark, pattern, "events", file_format="parquet", schema=schema)
+    return events.select(*event_review_columns())
+
+
 def ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ingest the event feed as a stream and read back what it stored."""
     folder = shared_folder(use_utc(spark), "stream")
     target = StreamTarget(
         f"{folder}/bronze", f"{folder}/rejects", f"{folder}/audit", f"{folder}/checkpoint"
     )
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    pattern = f"{sf_dir}/events.parquet*"
-    events = stream_feed(spark, pattern, "events", file_format="parquet", schema=schema)
-    start_ingest(events.select(*event_review_columns()), "raw", target).awaitTermination()
+    start_ingest(_event_stream(spark, sf_dir), "raw", target).awaitTermination()
     return read_bronze(spark, target.bronze_path).select(*REVIEW_COLUMNS)
 
 
@@ -171,6 +177,58 @@ def ingest_batch_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def ingest_batch_then_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as a batch and events as a stream in one table; rows per language and category."""
+    folder = shared_folder(use_utc(spark), "both")
+    batch = IngestTarget(f"{folder}/bronze", f"{folder}/rejects", f"{folder}/metrics")
+    run_ingest(document_reviews(spark, sf_dir), "keyed", batch, Lineage("documents", "documents"))
+    stream = StreamTarget(
+        batch.bronze_path, batch.rejects_path, f"{folder}/audit", f"{folder}/checkpoint"
+    )
+    start_ingest(_event_stream(spark, sf_dir), "raw", stream).awaitTermination()
+    stored = read_bronze(spark, batch.bronze_path)
+    return stored.groupBy("language", "product_category").agg(
+        F.count("*").alias("reviews"), F.sum("stars").alias("stars")
+    )
+
+
+def _odd_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event reviews, some with times in micro- or nanoseconds or before 1970."""
+    time = F.col("timestamp")
+    kind = F.col("row_key").cast("bigint") % 7
+    odd = (
+        F.when(kind == 0, time * 1_000).when(kind == 1, time * 1_000_000).when(kind == 2, -time)
+        .otherwise(time)
+    )
+    return raw_reviews(event_reviews(use_utc(spark), sf_dir).withColumn("timestamp", odd))
+
+
+def ingest_bad_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Valid rows and rejects of a feed with times in other units, by outcome and year."""
+    rows = _odd_times(spark, sf_dir)
+    year = F.year(F.to_date("review_date"))
+    stored = valid_reviews(rows).select(F.lit("valid").alias("outcome"), year.alias("year"))
+    rejects = rejected_reviews(rows).select(
+        F.array_join("fields", ",").alias("outcome"), F.lit(0).alias("year")
+    )
+    return stored.unionByName(rejects).groupBy("outcome", "year").agg(F.count("*").alias("rows"))
+
+
+def row_cap_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row caps on a key with nulls and many rows per value, small and nearly the whole table."""
+    rows = event_reviews(use_utc(spark), sf_dir).select(
+        F.col("row_key").cast("bigint").alias("event_id"),
+        F.when(F.col("rating") > 1, F.col("rating")).alias("rating"),
+    )
+    caps = {"small": 100, "large": rows.count() - 100}
+    parts = [
+        first_rows(rows, cap, "rating").groupBy("rating").agg(F.count("*").alias("rows"))
+        .withColumn("cap", F.lit(name))
+        for name, cap in caps.items()
+    ]
+    return parts[0].unionByName(parts[1])
+
+
 def silver_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the silver table and read it back."""
     folder = shared_folder(use_utc(spark), "silver")
@@ -198,7 +256,15 @@ def metrics_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def partition_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return partition_sizes(spread(valid(spark, sf_dir), SPREAD_PARTITIONS))
+    """Number of partitions, rows in all, and whether no partition has far more than its share."""
+    sizes = partition_sizes(spread(valid(spark, sf_dir), SPREAD_PARTITIONS))
+    rows = F.sum("rows_in_partition")
+    share = rows / SPREAD_PARTITIONS
+    return sizes.agg(
+        F.count("*").cast("int").alias("partitions"),
+        rows.alias("rows"),
+        (F.max("rows_in_partition") <= share * 1.2 + SPREAD_PARTITIONS).alias("even"),
+    )
 
 
 QUERIES = {
@@ -221,6 +287,9 @@ QUERIES = {
     "ingest_metrics": ingest_metrics_row,
     "silver": silver_table,
     "partition_balance": partition_balance,
+    "ingest_batch_then_stream": ingest_batch_then_stream,
+    "ingest_bad_timestamps": ingest_bad_timestamps,
+    "row_cap_nulls": row_cap_nulls,
 }
 
 _COLUMNS = ", ".join(REVIEW_COLUMNS)
@@ -292,6 +361,25 @@ SELECT language, {_MONTHS}, count(*) AS reviews FROM valid GROUP BY ALL""",
     "ingest_metrics": f"""{REVIEWS_TO_VALID}
 SELECT 'documents' AS dataset, 'raw_review_documents' AS dataset_config, 'full' AS split,
   false AS streaming, count(*) AS rows_written, count(*) AS rows_stored FROM valid""",
+    "ingest_batch_then_stream": f"""{EVENT_REVIEWS}, {DOCUMENT_REVIEWS}, {CHECKED}, {VALID},
+every AS (SELECT language, product_category, stars FROM valid UNION ALL
+  SELECT language, product_category, CAST(stars AS INTEGER) FROM event_reviews)
+SELECT language, product_category, count(*) AS reviews, CAST(sum(stars) AS BIGINT) AS stars
+FROM every GROUP BY ALL""",
+    "ingest_bad_timestamps": f"""WITH {EVENT_FEED},
+odd AS (SELECT CASE event_id % 7 WHEN 0 THEN 'review_date' WHEN 1 THEN 'review_date' ELSE 'valid'
+    END AS outcome, CASE WHEN event_id % 7 > 1 THEN CAST(year(make_timestamp("timestamp" * 1000
+    * CASE WHEN event_id % 7 = 2 THEN -1 ELSE 1 END)) AS INTEGER) ELSE 0 END AS year FROM event_feed)
+SELECT outcome, year, count(*) AS rows FROM odd GROUP BY ALL""",
+    "row_cap_nulls": """WITH e AS (
+  SELECT nullif(1 + event_id % 5, 1)::DOUBLE AS rating FROM events),
+n AS (SELECT rating, row_number() OVER (ORDER BY rating NULLS LAST) AS place,
+    count(*) OVER () AS total FROM e)
+SELECT 'small' AS cap, rating, count(*) AS rows FROM n WHERE place <= 100 GROUP BY ALL
+UNION ALL
+SELECT 'large', rating, count(*) FROM n WHERE place <= total - 100 GROUP BY ALL""",
+    "partition_balance": f"""{REVIEWS_TO_VALID}
+SELECT 8 AS partitions, count(*) AS rows, true AS even FROM valid""",
     "silver": f"""{REVIEWS_TO_SILVER}
 SELECT {_COLUMNS}, review_dt, is_positive, review_month_start FROM silver""",
 }

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 MILLIS_PER_DAY = 86_400_000
 SECONDS_PER_DAY = 86_400
+# 0001-01-01 and 9999-12-31 as days since 1970-01-01.
+FIRST_DAY, LAST_DAY = -719_162, 2_932_896
 
 # Prefix of a feed name, name of an unnamed feed, text for an absent id part,
 # shape of a review date, lowest and highest rating, lowest rating that counts as positive.
@@ -19,9 +21,13 @@ MIN_STARS, MAX_STARS, POSITIVE_STARS = 1, 5, 4
 
 
 def utc_day_text(epoch_millis: Column) -> Column:
-    """UTC day of an epoch in milliseconds as yyyy-MM-dd, without using the session time zone."""
-    midnight = epoch_millis - F.pmod(epoch_millis, F.lit(MILLIS_PER_DAY))
-    return F.date_from_unix_date((midnight / MILLIS_PER_DAY).cast("int")).cast("string")
+    """UTC day of an epoch in milliseconds as yyyy-MM-dd, without using the session time zone.
+
+    Null if the day is not in the years 1 to 9999, as with an epoch in another unit.
+    """
+    day = F.floor(epoch_millis.cast("decimal(20,0)") / MILLIS_PER_DAY).try_cast("int")
+    dated = F.when(day.between(FIRST_DAY, LAST_DAY), day)
+    return F.date_from_unix_date(dated).cast("string")
 
 
 def category_of_feed(feed: Column) -> Column:

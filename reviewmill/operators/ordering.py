@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,7 +32,9 @@ def with_range_bucket(rows: DataFrame, key: str, buckets: int) -> DataFrame:
         return rows.withColumn(BUCKET, F.lit(0.0))
     splits = [float("-inf"), *inner, float("inf")]
     ranges = Bucketizer(splits=splits, inputCol=key, outputCol=BUCKET, handleInvalid="keep")
-    return ranges.transform(rows)
+    # NaN has a range of its own after the others, and null one after that.
+    ranged = ranges.transform(rows)
+    return ranged.withColumn(BUCKET, F.coalesce(BUCKET, F.lit(float("inf"))))
 
 
 def running_total(
@@ -67,44 +71,53 @@ def running_total(
     )
 
 
-# A sorted limit keeps its rows in one task, which is fine for this many of them.
-MAX_SORTED_LIMIT = 100_000
+DIGEST = "_digest"
 
 
-def first_rows(
-    rows: DataFrame,
-    count: int,
-    key: str,
-    order_by: list[Column] | None = None,
-    max_sorted_limit: int = MAX_SORTED_LIMIT,
-) -> DataFrame:
-    """The first ``count`` rows by a numeric key, all rows for 0.
+def first_rows(rows: DataFrame, count: int, key: str) -> DataFrame:
+    """The first ``count`` rows by a numeric key, NaN and then null last; all rows for 0.
 
-    A limit brings everything it keeps into one task. A large count is therefore cut at a key: rows
-    per key are counted, the running total shows the key at which the count is reached, and all rows
-    below it are kept by a plain filter. Only rows with that very key are counted off.
+    Rows per key are counted, and the running total shows the key at which the count is reached. All
+    rows before it are kept by a plain filter, so no task sorts or holds them. Of the rows with that
+    very key some are kept by the digest of the whole row, in the same way, and of copies of one row
+    as many as are wanted.
     """
     if count <= 0:
         return rows
-    order = order_by or [F.col(key)]
-    if count <= max_sorted_limit:
-        return rows.orderBy(*order).limit(count)
-    per_key = written(rows.groupBy(key).agg(F.count("*").alias("_rows")), "keys")
-    placed = running_total(per_key, key, F.col("_rows"), "_upto")
-    at_cut = placed.where(F.col("_upto") >= count).orderBy(key).first()
-    if at_cut is None:
+    cut = _cut(rows, count, key)
+    if cut is None:
         return rows
-    wanted = count - (at_cut["_upto"] - at_cut["_rows"])
-    below, same_key = rows.where(F.col(key) < at_cut[key]), rows.where(F.col(key) == at_cut[key])
-    return below.unionByName(_some_of(same_key, wanted, order, max_sorted_limit))
-
-
-def _some_of(rows: DataFrame, count: int, order: list[Column], max_sorted_limit: int) -> DataFrame:
-    """``count`` rows of a group; of many copies of one row, that row is repeated in parallel."""
-    if count > max_sorted_limit:
-        distinct = rows.distinct().limit(2)
-        if distinct.count() == 1:
-            copies = rows.sparkSession.range(count)
-            row = distinct.select(F.struct("*")).scalar()
-            return copies.select(row.alias("row")).select("row.*")
-    return rows.orderBy(*order).limit(count)
+    placed = rows.where(cut.at).withColumn(DIGEST, F.xxhash64(*rows.columns))
+    inner = _cut(placed, cut.wanted, DIGEST)
+    if inner is None:
+        return rows.where(cut.before).unionByName(placed.drop(DIGEST))
+    # Rows with one digest are copies of one row, so that row is repeated in parallel.
+    copy = placed.where(inner.at).drop(DIGEST).limit(1).select(F.struct("*")).scalar()
+    copies = rows.sparkSession.range(inner.wanted).select(copy.alias("row")).select("row.*")
+    earlier = placed.where(inner.before).drop(DIGEST)
+    return rows.where(cut.before).unionByName(earlier).unionByName(copies)
+
+
+@dataclass(frozen=True)
+class Cut:
+    """The rows before a key, the rows with that key, and how many of the latter are wanted."""
+
+    before: Column
+    at: Column
+    wanted: int
+
+
+def _cut(rows: DataFrame, count: int, key: str) -> Cut | None:
+    """The key at which ``count`` rows are reached; None if there are not that many rows."""
+    value, order = F.col(key), F.col(key).asc_nulls_last()
+    per_key = written(rows.groupBy(key).agg(F.count("*").alias("_rows")), "keys")
+    placed = running_total(per_key, key, F.col("_rows"), "_upto", [order])
+    last = placed.where(F.col("_upto") >= count).orderBy(order).first()
+    if last is None:
+        return None
+    wanted, found = count - (last["_upto"] - last["_rows"]), last[key]
+    if found is None:
+        return Cut(value.isNotNull(), value.isNull(), wanted)
+    # NaN is the largest value and equals itself.
+    literal = F.lit(found).cast(rows.schema[key].dataType)
+    return Cut(value < literal, value == literal, wanted)

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import SparkSession
 
-from reviewmill.operators.dashboards import business_insights, daily_volume, data_quality
+from reviewmill.operators.dashboards import (
+    business_insights,
+    category_days,
+    daily_volume,
+    data_quality,
+)
+from reviewmill.session import written
 from reviewmill.sinks.tables import write_csv
 from reviewmill.sources.tables import (
     model_rows,
@@ -22,28 +27,25 @@ MODEL_PERFORMANCE = "dashboard2_model_performance.csv"
 BUSINESS_INSIGHTS = "dashboard3_business_insights.csv"
 SCALABILITY = "dashboard4_scalability.csv"
 
-INSIGHT_COLUMNS = ["product_category", "review_dt", "stars", "is_positive"]
-
 
 def export_dashboards(
     spark: SparkSession, silver_path: str, metrics_path: str, scaling_path: str, out: str
 ) -> list[str]:
     """Write all tables and return their paths; the scaling table only where there is one.
 
-    Two tables share the short columns, which are cached. Only the quality table needs the text,
-    so the text is read once and never cached.
+    Volume and insights come from one roll-up, which is stored and then read for each. Only the
+    quality table needs the text.
     """
     silver = read_silver(spark, silver_path)
-    short = silver.select(*INSIGHT_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)
+    days = written(category_days(silver), "category-days")
     tables = {
         DATA_QUALITY: data_quality(silver),
-        DAILY_VOLUME: daily_volume(short),
+        DAILY_VOLUME: daily_volume(days),
         MODEL_PERFORMANCE: model_rows(read_model_metrics(spark, metrics_path)),
-        BUSINESS_INSIGHTS: business_insights(short),
+        BUSINESS_INSIGHTS: business_insights(days),
     }
     if path_exists(spark, scaling_path):
         tables[SCALABILITY] = read_scaling(spark, scaling_path)
     for name, table in tables.items():
         write_csv(table, f"{out}/{name}")
-    short.unpersist()
     return [f"{out}/{name}" for name in tables]

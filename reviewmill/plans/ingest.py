@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewmill.operators.normalise import keyed_reviews, mixed_reviews, raw_reviews
 from reviewmill.operators.ordering import first_rows
 from reviewmill.operators.validation import rejected_reviews, valid_reviews
-from reviewmill.sinks.tables import batch_path, write_bronze, write_json, write_log
-from reviewmill.sources.tables import path_exists
+from reviewmill.schemas import REVIEW_COLUMNS
+from reviewmill.session import written
+from reviewmill.sinks.tables import run_path, write_bronze, write_json, write_log
 
 NORMALISERS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "keyed": keyed_reviews,
@@ -49,22 +51,32 @@ def union_feeds(feeds: list[DataFrame]) -> DataFrame:
     return reduce(lambda left, right: left.unionByName(right), feeds)
 
 
-def capped(valid: DataFrame, max_rows: int) -> DataFrame:
-    """The first valid rows in the order of a digest of the row; all of them for 0.
+POSITION = "_position"
+
+
+def position() -> Column:
+    """Place of a review in the order of a digest of the whole row.
 
     A distributed scan has no arrival order, so the digest stands in for it. It covers the whole row
     and not just its id, because an id may belong to any number of rows.
     """
+    digest = F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in REVIEW_COLUMNS]))
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("bigint")
+
+
+def capped(valid: DataFrame, max_rows: int) -> DataFrame:
+    """The first valid rows in the order of ``position``; all of them for 0."""
     if max_rows <= 0:
         return valid
-    digest = F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in valid.columns]))
-    position = F.conv(F.substring(digest, 1, 13), 16, 10).cast("bigint")
-    placed = first_rows(valid.withColumn("_position", position), max_rows, "_position")
-    return placed.drop("_position")
+    return first_rows(valid.withColumn(POSITION, position()), max_rows, POSITION).drop(POSITION)
 
 
-def stored_rows(spark: SparkSession, path: str) -> int:
-    return spark.read.parquet(path).count() if path_exists(spark, path) else 0
+def rejects_in_scope(reviews: DataFrame, kept: DataFrame, max_rows: int) -> DataFrame:
+    """The rejects that stand before the last valid row that a capped run keeps."""
+    if max_rows <= 0 or kept.count() < max_rows:
+        return rejected_reviews(reviews)
+    last = kept.agg(F.max(position())).first()[0]
+    return rejected_reviews(reviews.where(position() <= last))
 
 
 def ingest_metrics(
@@ -86,18 +98,20 @@ def run_ingest(
     target: IngestTarget,
     lineage: Lineage,
     max_rows: int = 0,
-    batch: int | None = None,
+    run: str | None = None,
 ) -> int:
     """Ingest one feed and return the number of rows written.
 
-    The stored files carry their row counts, so counting them reads no data.
+    The feed is parsed once, into a columnar table from which valid rows and rejects are two scans.
+    Each run has a folder of its own in every log and table; a run that is given a name replaces
+    what an earlier run of that name has left. Only that folder is counted.
     """
     spark = records.sparkSession
-    stored = target.bronze_path if batch is None else batch_path(target.bronze_path, batch)
-    before = stored_rows(spark, stored) if batch is None else 0
-    reviews = normalise(records, shape)
-    write_bronze(capped(valid_reviews(reviews), max_rows), target.bronze_path, batch)
-    write_log(rejected_reviews(reviews), target.rejects_path, batch)
-    rows = stored_rows(spark, stored) - before
+    run = run or uuid.uuid4().hex
+    reviews = written(normalise(records, shape), "normalised")
+    write_bronze(capped(valid_reviews(reviews), max_rows), target.bronze_path, run)
+    stored = spark.read.parquet(run_path(target.bronze_path, run))
+    write_log(rejects_in_scope(reviews, stored, max_rows), target.rejects_path, run)
+    rows = stored.count()
     write_json(ingest_metrics(spark, rows, lineage, target), target.metrics_path)
     return rows

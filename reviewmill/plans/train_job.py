@@ -8,7 +8,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from reviewmill.operators.features import review_features, silver_reviews
-from reviewmill.operators.layout import sized_for_work
 from reviewmill.operators.sampling import hash_sample
 from reviewmill.operators.splits import split_by_time
 from reviewmill.plans.baseline import fit_baseline, score_baseline
@@ -35,16 +34,10 @@ class TrainingTarget:
     silver_path: str
 
 
-def training_scan(bronze: DataFrame, profile: Profile) -> DataFrame:
-    """The sampled reviews; later sampling by the same key and seed keeps all of them."""
-    sampled = hash_sample(bronze, profile.sample_fraction, seed=profile.seed)
-    return sized_for_work(sampled, profile.sample_fraction)
-
-
 def baseline_model(features: DataFrame, profile: Profile) -> TrainedModel:
-    """The n-gram baseline on the same sample and split as the families."""
-    rows = hash_sample(features, profile.sample_fraction, seed=profile.seed)
-    train, valid, test = split_by_time(rows)
+    """The n-gram baseline, fitted on the same sample as the families and scored on all other rows."""
+    before, valid, test = split_by_time(features)
+    train = hash_sample(before, profile.sample_fraction, seed=profile.seed)
     start = time.time()
     model = fit_baseline(train)
     predictions = score_baseline(model, test)
@@ -62,7 +55,7 @@ def run_training(
 ) -> list[TrainedModel]:
     """Train and store everything; the best family's predictions are the ones that are kept."""
     bronze = read_bronze(spark, bronze_path)
-    features = review_features(training_scan(bronze, profile))
+    features = review_features(bronze)
     run = fit_families(features, profile)
     for model in run.models:
         model.pipeline.write().overwrite().save(f"{target.model_dir}/{model.name}")

@@ -61,6 +61,7 @@ REJECT = T.StructType(
 
 BATCH_AUDIT = T.StructType(
     [
+        T.StructField("stream", T.StringType()),
         T.StructField("batch", T.LongType()),
         T.StructField("rows", T.LongType()),
         T.StructField("rejected", T.LongType()),

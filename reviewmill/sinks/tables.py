@@ -2,42 +2,41 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from reviewmill.operators.layout import clustered_for_write, with_month_partitions
 from reviewmill.schemas import PARTITION_COLUMNS
 
-BATCH_FOLDER = "ingest_batch"
+RUN_FOLDER = "ingest_run"
 
 
-def batch_path(path: str, batch: int) -> str:
-    return f"{path}/{BATCH_FOLDER}={batch}"
+def run_path(path: str, run: str) -> str:
+    """The folder of one run: of a batch ingest, or of one micro-batch of one stream."""
+    return f"{path}/{RUN_FOLDER}={run}"
 
 
-def write_bronze(valid: DataFrame, path: str, batch: int | None = None) -> None:
-    """Append valid reviews to their month folders.
+def write_bronze(valid: DataFrame, path: str, run: str) -> None:
+    """Store valid reviews in the month folders of their run.
 
-    With a batch number the rows go to that batch's own folder, which is replaced as a whole: a
-    batch that runs again after a failure leaves its rows once.
+    Batch and stream share this layout, so one table can take both. A run's folder is replaced as a
+    whole: a run that is repeated after a failure leaves its rows once and touches no other run.
     """
     rows = clustered_for_write(with_month_partitions(valid))
-    if batch is None:
-        rows.write.mode("append").partitionBy(*PARTITION_COLUMNS).parquet(path)
-    else:
-        folder = batch_path(path, batch)
-        rows.write.mode("overwrite").partitionBy(*PARTITION_COLUMNS).parquet(folder)
+    rows.write.mode("overwrite").partitionBy(*PARTITION_COLUMNS).parquet(run_path(path, run))
+
+
+def compact_bronze(spark: SparkSession, path: str, out: str, run: str = "compacted") -> None:
+    """Rewrite a table of many runs as a table of one, with a few large files per month."""
+    write_bronze(spark.read.parquet(path).drop(RUN_FOLDER), out, run)
 
 
 def write_table(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").parquet(path)
 
 
-def write_log(rows: DataFrame, path: str, batch: int | None = None) -> None:
-    """Append JSON lines, or replace the lines of one batch."""
-    if batch is None:
-        rows.write.mode("append").json(path)
-    else:
-        rows.write.mode("overwrite").json(batch_path(path, batch))
+def write_log(rows: DataFrame, path: str, run: str) -> None:
+    """Replace the JSON lines of one run."""
+    rows.write.mode("overwrite").json(run_path(path, run))
 
 
 def write_json(rows: DataFrame, path: str) -> None:
@@ -45,5 +44,16 @@ def write_json(rows: DataFrame, path: str) -> None:
 
 
 def write_csv(rows: DataFrame, path: str) -> None:
-    """CSV files with a header; as many files as the table has partitions, in its sort order."""
-    rows.write.mode("overwrite").option("header", True).csv(path)
+    """CSV files with a header; as many files as the table has partitions, in its sort order.
+
+    Quotes within a value are doubled, which other readers of CSV expect.
+    """
+    rows.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+
+
+def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Files that ``write_csv`` wrote; values may hold commas, quotes and line breaks."""
+    return (
+        spark.read.schema(schema).option("header", True).option("escape", '"')
+        .option("multiLine", True).csv(path)
+    )

@@ -37,11 +37,17 @@ def stream_feed(
     file_format: str = "json",
     schema: T.StructType | None = None,
     files_per_batch: int | None = None,
+    bytes_per_batch: int = 64 * 2**30,
 ) -> DataFrame:
-    """Read a feed's files as a stream; ``files_per_batch`` bounds the size of a micro-batch."""
+    """Read a feed's files as a stream; a backlog becomes many micro-batches of bounded size.
+
+    ``files_per_batch`` bounds a batch by its files, otherwise ``bytes_per_batch`` does by its bytes.
+    """
     reader = spark.readStream.format(file_format).schema(schema or SCHEMAS[shape])
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    else:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
     return reader.load(path).withColumn(FEED_COLUMN, F.lit(feed))
 
 

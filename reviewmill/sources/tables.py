@@ -6,14 +6,20 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.schemas import MODEL_METRICS, PARTITION_COLUMNS, REVIEW_COLUMNS, SCALING
+from reviewmill.schemas import (
+    MODEL_METRICS,
+    PARTITION_COLUMNS,
+    REVIEW_COLUMNS,
+    SCALING,
+    STORED_REVIEW,
+)
 
 
 def read_bronze(
     spark: SparkSession, path: str, first_day: str | None = None, last_day: str | None = None
 ) -> DataFrame:
     """Stored reviews; a day range also becomes a filter on the month folders."""
-    stored = spark.read.parquet(path)
+    stored = spark.read.schema(STORED_REVIEW).parquet(path)
     month = F.col("review_year") * 12 + F.col("review_month")
     if first_day is not None:
         year, mon, _ = (int(p) for p in first_day.split("-"))

@@ -1,11 +1,13 @@
 """Streaming ingest: the batch ingest's operators, applied to each micro-batch of new files.
 
 The checkpoint remembers which files belong to which batch. Each batch replaces its own folders, so
-a batch that runs again after a failure neither loses nor doubles rows.
+a batch that runs again after a failure neither loses nor doubles rows. The folders carry the
+stream's name, because batch numbers start at 0 with every checkpoint.
 """
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -17,7 +19,7 @@ from reviewmill.operators.ordering import running_total
 from reviewmill.operators.validation import is_valid, rejected_reviews, valid_reviews
 from reviewmill.plans.ingest import normalise
 from reviewmill.schemas import BATCH_AUDIT, REJECT
-from reviewmill.sinks.tables import BATCH_FOLDER, write_bronze, write_log
+from reviewmill.sinks.tables import RUN_FOLDER, write_bronze, write_log
 
 
 @dataclass(frozen=True)
@@ -27,6 +29,14 @@ class StreamTarget:
     audit_path: str
     checkpoint_path: str
 
+    @property
+    def stream(self) -> str:
+        """A name that stays the same for a checkpoint and differs between checkpoints."""
+        return hashlib.md5(self.checkpoint_path.rstrip("/").encode()).hexdigest()[:12]
+
+    def run(self, batch: int) -> str:
+        return f"{self.stream}-{batch}"
+
 
 def write_batch(reviews: DataFrame, batch: int, target: StreamTarget) -> None:
     """Store one micro-batch; its input is read once and kept while three outputs are made."""
@@ -34,13 +44,15 @@ def write_batch(reviews: DataFrame, batch: int, target: StreamTarget) -> None:
     try:
         valid = is_valid(reviews)
         audit = reviews.agg(
+            F.lit(target.stream).alias("stream"),
             F.lit(batch).cast("bigint").alias("batch"),
             F.count_if(valid).alias("rows"),
             F.count_if(~valid).alias("rejected"),
         )
-        write_bronze(valid_reviews(reviews), target.bronze_path, batch)
-        write_log(rejected_reviews(reviews), target.rejects_path, batch)
-        write_log(audit, target.audit_path, batch)
+        run = target.run(batch)
+        write_bronze(valid_reviews(reviews), target.bronze_path, run)
+        write_log(rejected_reviews(reviews), target.rejects_path, run)
+        write_log(audit, target.audit_path, run)
     finally:
         reviews.unpersist()
 
@@ -57,10 +69,11 @@ def start_ingest(records: DataFrame, shape: str, target: StreamTarget) -> Stream
 
 
 def read_rejects(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(REJECT).json(path).drop(BATCH_FOLDER)
+    return spark.read.schema(REJECT).json(path).drop(RUN_FOLDER)
 
 
 def read_batch_audit(spark: SparkSession, path: str) -> DataFrame:
-    """The batch log with a running total of the rows written."""
-    batches = spark.read.schema(BATCH_AUDIT).json(path).drop(BATCH_FOLDER)
-    return running_total(batches, "batch", F.col("rows"), "total_written")
+    """The batch log with a running total of the rows written, by batch and then by stream."""
+    batches = spark.read.schema(BATCH_AUDIT).json(path).drop(RUN_FOLDER)
+    order = [F.col("batch"), F.col("stream")]
+    return running_total(batches, "batch", F.col("rows"), "total_written", order)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from reviewmill.operators.validation import rejected_reviews, valid_reviews
 from reviewmill.plans.ingest import IngestTarget, Lineage, normalise, run_ingest, union_feeds
 from reviewmill.schemas import REVIEW_COLUMNS
-from reviewmill.sinks.tables import write_bronze
+from reviewmill.sinks.tables import compact_bronze, read_csv, write_bronze, write_csv
 from reviewmill.sources.examples import document_reviews
 from reviewmill.sources.feeds import read_feed, read_mixed_json_feed, stream_feed
 from reviewmill.sources.tables import (
@@ -63,7 +63,7 @@ def test_append_adds_and_a_batch_replaces_itself(spark, tmp_path):
     assert [run_ingest(records, "keyed", appended, LINEAGE) for _ in range(2)] == [count, count]
     assert read_bronze(spark, appended.bronze_path).count() == 2 * count
     replaced = batch_target(tmp_path / "b")
-    assert [run_ingest(records, "keyed", replaced, LINEAGE, batch=3) for _ in range(2)] == [count] * 2
+    assert [run_ingest(records, "keyed", replaced, LINEAGE, run="third") for _ in range(2)] == [count] * 2
     assert rows_of(read_bronze(spark, replaced.bronze_path)) == expected(spark)
 
 
@@ -94,6 +94,41 @@ def test_stream_equals_batch_and_goes_on_with_new_files(spark, tmp_path):
     assert read_rejects(spark, target.rejects_path).count() == sum(a.rejected for a in audit)
 
 
+def test_two_streams_and_a_batch_share_a_table(spark, tmp_path):
+    records = document_reviews(spark, SMALL).drop("row_key")
+    targets = []
+    for part in range(2):
+        feed = f"{tmp_path}/feed{part}"
+        records.where(f"doc_id % 3 = {part}").write.json(feed)
+        target = StreamTarget(
+            f"{tmp_path}/bronze", f"{tmp_path}/rejects", f"{tmp_path}/audit", f"{tmp_path}/check{part}"
+        )
+        start_ingest(stream_feed(spark, feed, "d", shape="keyed"), "keyed", target).awaitTermination()
+        targets.append(target)
+    batch = batch_target(tmp_path)
+    run_ingest(document_reviews(spark, SMALL).where("doc_id % 3 = 2"), "keyed", batch, LINEAGE)
+    assert targets[0].stream != targets[1].stream
+    assert rows_of(read_bronze(spark, batch.bronze_path)) == expected(spark)
+    assert read_batch_audit(spark, targets[0].audit_path).count() == 2
+    compact_bronze(spark, batch.bronze_path, f"{tmp_path}/compact")
+    assert rows_of(read_bronze(spark, f"{tmp_path}/compact")) == expected(spark)
+
+
+def test_a_capped_run_logs_only_rejects_in_its_scope(spark, tmp_path):
+    target = batch_target(tmp_path)
+    records = document_reviews(spark, SMALL)
+    run_ingest(records, "keyed", target, LINEAGE, max_rows=17)
+    everything = rejected_reviews(normalise(records, "keyed")).count()
+    assert read_rejects(spark, target.rejects_path).count() < everything
+
+
+def test_csv_keeps_quotes_commas_and_line_breaks(spark, tmp_path):
+    rows = [('a "b", c', 1), ("x\ny", 2), ("plain", 3), (None, 4)]
+    write_csv(spark.createDataFrame(rows, "name string, n int"), str(tmp_path / "t"))
+    found = read_csv(spark, str(tmp_path / "t"), "name string, n int").collect()
+    assert sorted(map(tuple, found), key=lambda r: r[1]) == rows
+
+
 def test_a_repeated_micro_batch_leaves_its_rows_once(spark, tmp_path):
     target = stream_target(tmp_path)
     reviews = normalise(document_reviews(spark, SMALL), "keyed")
@@ -113,10 +148,10 @@ def test_a_hot_month_is_split_over_several_files(spark, tmp_path):
     )
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
     try:
-        write_bronze(rows.repartition(16), str(tmp_path / "hot"))
+        write_bronze(rows.repartition(16), str(tmp_path / "hot"), "a")
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    files = list((tmp_path / "hot").glob("language=en/review_year=2024/review_month=1/*.parquet"))
+    files = list((tmp_path / "hot").glob("ingest_run=a/language=en/review_year=2024/review_month=1/*.parquet"))
     assert len(files) > 3
     assert spark.read.parquet(str(tmp_path / "hot")).count() == 20_000
 
@@ -171,9 +206,14 @@ def test_metrics_and_scaling_scans(spark, tmp_path):
 
 
 def test_silver_and_null_stars(spark):
-    from reviewmill.operators.dashboards import business_insights, data_quality
+    from reviewmill.operators.dashboards import (
+        business_insights,
+        category_days,
+        category_trend,
+        data_quality,
+        data_quality_report,
+    )
     from reviewmill.operators.features import silver_reviews
-    from reviewmill.plans.reports import category_trend, data_quality_report
 
     rows = [("c", 5, "2024-01-03", "x"), ("c", None, "2024-01-03", ""), ("c", 2, "2024-01-03", None)]
     reviews = spark.createDataFrame(
@@ -181,9 +221,9 @@ def test_silver_and_null_stars(spark):
     )
     silver = silver_reviews(reviews)
     assert [r.is_positive for r in silver.collect()] == [1, 0, 0]
-    day = business_insights(silver).first()
+    day = business_insights(category_days(silver)).first()
     assert (day.reviews, day.avg_stars, round(day.positive_rate, 6)) == (3, 3.5, 0.333333)
-    month = category_trend(silver).first()
+    month = category_trend(category_days(silver)).first()
     assert (month.reviews, month.avg_stars, round(month.positive_rate, 6)) == (3, 3.5, 0.333333)
     assert tuple(data_quality(silver).first()) == (3, 2, 1)
     assert tuple(data_quality_report(silver).first()) == (3, 2, 1)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__
 from reviewmill.catalog.common import valid
-from reviewmill.operators.dashboards import business_insights
+from reviewmill.operators.dashboards import business_insights, category_days
 from reviewmill.operators.features import review_features, silver_reviews
 from reviewmill.operators.normalise import keyed_reviews
 from reviewmill.operators.validation import rejected_reviews, valid_reviews
@@ -21,12 +21,12 @@ def plan(frame):
 @pytest.fixture(scope="module")
 def bronze_path(spark, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("plans") / "bronze")
-    write_bronze(valid(spark, SMALL), path)
+    write_bronze(valid(spark, SMALL), path, "all")
     return path
 
 
 def test_dashboards_read_only_their_columns(spark, bronze_path):
-    text = plan(business_insights(silver_reviews(read_bronze(spark, bronze_path))))
+    text = plan(business_insights(category_days(silver_reviews(read_bronze(spark, bronze_path)))))
     schema = text.split("ReadSchema:")[1].split("\n")[0]
     assert "stars" in schema and "product_category" in schema
     assert "review_body" not in schema and "review_title" not in schema

@@ -37,7 +37,7 @@ TINY = replace(whole_table(FAST), hash_buckets=64, logreg_iterations=3, forest_t
 @pytest.fixture(scope="module")
 def job(spark, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("job"))
-    write_bronze(valid(spark, SMALL), f"{path}/bronze")
+    write_bronze(valid(spark, SMALL), f"{path}/bronze", "all")
     target = TrainingTarget(f"{path}/models", f"{path}/metrics", f"{path}/predictions", f"{path}/silver")
     return path, target, run_training(spark, f"{path}/bronze", target, TINY)
 
