@@ -21,11 +21,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewmill.llm.common import table, text_of, without
+from reviewmill.llm.common import slices, table, text_of, without
 
 SHORT_BYTES = 64
 # Distinct words kept with their ids; beyond that a task starts anew.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 250_000
 BATCH_CHARS = 2_000_000
 NO_RANK = np.iinfo(np.int32).max
 PAIR = 1 << 20
@@ -340,7 +340,7 @@ def bpe_encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text")
 
     def encode(batches):
         encoder = Encoder(Vocabulary.of(sent.value))
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             tokens, counts = [], []
             for group in text_groups(batch.column(text_col).to_pylist()):
                 ids, ends = encoder.encode(group)
@@ -366,7 +366,7 @@ def bpe_decode(
 
     def spell(batches):
         known = Vocabulary.of(sent.value)
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             texts = [
                 None if t is None else decode(known, np.frombuffer(t, dtype="<u4"))
                 for t in batch.column("tokens").to_pylist()
@@ -385,7 +385,7 @@ def token_lengths(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text
 
     def count(batches):
         encoder = Encoder(Vocabulary.of(sent.value))
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             counts = []
             for group in text_groups(batch.column(0).to_pylist()):
                 ends = encoder.encode(group)[1]
