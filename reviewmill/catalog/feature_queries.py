@@ -5,9 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.catalog.common import features, reviews, silver, spread_features, valid
+from reviewmill.catalog.common import (
+    features,
+    patchy,
+    reviews,
+    silver,
+    spread_features,
+    whole,
+)
 from reviewmill.catalog.oracle_views import (
     DOCUMENT_REVIEWS,
+    PATCHY_TO_FEATURES,
     REVIEWS_TO_FEATURES,
     REVIEWS_TO_SILVER,
 )
@@ -23,6 +31,7 @@ from reviewmill.operators.dashboards import (
 from reviewmill.operators.features import (
     category_dimension,
     join_category,
+    review_features,
     scaling_input,
     silver_reviews,
 )
@@ -40,20 +49,20 @@ FOLDS = 3
 
 
 def feat_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return features(spark, sf_dir).drop("category_name_len")
+    return review_features(patchy(spark, sf_dir)).drop("category_name_len")
 
 
 def feat_category_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    joined = join_category(valid(spark, sf_dir))
+    joined = join_category(patchy(spark, sf_dir))
     return joined.select("review_id", "product_category", "category_name_len")
 
 
 def category_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return category_dimension(valid(spark, sf_dir))
+    return category_dimension(patchy(spark, sf_dir))
 
 
 def scal_prepare(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scaling_input(valid(spark, sf_dir))
+    return scaling_input(patchy(spark, sf_dir))
 
 
 def limit_n(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,14 +75,14 @@ def limit_n(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sample_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hash_sample(valid(spark, sf_dir), SAMPLE_FRACTION).select("review_id", "stars")
+    return hash_sample(whole(spark, sf_dir), SAMPLE_FRACTION).select("review_id", "stars")
 
 
 def sample_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sizes of the growing samples, all counted in one pass."""
     fractions = growing_fractions(BASE_FRACTION, len(PARTITIONS))
     draw = draw_hex(F.col("review_id"))
-    counts = valid(spark, sf_dir).agg(
+    counts = whole(spark, sf_dir).agg(
         *[F.count_if(draw < hex_threshold(f)).alias(f"step_{i}") for i, f in enumerate(fractions, 1)]
     )
     return counts.unpivot(
@@ -90,7 +99,7 @@ def temporal_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cv_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_fold(valid(spark, sf_dir), FOLDS).groupBy("fold").agg(F.count("*").alias("rows"))
+    return with_fold(whole(spark, sf_dir), FOLDS).groupBy("fold").agg(F.count("*").alias("rows"))
 
 
 def text_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,17 +182,18 @@ _STEPS = " UNION ALL ".join(
 )
 
 ORACLES = {
-    "feat_base": f"""{REVIEWS_TO_FEATURES}
+    "feat_base": f"""{PATCHY_TO_FEATURES}
 SELECT review_id, review_date, stars, product_category, review_title, review_body, review_text,
   lab AS label, review_dt, unix_time FROM features""",
-    "feat_category_join": f"""{REVIEWS_TO_FEATURES}
-SELECT review_id, product_category, CAST(category_name_len AS INTEGER) AS category_name_len
-FROM features""",
-    "category_dim": f"""{REVIEWS_TO_FEATURES}
+    "feat_category_join": f"""{PATCHY_TO_FEATURES}
+SELECT review_id, product_category,
+  CAST(coalesce(length(product_category), 0) AS INTEGER) AS category_name_len FROM valid""",
+    "category_dim": f"""{PATCHY_TO_FEATURES}
 SELECT DISTINCT product_category, CAST(length(product_category) AS INTEGER) AS category_name_len
-FROM features WHERE product_category IS NOT NULL""",
-    "scal_prepare": f"""{REVIEWS_TO_FEATURES}
-SELECT review_text AS text, stars, lab AS label FROM features WHERE stars IS NOT NULL""",
+FROM valid WHERE product_category IS NOT NULL""",
+    "scal_prepare": f"""{PATCHY_TO_FEATURES}
+SELECT coalesce(review_title, '') || ' ' || coalesce(review_body, '') AS text, stars,
+  CASE WHEN stars >= 4 THEN 1.0 ELSE 0.0 END::DOUBLE AS label FROM valid WHERE stars IS NOT NULL""",
     "limit_n": f"""SELECT event_id, event_type || ' ' || props AS review_text,
   CASE WHEN 1 + event_id % 5 >= 4 THEN 1.0 ELSE 0.0 END::DOUBLE AS label
 FROM events ORDER BY event_id LIMIT {LIMIT_ROWS}""",

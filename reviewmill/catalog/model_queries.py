@@ -11,9 +11,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.catalog.common import spread_features, valid
+from reviewmill.catalog.common import spread_features, whole
 from reviewmill.operators.features import scaling_input
-from reviewmill.operators.layout import sized_for_work
+from reviewmill.operators.layout import spread_over_cores
 from reviewmill.operators.splits import split_by_time
 from reviewmill.plans.baseline import fit_baseline, score_baseline
 from reviewmill.plans.scaling import fit_light
@@ -113,7 +113,7 @@ def model_ngram_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def model_light(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fit the light model and report how well it separates the rows it was fitted on."""
-    rows = scaling_input(sized_for_work(valid(spark, sf_dir)))
+    rows = scaling_input(spread_over_cores(whole(spark, sf_dir)))
     return _one_row(spark, measure(fit_light(rows).transform(rows)))
 
 

@@ -56,11 +56,30 @@ features AS (
     CASE WHEN stars >= 4 THEN 1.0 ELSE 0.0 END::DOUBLE AS lab,
     CAST(review_date AS DATE) AS review_dt,
     CAST(epoch(CAST(review_date AS DATE)) AS BIGINT) AS unix_time
-  FROM valid)"""
+  FROM valid WHERE TRY_CAST(review_date AS DATE) IS NOT NULL)"""
 
+_DOCUMENT = """SELECT 'r' || doc_id AS review_id, 'p' || (doc_id % 50) AS product_id,
+    'u' || (doc_id % 97) AS reviewer_id, CAST({stars} AS INTEGER) AS stars, {body} AS review_body,
+    CASE WHEN doc_id % 11 = 0 THEN NULL ELSE substr(text, 1, 20) END AS review_title,
+    lang AS language, {category} AS product_category, {day} AS review_date,
+    CASE WHEN doc_id % 2 = 0 THEN 'True' ELSE 'False' END AS verified_purchase,
+    CAST(NULL AS VARCHAR) AS vine, doc_id FROM documents"""
+_RATING = "1 + (doc_id * 7) % 5"
+_DAY = "strftime(DATE '2022-01-01' + CAST(doc_id % 730 AS INTEGER), '%Y-%m-%d')"
+_WHOLE = _DOCUMENT.format(stars=_RATING, body="text", category="source", day=_DAY)
+_PATCHY = _DOCUMENT.format(
+    stars=f"CASE WHEN doc_id % 29 = 0 THEN NULL ELSE {_RATING} END",
+    body="CASE WHEN doc_id % 17 = 0 THEN NULL ELSE text END",
+    category="CASE WHEN doc_id % 13 = 0 THEN NULL ELSE source END",
+    day=f"CASE WHEN doc_id % 23 = 0 THEN '2024-02-31' ELSE {_DAY} END",
+)
+
+# Ingest: what validation leaves of a feed with defects. All else: every document, without defects
+# or with gaps that were never validated.
 REVIEWS_TO_VALID = f"WITH {DOCUMENT_REVIEWS}, {CHECKED}, {VALID}"
-REVIEWS_TO_SILVER = f"{REVIEWS_TO_VALID}, {SILVER}"
-REVIEWS_TO_FEATURES = f"{REVIEWS_TO_VALID}, {FEATURES}"
+REVIEWS_TO_SILVER = f"WITH valid AS ({_WHOLE}), {SILVER}"
+REVIEWS_TO_FEATURES = f"WITH valid AS ({_WHOLE}), {FEATURES}"
+PATCHY_TO_FEATURES = f"WITH valid AS ({_PATCHY}), {FEATURES}"
 
 EVENT_FEED = """
 event_feed AS (

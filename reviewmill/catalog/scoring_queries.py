@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.catalog.common import spread_features, valid
+from reviewmill.catalog.common import spread_features, whole
 from reviewmill.catalog.oracle_views import (
     ACCURACY,
     AUC,
@@ -119,7 +119,7 @@ def tfidf_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def category_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return terms.category_index(valid(spark, sf_dir))
+    return terms.category_index(whole(spark, sf_dir))
 
 
 def ngram_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,20 +8,30 @@ from pyspark.sql import functions as F
 from reviewmill.session import written
 
 MAX_BROADCAST_ROWS = 100_000
-MAX_KEY_BYTES = 32 * 1024 * 1024
+MAX_BROADCAST_BYTES = 32 * 1024 * 1024
 SALTS = 32
-HOT_SHARE = 1.0 / 1000
+# A key with more than this share of all facts is hot; no task gets much more than this share.
+HOT_SHARE = 1.0 / 100_000
 SALT = "_salt"
 
 
 def fits_broadcast(
-    lookup: DataFrame, key: str, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_KEY_BYTES
+    lookup: DataFrame, key: str, max_rows: int = MAX_BROADCAST_ROWS,
+    max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> bool:
-    """Whether a stored lookup has few enough rows and short enough keys to be sent everywhere."""
+    """Whether a stored lookup has few enough rows, and bytes in all its columns, to be sent around.
+
+    A key that occurs twice would repeat facts, so it is an error.
+    """
+    row = F.octet_length(F.to_json(F.struct("*")))
     size = lookup.agg(
-        F.count("*").alias("rows"), F.coalesce(F.sum(F.octet_length(key)), F.lit(0)).alias("bytes")
+        F.count("*").alias("rows"),
+        F.coalesce(F.sum(row), F.lit(0)).alias("bytes"),
     ).first()
-    return size["rows"] <= max_rows and size["bytes"] <= max_bytes
+    fits = size["rows"] <= max_rows and size["bytes"] <= max_bytes
+    if fits and lookup.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1").take(1):
+        raise ValueError(f"the lookup has several rows for one {key}")
+    return fits
 
 
 def lookup_join(
@@ -56,22 +66,23 @@ def hot_key_join(
 ) -> DataFrame:
     """Left join for lookups too large to repeat, where ``weight`` counts each key's facts.
 
-    A key is hot if it holds more than a thousandth of all facts. There can be at most a thousand
-    such keys, so their list is small enough to broadcast. Only hot keys are salted and only their
-    lookup rows are repeated. The lookup is used three times, so it is written once.
+    A key is hot if it holds more than ``HOT_SHARE`` of all facts. There are at most 1 / ``HOT_SHARE``
+    such keys, so their list is small enough to broadcast. A hot key gets as many salts as it holds
+    such shares, and only its lookup row is repeated. The lookup is used three times, so it is
+    written once.
     """
     lookup = written(lookup, "lookup")
-    all_facts = lookup.agg(F.sum(weight).cast("double") * HOT_SHARE).scalar()
-    flagged = lookup.withColumn("_hot", F.col(weight) > all_facts)
-    hot_keys = flagged.where("_hot").select(key, F.lit(True).alias("_hot_key"))
-    salt = F.when(F.col("_hot_key"), F.pmod(F.xxhash64(spread_by), F.lit(SALTS)))
+    share = lookup.agg(F.sum(weight).cast("double") * HOT_SHARE).scalar()
+    salted = lookup.withColumn(
+        "_salts", F.greatest(F.ceil(F.try_divide(F.col(weight), share)), F.lit(1)).cast("int")
+    )
+    hot_keys = salted.where("_salts > 1").select(key, F.col("_salts").alias("_hot_salts"))
+    salt = F.pmod(F.xxhash64(spread_by), F.coalesce("_hot_salts", F.lit(1)))
     salted_facts = (
         facts.join(F.broadcast(hot_keys), key, "left")
-        .withColumn(SALT, F.coalesce(salt, F.lit(0)).cast("int"))
-        .drop("_hot_key")
-    )
-    salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(
-        F.array(F.lit(0))
+        .withColumn(SALT, salt.cast("int"))
+        .drop("_hot_salts")
     )
-    salted_lookup = flagged.withColumn(SALT, F.explode(salts)).drop("_hot")
+    salts = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+    salted_lookup = salted.withColumn(SALT, F.explode(salts)).drop("_salts")
     return salted_facts.join(salted_lookup, [key, SALT], "left").drop(SALT)

@@ -2,17 +2,12 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewmill.functions.reviews import parsed_date
 from reviewmill.schemas import PARTITION_COLUMNS
 
-# Iterative fits start a task per partition in every iteration, so small tables get few.
-ROWS_PER_PARTITION = 2_000
-
 
 def with_month_partitions(reviews: DataFrame) -> DataFrame:
     day = parsed_date(F.col("review_date"))
@@ -33,24 +28,10 @@ def spread(rows: DataFrame, partitions: int) -> DataFrame:
     return rows.repartition(partitions)
 
 
-def sized_for_work(
-    scanned: DataFrame, kept: float = 1.0, rows_per_partition: int = ROWS_PER_PARTITION
-) -> DataFrame:
-    """Give a scan a partition count that fits the share of its rows that was ``kept``.
-
-    A scan of many files has enough partitions: it is neither counted nor shuffled. Of a sample,
-    neighbouring partitions are merged without a shuffle, so that an iterative fit does not start
-    a task for every file split of the whole table. A scan that leaves cores idle although it has
-    rows for them is spread. Give this a scan with filters and not a plan with joins or aggregates,
-    whose partitions are unknown before they run.
-    """
+def spread_over_cores(scanned: DataFrame) -> DataFrame:
+    """Spread a scan of fewer splits than cores; a wider scan is left as it is."""
     cores = scanned.sparkSession.sparkContext.defaultParallelism
-    partitions = scanned.rdd.getNumPartitions()
-    if partitions >= cores:
-        merged = max(cores, math.ceil(partitions * kept))
-        return scanned.coalesce(merged) if merged < partitions else scanned
-    wanted = min(cores, math.ceil(scanned.count() / rows_per_partition))
-    return scanned if partitions >= wanted else spread(scanned, wanted)
+    return scanned if scanned.rdd.getNumPartitions() >= cores else spread(scanned, cores)
 
 
 def partition_sizes(rows: DataFrame) -> DataFrame:

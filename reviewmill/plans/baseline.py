@@ -5,17 +5,19 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, Normalizer
+from pyspark.ml.feature import IDF, CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewmill.functions.text import one_and_two_grams, words
-from reviewmill.operators.terms import MIN_DOCUMENTS, VOCABULARY_SIZE
+from reviewmill.operators.terms import MIN_DOCUMENTS, VOCABULARY_SIZE, gram_vocabulary
 
 # Iterations of the solver and the strength of its penalty on the summed loss.
 ITERATIONS = 200
 PENALTY = 1.0
+# A vocabulary must not be empty; no text gives a term with a blank at its end.
+NO_TERM = " "
 
 
 def with_grams(rows: DataFrame, text: str = "review_text") -> DataFrame:
@@ -34,13 +36,15 @@ def fit_baseline(
 
     The term weight is ln((1 + n) / (1 + df)) + 1, which is Spark's weight plus one, and rows are
     scaled to length one. The penalty applies to the sum of the losses, while Spark's applies to
-    their mean, hence the division by the number of rows.
+    their mean, hence the division by the number of rows. The vocabulary is counted by the operator
+    that does so for any table; at most ``vocabulary_size`` terms come to the driver, and only the
+    sparse counts are kept while the model is fitted.
     """
-    grams = with_grams(train).select("label", "grams").persist(StorageLevel.MEMORY_AND_DISK)
-    counter = CountVectorizer(
-        inputCol="grams", outputCol="counts", vocabSize=vocabulary_size, minDF=min_documents
-    ).fit(grams)
-    counts = counter.transform(grams).select("label", "counts")
+    terms = gram_vocabulary(train, "review_text", vocabulary_size, min_documents).collect()
+    counter = CountVectorizerModel.from_vocabulary(
+        [row.term for row in terms] or [NO_TERM], inputCol="grams", outputCol="counts"
+    )
+    counts = counter.transform(with_grams(train)).select("label", "counts")
     counts.persist(StorageLevel.MEMORY_AND_DISK)
     idf = IDF(inputCol="counts", outputCol="idf").fit(counts)
     weights = Vectors.dense(idf.idf.toArray() + 1.0)
@@ -54,7 +58,6 @@ def fit_baseline(
     )
     model = logreg.fit(scale.transform(weigh.transform(counts)).select("label", "features"))
     counts.unpersist()
-    grams.unpersist()
     return PipelineModel([counter, weigh, scale, model])
 
 

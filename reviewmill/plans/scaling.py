@@ -8,13 +8,14 @@ from collections.abc import Iterable
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import IDF, HashingTF, StopWordsRemover, Tokenizer
+from pyspark.ml.feature import IDF, SQLTransformer
 from pyspark.sql import DataFrame
 
 from reviewmill.operators.dashboards import with_cost
 from reviewmill.operators.features import scaling_input
 from reviewmill.operators.layout import spread
 from reviewmill.operators.sampling import growing_fractions, hash_sample
+from reviewmill.plans.training import text_stages
 
 # Size and iterations of the light model, partitions and sample of the experiments.
 LIGHT_BUCKETS, LIGHT_ITERATIONS = 2**16, 20
@@ -22,15 +23,15 @@ PARTITIONS, BASE_FRACTION = (4, 8, 16), 0.05
 
 
 def fit_light(rows: DataFrame) -> PipelineModel:
-    """Logistic regression on hashed TF-IDF of rows (text, label), without a grid."""
+    """Logistic regression on weighted term counts of rows (text, label), without a grid.
+
+    Tokens and counts are made by the stages that all models share; they read ``review_text``.
+    """
+    named = SQLTransformer(statement="SELECT *, text AS review_text FROM __THIS__")
+    tokens, kept, counts, _ = text_stages(LIGHT_BUCKETS)
+    weights = IDF(inputCol=counts.getOutputCol(), outputCol="features")
     return Pipeline(
-        stages=[
-            Tokenizer(inputCol="text", outputCol="tokens"),
-            StopWordsRemover(inputCol="tokens", outputCol="clean", locale="en_US"),
-            HashingTF(inputCol="clean", outputCol="tf", numFeatures=LIGHT_BUCKETS),
-            IDF(inputCol="tf", outputCol="features"),
-            LogisticRegression(maxIter=LIGHT_ITERATIONS),
-        ]
+        stages=[named, tokens, kept, counts, weights, LogisticRegression(maxIter=LIGHT_ITERATIONS)]
     ).fit(rows)
 
 

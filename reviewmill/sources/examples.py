@@ -1,7 +1,8 @@
 """Review feeds made of the general-purpose tables (documents, events, orders' lines).
 
-They give every operator whole tables with known defects to work on: missing bodies, missing and
-out-of-range ratings, and a day that does not exist.
+Ingest gets a feed with known defects: missing bodies, missing and out-of-range ratings, and a day
+that does not exist. Work on texts gets every document as it is, and the feature operators get rows
+with gaps that validation would have kept from them.
 """
 
 from __future__ import annotations
@@ -17,25 +18,53 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def document_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keyed reviews, one per document."""
+DAY = "CAST(date_add(DATE'2022-01-01', CAST(doc_id % 730 AS INT)) AS STRING)"
+RATING = "CAST(1 + (doc_id * 7) % 5 AS INT)"
+
+
+def _of_documents(spark: SparkSession, sf_dir: str, **fields: str) -> DataFrame:
+    """Keyed reviews, one per document; the fields named here are given as SQL."""
+    given = [f"{sql} AS {name}" for name, sql in fields.items()]
     return table(spark, sf_dir, "documents").selectExpr(
         "concat('r', doc_id) AS review_id",
         "concat('p', doc_id % 50) AS product_id",
         "concat('u', doc_id % 97) AS reviewer_id",
-        """CAST(CASE WHEN doc_id % 29 = 0 THEN NULL WHEN doc_id % 19 = 0 THEN 9
-                ELSE 1 + (doc_id * 7) % 5 END AS INT) AS stars""",
-        "CASE WHEN doc_id % 17 = 0 THEN '' ELSE text END AS review_body",
         "CASE WHEN doc_id % 11 = 0 THEN NULL ELSE substr(text, 1, 20) END AS review_title",
         "lang AS language",
-        "source AS product_category",
-        """CASE WHEN doc_id % 23 = 0 THEN '2024-02-31'
-           ELSE CAST(date_add(DATE'2022-01-01', CAST(doc_id % 730 AS INT)) AS STRING)
-           END AS review_date""",
         "CASE WHEN doc_id % 2 = 0 THEN 'True' ELSE 'False' END AS verified_purchase",
         "CAST(NULL AS STRING) AS vine",
         "doc_id",
         "CAST(doc_id AS STRING) AS row_key",
+        *given,
+    )
+
+
+def document_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feed with defects that validation has to find."""
+    return _of_documents(
+        spark, sf_dir,
+        stars=f"CASE WHEN doc_id % 29 = 0 THEN NULL WHEN doc_id % 19 = 0 THEN 9 ELSE {RATING} END",
+        review_body="CASE WHEN doc_id % 17 = 0 THEN '' ELSE text END",
+        product_category="source",
+        review_date=f"CASE WHEN doc_id % 23 = 0 THEN '2024-02-31' ELSE {DAY} END",
+    )
+
+
+def whole_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feed without defects: every document with its whole text. Some reviews have no title."""
+    return _of_documents(
+        spark, sf_dir, stars=RATING, review_body="text", product_category="source", review_date=DAY
+    )
+
+
+def patchy_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reviews that were never validated: no body, rating, category or day here and there."""
+    return _of_documents(
+        spark, sf_dir,
+        stars=f"CASE WHEN doc_id % 29 = 0 THEN NULL ELSE {RATING} END",
+        review_body="CASE WHEN doc_id % 17 = 0 THEN NULL ELSE text END",
+        product_category="CASE WHEN doc_id % 13 = 0 THEN NULL ELSE source END",
+        review_date=f"CASE WHEN doc_id % 23 = 0 THEN '2024-02-31' ELSE {DAY} END",
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from reviewmill.operators.features import category_dimension, join_category, review_features, scaling_input
 from reviewmill.operators.joins import hot_key_join, lookup_join, salted_join
-from reviewmill.operators.layout import partition_sizes, sized_for_work, spread
+from reviewmill.operators.layout import partition_sizes, spread, spread_over_cores
 from reviewmill.operators.normalise import keyed_reviews
 from reviewmill.operators.ordering import first_rows, running_total
 from reviewmill.operators.sampling import growing_fractions, hash_sample, run_fraction, with_fold
@@ -163,8 +163,6 @@ def test_spreading(spark):
     rows = spark.range(8000).coalesce(1)
     sizes = partition_sizes(spread(rows, 8)).collect()
     assert [r.rows_in_partition for r in sizes] == [1000] * 8
-    assert sized_for_work(rows).rdd.getNumPartitions() == 4
+    assert spread_over_cores(rows).rdd.getNumPartitions() == 8
     many = spark.range(10).repartition(16)
-    assert sized_for_work(many) is many
-    assert sized_for_work(many, kept=0.6).rdd.getNumPartitions() == 10
-    assert sized_for_work(many, kept=0.01).rdd.getNumPartitions() == 8
+    assert spread_over_cores(many) is many
