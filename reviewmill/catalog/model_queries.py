@@ -1,17 +1,21 @@
 """Text features as vectors, trained models and their comparison.
 
-Fitting is iterative, so these queries have no SQL to check against; tests check them otherwise.
+Fitting is iterative, so most of these queries have no SQL to check against; tests check them
+otherwise.
 All of them use whole tables with the fast settings.
 """
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewmill.catalog.common import spread_features, whole
+from reviewmill.catalog.oracle_views import REVIEWS_TO_FEATURES, TOKENS
+from reviewmill.catalog.scoring_queries import STOP_LIST
 from reviewmill.operators.features import scaling_input
 from reviewmill.operators.layout import spread_over_cores
 from reviewmill.operators.splits import split_by_time
@@ -21,12 +25,14 @@ from reviewmill.plans.train_job import baseline_model
 from reviewmill.plans.training import (
     FAMILIES,
     FAST,
+    FULL,
     best_by_metric,
     comparison,
     fit_families,
     fitted_stages,
     measure,
     scored,
+    stored_predictions,
     text_stages,
     whole_table,
 )
@@ -35,26 +41,37 @@ from reviewmill.session import written
 PROFILE = whole_table(FAST)
 
 
-def _nonzero(vector: str):
-    """Number of used positions of a vector, and the sum over them."""
-    values = vector_to_array(vector)
-    return F.size(F.filter(values, lambda v: v != 0.0)), F.aggregate(
-        values, F.lit(0.0), lambda total, v: total + v
+def hashing_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens that go into each document's counts, and the length of the vector of counts."""
+    rows = PipelineModel(text_stages(PROFILE.hash_buckets)).transform(spread_features(spark, sf_dir))
+    return rows.select(
+        "review_id", F.size("filtered_tokens").alias("tokens"), _length(rows, "tf").alias("buckets")
     )
 
 
-def hashing_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = PipelineModel(text_stages(PROFILE.hash_buckets)).transform(spread_features(spark, sf_dir))
-    used, total = _nonzero("tf")
-    return rows.select("review_id", used.alias("used_buckets"), total.alias("tokens"))
+def _length(rows: DataFrame, vector: str) -> Column:
+    """The length of a vector column from its metadata; no vector is turned into an array."""
+    return F.lit(int(rows.schema[vector].metadata["ml_attr"]["num_attrs"]))
 
 
 def feature_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = PipelineModel(text_stages(PROFILE.hash_buckets)).transform(spread_features(spark, sf_dir))
     vectors = Pipeline(stages=fitted_stages()).fit(rows).transform(rows)
-    used, _ = _nonzero("features")
-    size = F.size(vector_to_array("features"))
-    return vectors.select("review_id", size.alias("dimensions"), used.alias("used_dimensions"))
+    return vectors.where("features IS NOT NULL").select(
+        "review_id", _length(vectors, "features").alias("dimensions")
+    )
+
+
+def predictions_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored predictions of a model that was fitted on a sample: all newest rows are there."""
+    rows = spread_features(spark, sf_dir)
+    run = fit_families(rows, replace(PROFILE, sample_fraction=FULL.sample_fraction), ["logreg"])
+    table = written(stored_predictions(run.models[0].predictions), "predictions")
+    run.release()
+    return table.select(
+        "review_id", "label",
+        F.size("probability").alias("probabilities"), F.size("rawPrediction").alias("margins"),
+    )
 
 
 def _one_row(spark: SparkSession, metrics: dict[str, float]) -> DataFrame:
@@ -125,6 +142,17 @@ QUERIES = {
     "model_metrics": model_metrics,
     "best_model": best_model,
     "predictions": predictions,
+    "predictions_stored": predictions_stored,
     "model_ngram_baseline": model_ngram_baseline,
     "model_light": model_light,
 }
+
+ORACLES = {
+    "hashing_tf": f"""{REVIEWS_TO_FEATURES}, {TOKENS}
+SELECT review_id, CAST(len(list_filter(tokens, lambda t: t NOT IN ({STOP_LIST}))) AS INTEGER)
+  AS tokens, 4096 AS buckets FROM tokenised""",
+    "feature_vectors": f"{REVIEWS_TO_FEATURES} SELECT review_id, 4102 AS dimensions FROM features",
+    "predictions_stored": f"""{REVIEWS_TO_FEATURES}
+SELECT review_id, lab AS label, 2 AS probabilities, 2 AS margins FROM features
+WHERE unix_time > (SELECT quantile_disc(unix_time, 0.85) FROM features)""",
+}

@@ -146,7 +146,7 @@ QUERIES = {
 
 _CELLS = f"WITH {SCORED}, {CELLS}"
 _PROFIT = "3.0::DOUBLE * tp - fp - 2 * fn"
-_STOP_LIST = ", ".join("'" + word.replace("'", "''") + "'" for word in STOP_WORDS)
+STOP_LIST = ", ".join("'" + word.replace("'", "''") + "'" for word in STOP_WORDS)
 _WEIGHT = " + ".join(f"(draw >= '{level}')::INTEGER" for level in poisson_thresholds())
 _INTERVAL = f"""
 draws AS (
@@ -164,7 +164,7 @@ ends AS (
 _TERMS = f"""{REVIEWS_TO_FEATURES}, {TOKENS},
 occurrences AS (SELECT review_id, unnest(tokens) AS term FROM tokenised),
 tf AS (SELECT review_id, term, count(*) AS tf FROM occurrences
-  WHERE term NOT IN ({_STOP_LIST}) GROUP BY 1, 2),
+  WHERE term NOT IN ({STOP_LIST}) GROUP BY 1, 2),
 idf AS (SELECT term, count(*) AS doc_freq,
   ln(((SELECT count(*) FROM features) + 1.0::DOUBLE) / (count(*) + 1.0::DOUBLE)) AS idf
   FROM tf GROUP BY 1)"""
@@ -186,7 +186,7 @@ SELECT round(auc, {DIGITS}) AS auc, round({F1_WEIGHTED}, {DIGITS}) AS f1,
 SELECT review_id, CAST(len(tokens) AS INTEGER) AS tokens,
   md5(array_to_string(tokens, '|')) AS digest FROM tokenised""",
     "stopword_removed": f"""{REVIEWS_TO_FEATURES}, {TOKENS},
-kept AS (SELECT review_id, list_filter(tokens, lambda t: t NOT IN ({_STOP_LIST})) AS kept
+kept AS (SELECT review_id, list_filter(tokens, lambda t: t NOT IN ({STOP_LIST})) AS kept
   FROM tokenised)
 SELECT review_id, CAST(len(kept) AS INTEGER) AS tokens,
   md5(array_to_string(kept, '|')) AS digest FROM kept""",

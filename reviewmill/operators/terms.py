@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from reviewmill.functions.text import STOP_WORDS, one_and_two_grams, space_tokens, words
 from reviewmill.operators.joins import hot_key_join
+from reviewmill.operators.ordering import default_buckets
 from reviewmill.session import written
 
 # Size of the n-gram vocabulary and the least number of documents for a term.
@@ -114,19 +115,25 @@ def gram_vocabulary(
 def category_index(reviews: DataFrame, column: str = "product_category") -> DataFrame:
     """Position of each value by falling frequency, ties by name, as StringIndexer orders labels.
 
-    Values are counted first. The position is the number of values with a higher count plus the
-    place among those with the same count, so no task sees all values.
+    Values are counted first. Ranges of the whole order are then numbered on their own and shifted by
+    the sizes of the ranges before them. They are cut by count and name, so values that occur once,
+    often nearly all of them, are spread over many ranges.
     """
-    counts = reviews.where(F.col(column).isNotNull()).groupBy(column)
-    values = written(counts.agg(F.count("*").alias("reviews")), "categories")
-    # A table of n rows has fewer than sqrt(2 n) different counts.
-    higher = Window.orderBy(F.desc("reviews")).rowsBetween(Window.unboundedPreceding, -1)
-    per_count = (
-        values.groupBy("reviews")
-        .agg(F.count("*").alias("_values"))
-        .select("reviews", F.coalesce(F.sum("_values").over(higher), F.lit(0)).alias("_before"))
+    order = [F.desc("reviews"), F.col(column)]
+    counts = reviews.where(F.col(column).isNotNull()).groupBy(column).agg(
+        F.count("*").alias("reviews")
     )
-    place = F.row_number().over(Window.partitionBy("reviews").orderBy(column))
-    return values.join(per_count, "reviews").select(
+    ranged = written(
+        counts.repartitionByRange(default_buckets(counts), *order)
+        .withColumn("_range", F.spark_partition_id()),
+        "categories",
+    )
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = (
+        ranged.groupBy("_range").agg(F.count("*").alias("_values"))
+        .select("_range", F.coalesce(F.sum("_values").over(earlier), F.lit(0)).alias("_before"))
+    )
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    return ranged.join(F.broadcast(before), "_range").select(
         column, "reviews", (F.col("_before") + place - 1).cast("int").alias("category_idx")
     )
