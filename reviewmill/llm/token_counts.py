@@ -55,21 +55,25 @@ def limit_totals(histogram: DataFrame) -> DataFrame:
     })
 
 
-def at_limits(totals: DataFrame, limits: DataFrame) -> DataFrame:
-    """Documents that fit and tokens that are kept for any limits (column ``limit``).
+def at_limits(totals: DataFrame, limits: list[int]) -> DataFrame:
+    """Documents that fit and tokens that are kept for any list of limits, in one pass.
 
-    Each limit takes the row of the longest length that does not exceed it; the limits are a list
-    that someone asks for, so they are few beside the lengths.
+    ``totals`` is the result of ``limit_totals``. The result has a row per different limit.
     """
-    asked = limits.select(F.col("limit").cast("bigint").alias("limit")).distinct()
-    below = asked.join(F.broadcast(totals), totals["context_limit"] <= asked["limit"], "left")
-    last = below.groupBy("limit").agg(F.max_by(F.struct(*totals.columns), "context_limit").alias("r"))
-    over = F.coalesce(F.col("r.docs_over"), totals.agg(F.sum("n_docs")).scalar(), F.lit(0))
-    return last.select(
-        "limit",
-        F.coalesce("r.docs_upto", F.lit(0)).alias("docs_upto"),
-        (F.coalesce("r.tokens_upto", F.lit(0)) + F.col("limit") * over).alias("tokens_kept"),
-    )
+    length = F.col("context_limit")
+
+    def answer(limit: int):
+        fits = length <= limit
+        docs = F.coalesce(F.sum(F.when(fits, F.col("n_docs"))), F.lit(0))
+        tokens = F.coalesce(F.sum(F.when(fits, length * F.col("n_docs"))), F.lit(0))
+        over = F.coalesce(F.sum(F.when(~fits, F.col("n_docs"))), F.lit(0))
+        return F.struct(
+            F.lit(limit).cast("bigint").alias("limit"), docs.alias("docs_upto"),
+            (tokens + F.lit(limit) * over).alias("tokens_kept"),
+        )
+
+    answers = F.array(*[answer(limit) for limit in sorted(set(limits))])
+    return totals.agg(answers.alias("_answers")).select(F.inline("_answers"))
 
 
 def op8_token_counts(spark, sf_dir: str) -> DataFrame:
