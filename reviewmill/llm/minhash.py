@@ -9,15 +9,13 @@ pairs that look similar enough leave them. Every link is confirmed on the full s
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewmill.llm.common import packed, row_key, table, text_of
+from reviewmill.llm.common import packed, row_key, slices, table, text_of
 from reviewmill.llm.components import components
 from reviewmill.llm.shingles import WordHashes, hash_family, minima, shingle_set
 from reviewmill.session import written
@@ -35,12 +33,6 @@ BITMAP_BITS = 1 << 26
 RESULT = ["n_shingles", "component_id", "kept"]
 
 
-def slices(batch: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
-    """Small pieces, so that what is made of a piece stays small too."""
-    for start in range(0, batch.num_rows, rows):
-        yield batch.slice(start, rows)
-
-
 def signatures(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
     """Key, set size, digest of the set, band keys and one byte of each minimum per row."""
 
@@ -206,7 +198,8 @@ def leader_pairs(buckets: DataFrame, sigs: DataFrame) -> DataFrame:
 
 
 def block_pairs(
-    docs: DataFrame, buckets: DataFrame, roots: DataFrame, id_col: str, text_col: str, words: int
+    docs: DataFrame, buckets: DataFrame, bands: DataFrame, roots: DataFrame, id_col: str,
+    text_col: str, words: int,
 ) -> DataFrame:
     """Similar-looking pairs of a bucket that are in different components so far.
 
@@ -237,6 +230,7 @@ def block_pairs(
         )
 
     fine = of_wanted_texts(docs, nodes, id_col, text_col, fine_signature, "_fine", "binary")
+    fine = fine.join(bands, "_node")
     own = F.pmod(F.xxhash64("_node"), F.col("_blocks")).cast("int")
     dealt = (
         members.join(written(fine, "minhash-fine"), "_node")
@@ -246,7 +240,7 @@ def block_pairs(
             "_bucket",
             F.least("_block", "_other").alias("_i"),
             F.greatest("_block", "_other").alias("_j"),
-            "_block", "_node", "_root", "_n", "_fine",
+            "_block", "_node", "_root", "_n", "_fine", "_bands",
         )
     )
 
@@ -261,6 +255,9 @@ def block_pairs(
             np.rec.fromarrays([roots.field("id").to_numpy(), roots.field("th").to_numpy()]),
             return_inverse=True,
         )[1]
+        bands = group.column("_bands").combine_chunks().flatten().to_numpy()
+        bands = bands.reshape(group.num_rows, -1)
+        bucket = group.column("_bucket")[0].as_py()
         within = group.column("_i")[0] == group.column("_j")[0]
         least = FINE_AT_LEAST * (1 - 1 / 256) + 1 / 256
         left, right = [], []
@@ -275,6 +272,9 @@ def block_pairs(
             other = np.nonzero(able)[0] + row + 1
             if len(other):
                 other = other[(signs[other] == signs[row]).mean(axis=1) >= least]
+                # A pair that shares several buckets leaves the first of them only.
+                first = (bands[other] == bands[row]).argmax(axis=1)
+                other = other[bands[other, first] == bucket]
                 left += [row] * len(other)
                 right += other.tolist()
         return pa.table({"a": nodes.take(pa.array(left, pa.int64())),
@@ -312,8 +312,9 @@ def near_duplicates(
     links = confirmed(docs, leader_pairs(buckets, standing.select("_node", "_sig")),
                       id_col, text_col, words)
     roots = written(components(links), "minhash-roots")
-    more = confirmed(docs, block_pairs(docs, buckets, roots, id_col, text_col, words),
-                     id_col, text_col, words)
+    bands = standing.select("_node", "_bands")
+    looked_at = block_pairs(docs, buckets, bands, roots, id_col, text_col, words)
+    more = confirmed(docs, looked_at, id_col, text_col, words)
     final = components(
         roots.select(F.col("_node").alias("a"), F.col("_root").alias("b")).union(more)
     )
