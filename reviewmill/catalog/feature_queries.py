@@ -49,7 +49,9 @@ FOLDS = 3
 
 
 def feat_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return review_features(patchy(spark, sf_dir)).drop("category_name_len")
+    """Ratings are shown as doubles, because some are null."""
+    rows = review_features(patchy(spark, sf_dir)).drop("category_name_len")
+    return rows.withColumn("stars", F.col("stars").cast("double"))
 
 
 def feat_category_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -183,7 +185,8 @@ _STEPS = " UNION ALL ".join(
 
 ORACLES = {
     "feat_base": f"""{PATCHY_TO_FEATURES}
-SELECT review_id, review_date, stars, product_category, review_title, review_body, review_text,
+SELECT review_id, review_date, CAST(stars AS DOUBLE) AS stars, product_category, review_title,
+  review_body, review_text,
   lab AS label, review_dt, unix_time FROM features""",
     "feat_category_join": f"""{PATCHY_TO_FEATURES}
 SELECT review_id, product_category,
