@@ -1,6 +1,6 @@
 """URL filter: host reputation by empirical Bayes, and rules that override it.
 
-Each host's labelled pages are shrunk towards its registered domain, the domain towards its suffix,
+Each host's labelled pages, if it has any, are shrunk towards its registered domain, the domain towards its suffix,
 and the suffix towards all pages. At every level the strength of the prior is fitted from how much
 the rates of the level below differ. A host is blocked if even the lower bound of its posterior rate
 of bad pages is above the limit, so a few bad pages block nothing.
@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewmill.llm.common import table
-from reviewmill.operators.joins import lookup_join
+from reviewmill.operators.joins import fits_broadcast, hot_key_join
 from reviewmill.session import written
 
 # A host is blocked if its rate of bad pages is above this with the given certainty (in deviations).
@@ -77,22 +77,27 @@ def with_priors(levels: DataFrame, parents: DataFrame, key: str) -> DataFrame:
     """The posterior of each row of ``levels`` (n, bad) under a prior fitted per parent.
 
     The prior's mean is the parent's own posterior mean. Its strength comes from moments: the more
-    the children's rates differ beyond chance, the weaker it is.
+    the labelled children's rates differ beyond chance, the weaker it is. A row without labels has
+    its prior as posterior. Where the labelled children are too few to fit a strength for it, it
+    takes the strength of the parent's own prior.
     """
     mean = F.col("_mean")
-    joined = levels.join(parents.select(key, mean), key)
+    joined = levels.join(
+        parents.select(key, mean, F.col("_strength").alias("_above")), key
+    )
     n, bad = F.col("n").cast("double"), F.col("bad").cast("double")
     fitted = (
         joined.groupBy(key)
         .agg(
-            F.count("*").alias("_children"),
+            F.count_if(n > 0).alias("_children"),
             F.sum("n").cast("double").alias("_n"),
             F.sum(n * n).alias("_nn"),
             F.first(mean).alias("_mean"),
-            F.sum(n * F.pow(bad / n - mean, F.lit(2.0))).alias("_spread"),
+            F.first("_above").alias("_above"),
+            F.sum(n * F.pow(F.try_divide(bad, n) - mean, F.lit(2.0))).alias("_spread"),
         )
         .withColumn("_chance", mean * (1 - mean))
-        .withColumn("_room", F.col("_n") - F.col("_nn") / F.col("_n"))
+        .withColumn("_room", F.col("_n") - F.try_divide("_nn", "_n"))
         .withColumn(
             "_excess",
             F.try_divide(
@@ -105,22 +110,42 @@ def with_priors(levels: DataFrame, parents: DataFrame, key: str) -> DataFrame:
         F.least(F.greatest(F.col("_chance") / F.col("_excess") - 1, F.lit(WEAKEST)),
                 F.lit(STRONGEST)),
     ).otherwise(F.lit(STRONGEST))
-    prior = fitted.select(key, F.col("_mean").alias("_prior"), strength.alias("_strength"))
+    prior = fitted.select(
+        key, F.col("_mean").alias("_prior"), strength.alias("_fitted"), "_above",
+        (F.col("_children") > 1).alias("_several"),
+    )
     posterior = (F.col("_prior") * F.col("_strength") + F.col("bad")) / (
         F.col("_strength") + F.col("n")
     )
-    return levels.join(prior, key).withColumn("_mean", posterior)
+    return (
+        levels.join(prior, key)
+        .withColumn(
+            "_strength",
+            F.when(F.col("_several") | (F.col("n") > 0), F.col("_fitted"))
+            .otherwise(F.col("_above")),
+        )
+        .withColumn("_mean", posterior)
+        .drop("_fitted", "_above", "_several")
+    )
 
 
-def host_reputation(outcomes: DataFrame) -> DataFrame:
-    """Posterior rate of bad pages of each host with labels, with its lower bound.
+def host_reputation(outcomes: DataFrame, pages: DataFrame) -> DataFrame:
+    """Posterior rate of bad pages of each host of ``pages``, with its lower bound.
 
-    ``outcomes`` has a row per labelled page: host and bad (0 or 1). Pages without a host count for
-    the overall rate only. Counts are summed before anything is joined, so a host with a third of
-    all pages is a single row from then on.
+    ``outcomes`` has a row per labelled page: host and bad (0 or 1); ``pages`` has a row per page:
+    host. A host without a label has what its domain, suffix or all pages say. Pages without a host
+    count for the overall rate only. Counts are summed before anything is joined, so a host with a
+    third of all pages is a single row from then on.
     """
+    none = F.lit(0).cast("bigint")
+    seen = pages.select("host", none.alias("n"), none.alias("bad"), F.lit(1).alias("pages"))
+    told = outcomes.select(
+        "host", F.lit(1).cast("bigint").alias("n"), F.col("bad").cast("bigint").alias("bad"),
+        F.lit(0).alias("pages"),
+    )
     hosts = written(
-        outcomes.groupBy("host").agg(F.count("*").alias("n"), F.sum("bad").alias("bad"))
+        seen.union(told).groupBy("host")
+        .agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"), F.sum("pages").alias("pages"))
         .withColumn("suffix", suffix_of(F.col("host")))
         .withColumn("domain", domain_of(F.col("host"), F.col("suffix"))),
         "host-counts",
@@ -131,7 +156,10 @@ def host_reputation(outcomes: DataFrame) -> DataFrame:
         "domain-counts",
     )
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    root = hosts.agg(((F.sum("bad") + 1) / (F.sum("n") + 2)).alias("_mean"))
+    # All pages start from one good and one bad page; without labels there is no rate at all.
+    root = hosts.where("n > 0").agg(
+        ((F.sum("bad") + 1) / (F.sum("n") + 2)).alias("_mean"), F.lit(2.0).alias("_strength")
+    )
     all_ = F.lit("all").alias("_all")
     suffix_rates = with_priors(
         suffixes.withColumn("_all", all_), root.withColumn("_all", all_), "_all"
@@ -141,7 +169,7 @@ def host_reputation(outcomes: DataFrame) -> DataFrame:
     weight = F.col("_strength") + F.col("n") + 1
     low = F.col("_mean") - DEVIATIONS * F.sqrt(F.col("_mean") * (1 - F.col("_mean")) / weight)
     return rates.select(
-        "host", F.col("n").alias("n_labelled"), F.col("_mean").alias("bad_rate"),
+        "host", "pages", F.col("n").alias("n_labelled"), F.col("_mean").alias("bad_rate"),
         F.greatest(low, F.lit(0.0)).alias("bad_rate_low"),
     )
 
@@ -157,8 +185,8 @@ def judge_urls(
     """Host, path, fitting rule and verdict of every page, with the host's reputation.
 
     ``outcomes`` has the columns ``page_id`` and ``bad``; several labels of a page all count, null
-    labels do not. A host without a label has no reputation and is allowed; so is an url without a
-    host. Pages with the same id stay separate rows, a null id has no label. An empty table gives an
+    labels do not. A host without a label has the reputation of its domain, or of its suffix or all
+    pages where these have no label either; an url without a host has none and is allowed. Pages with the same id stay separate rows, a null id has no label. An empty table gives an
     empty result, and without labels only the rules decide.
     """
     host, path = url_parts(F.col(url_col))
@@ -167,8 +195,11 @@ def judge_urls(
         outcomes.where("bad IS NOT NULL").select("page_id", "bad")
         .join(parts.select("page_id", "host"), "page_id")
     )
-    reputation = host_reputation(labelled)
-    judged = lookup_join(parts, reputation, "host", "page_id")
+    reputation = written(host_reputation(labelled, parts.select("host")), "host-rates")
+    if fits_broadcast(reputation, "host"):
+        judged = parts.join(F.broadcast(reputation), "host", "left")
+    else:
+        judged = hot_key_join(parts, reputation, "host", "pages", "page_id")
     rule, decision = matching_rule(F.col("host"), F.col("path"), RULES if rules is None else rules)
     by_rate = F.when(F.col("bad_rate_low") > max_bad_rate, F.lit("block")).otherwise(F.lit("allow"))
     return judged.select(

@@ -262,6 +262,23 @@ def test_url_rules_and_reputation(spark):
     assert {r.verdict for r in judge_urls(pages, labels.where("bad > 5")).where("page_id > 9").collect()} == {"allow"}
 
 
+def test_hosts_without_labels_follow_domain_suffix_and_all_pages(spark):
+    """Two hosts of a bad domain have labels; the third one, with a page of its own, has none."""
+    urls = [(i, f"http://h{i % 2}.bad.org/{i}") for i in range(300)]
+    urls += [(300 + i, f"http://h{i % 2}.ok.org/{i}") for i in range(300)]
+    rows = [*urls, (900, "http://new.bad.org/"), (901, "http://new.ok.org/"), (902, "http://new.other.org/"),
+            (903, "http://new.other.info/"), (904, "no host")]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string")
+    labels = spark.createDataFrame([(i, int(i < 300)) for i in range(600)], "page_id bigint, bad int")
+    found = {r.page_id: r for r in judge_urls(pages, labels).collect()}
+    assert len(found) == len(rows)
+    assert found[900].verdict == "block" and found[900].n_labelled == 0 and found[900].bad_rate > 0.95
+    assert found[901].verdict == "allow" and found[901].bad_rate < 0.05
+    # Nothing is known of these but the rates of suffix and of all pages, and those vary too much.
+    assert all(found[i].verdict == "allow" and found[i].bad_rate == pytest.approx(0.5) for i in (902, 903))
+    assert found[904].bad_rate is None and found[904].verdict == "allow"
+
+
 def test_hashes_of_the_bpe_query(spark, library):
     from conftest import SMALL
 
