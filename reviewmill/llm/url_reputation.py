@@ -1,9 +1,10 @@
 """URL filter: host reputation by empirical Bayes, and rules that override it.
 
-Each host's labelled pages, if it has any, are shrunk towards its registered domain, the domain towards its suffix,
-and the suffix towards all pages. At every level the strength of the prior is fitted from how much
-the rates of the level below differ. A host is blocked if even the lower bound of its posterior rate
-of bad pages is above the limit, so a few bad pages block nothing.
+Each host's labelled pages, if any, are shrunk towards its registered domain, the domain towards its
+suffix, and the suffix towards all pages. At every level the strength of the prior is fitted from how
+much the rates of the level below differ; a level with a single labelled child is skipped. A host is
+blocked if even the lower bound of its posterior rate of bad pages is above the limit, so a few bad
+pages block nothing.
 """
 
 from __future__ import annotations
@@ -77,13 +78,17 @@ def with_priors(levels: DataFrame, parents: DataFrame, key: str) -> DataFrame:
     """The posterior of each row of ``levels`` (n, bad) under a prior fitted per parent.
 
     The prior's mean is the parent's own posterior mean. Its strength comes from moments: the more
-    the labelled children's rates differ beyond chance, the weaker it is. A row without labels has
-    its prior as posterior. Where the labelled children are too few to fit a strength for it, it
-    takes the strength of the parent's own prior.
+    the labelled children's rates differ beyond chance, the weaker it is. One labelled child tells
+    nothing of that, so its level is skipped: it has the parent's own prior, whose mean does not
+    count the child's labels yet. A row without labels has its prior as posterior, and next to a
+    single labelled child or none the strength of the parent's prior.
     """
     mean = F.col("_mean")
     joined = levels.join(
-        parents.select(key, mean, F.col("_strength").alias("_above")), key
+        parents.select(
+            key, mean, F.col("_prior").alias("_mean_above"), F.col("_strength").alias("_above")
+        ),
+        key,
     )
     n, bad = F.col("n").cast("double"), F.col("bad").cast("double")
     fitted = (
@@ -93,6 +98,7 @@ def with_priors(levels: DataFrame, parents: DataFrame, key: str) -> DataFrame:
             F.sum("n").cast("double").alias("_n"),
             F.sum(n * n).alias("_nn"),
             F.first(mean).alias("_mean"),
+            F.first("_mean_above").alias("_mean_above"),
             F.first("_above").alias("_above"),
             F.sum(n * F.pow(F.try_divide(bad, n) - mean, F.lit(2.0))).alias("_spread"),
         )
@@ -105,13 +111,17 @@ def with_priors(levels: DataFrame, parents: DataFrame, key: str) -> DataFrame:
             ),
         )
     )
-    strength = F.when(
-        (F.col("_children") > 1) & (F.col("_room") > 0) & (F.col("_excess") > 0),
-        F.least(F.greatest(F.col("_chance") / F.col("_excess") - 1, F.lit(WEAKEST)),
-                F.lit(STRONGEST)),
-    ).otherwise(F.lit(STRONGEST))
+    strength = (
+        F.when(F.col("_children") <= 1, F.col("_above"))
+        .when(
+            F.col("_excess") > 0,
+            F.least(F.greatest(F.col("_chance") / F.col("_excess") - 1, F.lit(WEAKEST)),
+                    F.lit(STRONGEST)),
+        )
+        .otherwise(F.lit(STRONGEST))
+    )
     prior = fitted.select(
-        key, F.col("_mean").alias("_prior"), strength.alias("_fitted"), "_above",
+        key, F.col("_mean").alias("_own"), "_mean_above", strength.alias("_strength"),
         (F.col("_children") > 1).alias("_several"),
     )
     posterior = (F.col("_prior") * F.col("_strength") + F.col("bad")) / (
@@ -120,12 +130,12 @@ def with_priors(levels: DataFrame, parents: DataFrame, key: str) -> DataFrame:
     return (
         levels.join(prior, key)
         .withColumn(
-            "_strength",
-            F.when(F.col("_several") | (F.col("n") > 0), F.col("_fitted"))
-            .otherwise(F.col("_above")),
+            "_prior",
+            F.when(F.col("_several") | (F.col("n") == 0), F.col("_own"))
+            .otherwise(F.col("_mean_above")),
         )
         .withColumn("_mean", posterior)
-        .drop("_fitted", "_above", "_several")
+        .drop("_own", "_mean_above", "_several")
     )
 
 
@@ -158,7 +168,8 @@ def host_reputation(outcomes: DataFrame, pages: DataFrame) -> DataFrame:
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     # All pages start from one good and one bad page; without labels there is no rate at all.
     root = hosts.where("n > 0").agg(
-        ((F.sum("bad") + 1) / (F.sum("n") + 2)).alias("_mean"), F.lit(2.0).alias("_strength")
+        ((F.sum("bad") + 1) / (F.sum("n") + 2)).alias("_mean"),
+        F.lit(0.5).alias("_prior"), F.lit(2.0).alias("_strength"),
     )
     all_ = F.lit("all").alias("_all")
     suffix_rates = with_priors(

@@ -279,6 +279,25 @@ def test_hosts_without_labels_follow_domain_suffix_and_all_pages(spark):
     assert found[904].bad_rate is None and found[904].verdict == "allow"
 
 
+@pytest.mark.parametrize("bad_pages", [1, 2])
+def test_a_few_bad_pages_of_a_domains_only_host_block_nothing(spark, bad_pages):
+    """Domains of one host each and very different rates: the suffix has a mean of 0.2 and is weak."""
+    labels = [(f"h.d{d}.org", int(d < 2)) for d in range(10) for _ in range(100)]
+    labels += [("h.single.org", 1)] * bad_pages
+    rows = [(i, f"http://{host}/", bad) for i, (host, bad) in enumerate(labels)]
+    both = spark.createDataFrame([*rows, (5000, "http://h.single.org/new", None)],
+                                 "page_id bigint, url string, bad int")
+    found = {r.page_id: r for r in judge_urls(both.select("page_id", "url"), both.select("page_id", "bad")).collect()}
+    # Posterior of 0.2 with strength 1: the host's pages count once.
+    mean = (0.2 + bad_pages) / (1 + bad_pages)
+    new = found[5000]
+    assert new.n_labelled == bad_pages and new.bad_rate == pytest.approx(mean, abs=2e-3)
+    low = mean - 1.645 * math.sqrt(mean * (1 - mean) / (2 + bad_pages))
+    assert new.bad_rate_low == pytest.approx(low, abs=5e-3)
+    assert new.verdict == ("block" if low > 0.3 else "allow")
+    assert {found[i].verdict for i in range(200)} == {"block"}
+
+
 def test_hashes_of_the_bpe_query(spark, library):
     from conftest import SMALL
 
