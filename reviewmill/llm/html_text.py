@@ -2,15 +2,17 @@
 
 The standard library's parser streams start tags, end tags and text. Text runs between block tags
 are the lines of a page; a line's ratio is its characters per tag. The ratios are smoothed by a
-Gaussian along the page, and lines above a threshold are content. They decide which part of the page
-is the article: the element that holds most of the content. All its lines are the text, so short
-lines and headings between long ones stay. Parts whose tag or name says that they are a menu, an
-advert, a form or the like never count.
+Gaussian along the page, and lines above a threshold are content. They decide which parts of the page
+are the article: the elements that say so and hold content, or else the one that holds most of it,
+and around these every part with more content. All their lines and the lines between them are the
+text, so short lines and headings stay. Parts whose tag says that they are a menu, an advert, a form
+or the like never count, and parts whose name says so only count if they hold most of the content.
 """
 
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass
 from html.parser import HTMLParser
 
 import numpy as np
@@ -50,34 +52,58 @@ OTHER = frozenset(
     "sharing social related recommended pagination pager search form contentinfo complementary "
     "navigation-bar skip".split()
 )
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 NAMES = re.compile(r"[a-z]+")
 
 
-def names_other(attributes: list[tuple[str, str | None]], in_article: bool) -> bool:
+def hidden(attributes: list[tuple[str, str | None]]) -> bool:
+    return any(k == "hidden" or (k == "aria-hidden" and v == "true") for k, v in attributes)
+
+
+def names_other(tag: str, attributes: list[tuple[str, str | None]], in_article: bool) -> bool:
     """Whether an element's own names say that it is no part of an article.
 
-    Inside an article a header is the article's own.
+    A name counts as a whole: ``cookie-notice`` is one of other things, ``no-sidebar`` and
+    ``side-effects`` are not. Inside an article a header is the article's own, and a heading's id
+    only repeats its words.
     """
     other = OTHER - {"header"} if in_article else OTHER
     for key, value in attributes:
-        if key in ("hidden",) or (key == "aria-hidden" and value == "true"):
-            return True
-        if key in ("class", "id", "role", "aria-label") and value:
-            if not other.isdisjoint(NAMES.findall(value.lower())):
+        if key not in ("class", "id", "role", "aria-label") or not value:
+            continue
+        if key == "id" and tag in HEADINGS:
+            continue
+        for name in [value] if key == "aria-label" else value.split():
+            words = NAMES.findall(name.lower())
+            if words and other.issuperset(words):
                 return True
     return False
 
 
+@dataclass(frozen=True)
+class Line:
+    """A line, its tags, the containers and the parts named as something else around it."""
+
+    text: str
+    tags: int
+    path: tuple[int, ...]
+    others: tuple[int, ...]
+    dark: bool
+    heading: bool
+
+
 class Lines(HTMLParser):
     """Collects a page's lines with their tag counts and the containers around them."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, tuple[int, ...], bool]] = []
+        self.lines: list[Line] = []
         self.stack: list[tuple[str, int]] = []  # tag; container number, or 0
         self.containers: list[str] = [""]
         self.dark = 0  # depth below an element that is not shown or not content
         self.dark_at: list[int] = []
+        self.others: list[tuple[int, int]] = []  # depth and number of open parts named otherwise
+        self.n_others = 0
         self.words: list[str] = []
         self.tags = 0
 
@@ -85,7 +111,9 @@ class Lines(HTMLParser):
         text = " ".join("".join(self.words).split())
         if text:
             path = tuple(number for _, number in self.stack if number)
-            self.lines.append((text, self.tags, path, self.dark > 0))
+            others = tuple(number for _, number in self.others)
+            heading = any(tag in HEADINGS for tag, _ in self.stack[-4:])
+            self.lines.append(Line(text, self.tags, path, others, self.dark > 0, heading))
             self.tags = 0
         self.words = []
 
@@ -105,9 +133,12 @@ class Lines(HTMLParser):
             self.containers.append(tag)
         in_article = any(t in ("article", "main") for t, _ in self.stack)
         dark = tag in UNSEEN or tag in BOILERPLATE or (tag == "header" and not in_article)
-        if not dark and tag not in ("html", "body", "article", "main"):
-            dark = names_other(attrs, in_article)
+        named = tag not in ("html", "body", "article", "main")
+        dark = dark or (named and hidden(attrs))
         self.stack.append((tag, number))
+        if named and not dark and names_other(tag, attrs, in_article):
+            self.n_others += 1
+            self.others.append((len(self.stack), self.n_others))
         if dark:
             self.dark += 1
             self.dark_at.append(len(self.stack))
@@ -128,6 +159,8 @@ class Lines(HTMLParser):
         while self.dark_at and self.dark_at[-1] > length:
             self.dark_at.pop()
             self.dark -= 1
+        while self.others and self.others[-1][0] > length:
+            self.others.pop()
 
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
@@ -158,11 +191,55 @@ def smoothed(values: np.ndarray) -> np.ndarray:
     return total / share
 
 
-def content_lines(ratios: np.ndarray) -> np.ndarray:
-    """Which lines belong to the cluster of high smoothed ratios; at least the highest does."""
+def content_lines(ratios: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which lines belong to the cluster of high smoothed ratios; at least the highest does.
+
+    The second result tells which lines are that high themselves and not only by their neighbours.
+    """
     smooth = smoothed(ratios)
     threshold = min(SPREADS * float(ratios.std()), float(smooth.max()))
-    return smooth >= threshold
+    return smooth >= threshold, ratios >= threshold
+
+
+def content_of(lines: list[Line]) -> tuple[list[bool], list[bool]]:
+    """Which lines are content, and which of these are so by themselves or as a heading."""
+    ratios = np.array([len(x.text) / max(x.tags, 1) for x in lines], dtype=np.float64)
+    content, high = content_lines(ratios)
+    own = content & (high | np.array([x.heading for x in lines]))
+    return content.tolist(), own.tolist()
+
+
+def weights(lines: list[Line], chosen: list[bool], around: str) -> tuple[dict[int, int], int]:
+    """Characters of content in each of the elements ``around`` the lines, and in all lines."""
+    weight: dict[int, int] = {}
+    total = 0
+    for line, is_content in zip(lines, chosen):
+        if is_content:
+            total += len(line.text)
+            for number in getattr(line, around):
+                weight[number] = weight.get(number, 0) + len(line.text)
+    return weight, total
+
+
+def without_others(lines: list[Line], containers: list[str]) -> list[Line]:
+    """The lines outside parts named as something else.
+
+    A part that holds most content is named wrongly, unless an article beside it has content.
+    """
+    if not any(line.others for line in lines):
+        return lines
+    chosen, _ = content_of(lines)
+    weight, total = weights(lines, chosen, "others")
+    lit = {n for n, w in weight.items() if 2 * w > total}
+    for number in list(lit):
+        around = {n for x in lines if number in x.others for n in x.path}
+        if any(
+            is_content and number not in x.others and n not in around
+            for x, is_content in zip(lines, chosen)
+            for n in x.path if containers[n] in ("article", "main")
+        ):
+            lit.discard(number)
+    return [x for x in lines if lit.issuperset(x.others)]
 
 
 def main_text(html: str | None) -> str:
@@ -173,23 +250,42 @@ def main_text(html: str | None) -> str:
     page.feed(html)
     page.close()
     page.end_line()
-    shown = [line for line in page.lines if not line[3]]
+    shown = without_others([x for x in page.lines if not x.dark], page.containers)
     if not shown:
         return ""
-    ratios = np.array([len(text) / max(tags, 1) for text, tags, _, _ in shown], dtype=np.float64)
-    chosen = content_lines(ratios)
-    weight: dict[int, int] = {}
-    for (text, _, path, _), is_content in zip(shown, chosen):
-        if is_content:
-            for number in path:
-                weight[number] = weight.get(number, 0) + len(text)
-    total = sum(len(line[0]) for line, is_content in zip(shown, chosen) if is_content)
-    # The innermost element that says it is the article and holds most content, else the innermost
-    # container with nearly all of it, else the page.
-    named = [n for n, w in weight.items() if page.containers[n] in ("article", "main") and 2 * w > total]
+    chosen, own = content_of(shown)
+    weight, total = weights(shown, chosen, "path")
+    # The outermost elements that say they are articles, if they hold most content, else the
+    # innermost container with nearly all of it, else the page.
+    says = [next((n for n in x.path if page.containers[n] in ("article", "main")), 0) for x in shown]
+    named = {n for n, is_content in zip(says, chosen) if is_content and n}
     nearly = [n for n, w in weight.items() if 10 * w >= 9 * total]
-    region = max(named) if named else max(nearly) if nearly else None
-    return "\n".join(line[0] for line in shown if region is None or region in line[2])
+    if 2 * sum(weight[n] for n in named) > total:
+        regions = named
+    elif nearly:
+        regions = {max(nearly)}
+    else:
+        return "\n".join(line.text for line in shown)
+    kept = [not regions.isdisjoint(line.path) for line in shown]
+    # Beside them: lines that are content by themselves, and parts that are content for the most
+    # part. A part is a container, or lines in a row where the container holds the regions too.
+    holding = {n for line, inside in zip(shown, kept) if inside for n in line.path}
+    parts, run = [], 0
+    for at, line in enumerate(shown):
+        innermost = line.path[-1] if line.path else 0
+        run += at == 0 or kept[at - 1] or shown[at - 1].path != line.path
+        parts.append(-run if innermost == 0 or innermost in holding else innermost)
+    share: dict[int, int] = {}
+    for line, part, is_content in zip(shown, parts, chosen):
+        share[part] = share.get(part, 0) + (len(line.text) if is_content else -len(line.text))
+    kept = [
+        inside or is_own or share[part] >= 0
+        for inside, is_own, part in zip(kept, own, parts)
+    ]
+    first, last = kept.index(True), len(kept) - kept[::-1].index(True)
+    while first and shown[first - 1].heading:
+        first -= 1
+    return "\n".join(line.text for line in shown[first:last])
 
 
 def extract_text(

@@ -188,6 +188,35 @@ def test_page_text_is_the_article(spark):
     assert extract_text(pages.where("page_id > 9")).count() == 0
 
 
+LONG = "A sentence of this part of the page with quite a few words in it, as articles have. "
+MENU = "<div>" + "".join(f"<ul><li><a href=x>Link {i}</a></li></ul>" for i in range(12)) + "</div>"
+
+
+@pytest.mark.parametrize("body, wanted", [
+    # Two articles of 60 and 40 percent.
+    (f"{MENU}<article><p>{LONG * 6}</p></article><article><p>{LONG * 4}</p></article>",
+     [LONG * 6, LONG * 4]),
+    # An introduction in main before a nested article.
+    (f"{MENU}<main><p>{LONG * 4}</p><article><h2>Head</h2><p>{LONG * 6}</p></article></main>",
+     [LONG * 4, "Head", LONG * 6]),
+    # Heading, lead and last part in siblings of the container with nearly all content.
+    (f"{MENU}<div><h1>Head</h1></div><div><p>{LONG}</p></div><div><p>{LONG * 9}</p><p>{LONG * 9}</p></div>"
+     f"<div><p>{LONG[:-1]}!</p></div>", ["Head", LONG, LONG * 9, LONG * 9, LONG[:-1] + "!"]),
+    # Words of other things inside names of the article's own parts.
+    (f"<div class='content-sidebar-wrap'><div class='x no-sidebar'><h2 id='side-effects'>Side effects</h2>"
+     f"<p>{LONG}</p></div></div>", ["Side effects", LONG]),
+    (f"<article><section id='side-effects'><p>{LONG}</p></section><h2 id=share>Share</h2><p>{LONG * 2}</p></article>",
+     [LONG, "Share", LONG * 2]),
+    # A part named as something else that holds the content, beside one that does not.
+    (f"<div class='widget'><p>{LONG * 5}</p><p>{LONG * 5}</p></div><div class='comments'><p>{LONG}</p></div>",
+     [LONG * 5, LONG * 5]),
+    # An advert that is longer than the article stays dark.
+    (f"<div class='ad'>{LONG * 3}</div><article><p>{LONG}</p></article>", [LONG]),
+])
+def test_page_text_has_all_parts_of_the_article(body, wanted):
+    assert main_text(f"<html><body>{body}</body></html>").split("\n") == [w.strip() for w in wanted]
+
+
 def test_page_text_survives_broken_markup():
     rng = random.Random(6)
     pieces = ["<p>", "</div>", "<![CDATA[", "<!-", "<a href='", "&#x110000;", "&", "<", "text ", "</", "<br/>",
