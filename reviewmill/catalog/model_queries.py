@@ -42,23 +42,27 @@ PROFILE = whole_table(FAST)
 
 
 def hashing_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tokens that go into each document's counts, and the length of the vector of counts."""
+    """Sum of each document's hashed counts, which is its number of tokens, and the vector's length."""
     rows = PipelineModel(text_stages(PROFILE.hash_buckets)).transform(spread_features(spark, sf_dir))
+    tf = F.unwrap_udt("tf")
     return rows.select(
-        "review_id", F.size("filtered_tokens").alias("tokens"), _length(rows, "tf").alias("buckets")
+        "review_id",
+        F.aggregate(tf["values"], F.lit(0.0), lambda total, n: total + n).cast("int").alias("tokens"),
+        _length("tf").alias("buckets"),
     )
 
 
-def _length(rows: DataFrame, vector: str) -> Column:
-    """The length of a vector column from its metadata; no vector is turned into an array."""
-    return F.lit(int(rows.schema[vector].metadata["ml_attr"]["num_attrs"]))
+def _length(vector: str) -> Column:
+    """The length of each vector from its own values; a sparse one is not turned into an array."""
+    fields = F.unwrap_udt(vector)
+    return F.coalesce(fields["size"], F.size(fields["values"]))
 
 
 def feature_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = PipelineModel(text_stages(PROFILE.hash_buckets)).transform(spread_features(spark, sf_dir))
     vectors = Pipeline(stages=fitted_stages()).fit(rows).transform(rows)
     return vectors.where("features IS NOT NULL").select(
-        "review_id", _length(vectors, "features").alias("dimensions")
+        "review_id", _length("features").alias("dimensions")
     )
 
 

@@ -7,8 +7,10 @@ import numpy as np
 import pytest
 from conftest import SMALL
 from pyspark.ml import PipelineModel
+from pyspark.ml.feature import HashingTF
 from pyspark.sql import functions as F
 
+from reviewmill.catalog import model_queries
 from reviewmill.catalog.common import features, valid
 from reviewmill.plans import dashboards as export
 from reviewmill.plans.baseline import fit_baseline, with_grams
@@ -25,6 +27,7 @@ from reviewmill.plans.training import (
     fast,
     scored,
     stored_predictions,
+    text_stages,
     training_rows,
     whole_table,
 )
@@ -92,6 +95,20 @@ def test_a_saved_model_scores_the_same(spark, job):
             assert again[row.review_id] == pytest.approx(row.score)
 
 
+def test_hashing_query_shows_lost_counts(spark, monkeypatch):
+    """The query sums the vectors' own counts: a hash that loses repetitions has other sums."""
+    whole = {r.review_id: r for r in model_queries.hashing_tf(spark, SMALL).collect()}
+
+    def losing(buckets):
+        stages = text_stages(buckets)
+        return [s.setBinary(True) if isinstance(s, HashingTF) else s for s in stages]
+
+    monkeypatch.setattr(model_queries, "text_stages", losing)
+    lost = {r.review_id: r for r in model_queries.hashing_tf(spark, SMALL).collect()}
+    assert whole.keys() == lost.keys() and all(r.buckets == 4096 for r in whole.values())
+    assert sum(r.tokens for r in lost.values()) < sum(r.tokens for r in whole.values())
+
+
 def test_vector_has_hashed_terms_and_six_numbers(spark, job):
     logreg = next(m for m in job[2] if m.name == "logreg")
     assert logreg.pipeline.stages[-1].numFeatures == TINY.hash_buckets + 6
