@@ -6,6 +6,7 @@ from reviewmill.llm import (
     bpe,
     class_lm,
     exact_dedup,
+    fill_middle,
     html_text,
     line_dedup,
     minhash,
@@ -17,7 +18,7 @@ from reviewmill.llm import (
 
 MODULES = [
     line_dedup, bpe, mixing, quality, minhash, url_reputation, html_text, token_counts, class_lm,
-    exact_dedup,
+    exact_dedup, fill_middle,
 ]
 
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
