@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 # Runs of these characters separate words.
 SPACES = r"[\x20\x09-\x0D]+"
 NO_ID = 9223372036854775807
+# The bitmap of marked rows takes eight megabytes, however many rows there are.
+MARK_BITS = 1 << 26
 
 
 def text_of(column: str = "text") -> Column:
@@ -54,3 +57,39 @@ def slices(batch: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
     """Small pieces, so that what is made of a piece stays small too."""
     for start in range(0, batch.num_rows, rows):
         yield batch.slice(start, rows)
+
+
+def mark_place() -> Column:
+    """The bit of a row with the columns ``_id`` and ``_th``."""
+    return F.pmod(F.xxhash64("_id", "_th"), F.lit(MARK_BITS))
+
+
+def marks(nodes: DataFrame) -> np.ndarray:
+    """A bitmap of fixed size with a bit for each of the nodes (``_id``, ``_th``)."""
+    words = (
+        nodes.select(mark_place().alias("at"))
+        .select((F.col("at") / 64).cast("int").alias("word"),
+                (F.col("at") % 64).cast("int").alias("place"))
+        .groupBy("word")
+        .agg(F.bit_or(F.expr("shiftleft(1L, place)")).alias("bits"))
+        .toPandas()
+    )
+    bits = np.zeros(MARK_BITS // 64, dtype=np.int64)
+    bits[words["word"].to_numpy()] = words["bits"].to_numpy()
+    return bits
+
+
+def is_marked(nodes: DataFrame) -> Column:
+    """Whether a row (``_id``, ``_th``) may be among the nodes; a few others are taken for one.
+
+    Lets a join shuffle little beyond the rows that it finds. When the table holds more nodes than
+    bits, more rows are shuffled and the result stays the same.
+    """
+    shared = nodes.sparkSession.sparkContext.broadcast(marks(nodes))
+
+    @F.arrow_udf("boolean")
+    def marked(place: pa.Array) -> pa.Array:
+        at = place.to_numpy(zero_copy_only=False)
+        return pa.array((shared.value[at >> 6] >> (at & 63)) & 1 == 1)
+
+    return marked(mark_place())

@@ -5,6 +5,7 @@ from __future__ import annotations
 from reviewmill.llm import (
     bpe,
     class_lm,
+    debruijn,
     exact_dedup,
     fill_middle,
     html_text,
@@ -18,7 +19,7 @@ from reviewmill.llm import (
 
 MODULES = [
     line_dedup, bpe, mixing, quality, minhash, url_reputation, html_text, token_counts, class_lm,
-    exact_dedup, fill_middle,
+    exact_dedup, debruijn, fill_middle,
 ]
 
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
