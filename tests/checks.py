@@ -27,7 +27,7 @@ def canonical(frame: pd.DataFrame) -> list[tuple]:
     frame = frame[sorted(frame.columns)]
 
     def text(value) -> str:
-        if value is None or value is pd.NaT or (isinstance(value, float) and value != value):
+        if value is None or value is pd.NaT or value is pd.NA or (isinstance(value, float) and value != value):
             return "<null>"
         if isinstance(value, pd.Timestamp):
             return value.date().isoformat() if value == value.normalize() else value.isoformat()
