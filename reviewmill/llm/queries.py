@@ -13,13 +13,14 @@ from reviewmill.llm import (
     minhash,
     mixing,
     quality,
+    spelling,
     token_counts,
     url_reputation,
 )
 
 MODULES = [
     line_dedup, bpe, mixing, quality, minhash, url_reputation, html_text, token_counts, class_lm,
-    exact_dedup, debruijn, fill_middle,
+    exact_dedup, debruijn, fill_middle, spelling,
 ]
 
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
