@@ -34,7 +34,8 @@ def canonical(frame: pd.DataFrame) -> list[tuple]:
         if hasattr(value, "isoformat"):
             return value.isoformat()
         if isinstance(value, float) or type(value).__name__.startswith("float"):
-            return repr(float(value))
+            # A column of whole numbers with nulls is one of floats in pandas.
+            return str(int(value)) if float(value).is_integer() else repr(float(value))
         if isinstance(value, bool) or type(value).__name__ == "bool_":
             return str(bool(value))
         return str(value)
