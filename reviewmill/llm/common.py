@@ -24,10 +24,11 @@ def text_of(column: str = "text") -> Column:
 def row_key(id_col: str, text_col: str) -> list[Column]:
     """Columns ``_id`` and ``_th`` that tell the rows of a table apart.
 
-    Rows with the same id and the same text are one document. Rows without an id sort last.
+    Rows with the same id and the same text are one document. Rows without an id sort last; ids are
+    whole numbers, and what is none counts as no id.
     """
     return [
-        F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("_id"),
+        F.coalesce(F.col(id_col).try_cast("bigint"), F.lit(NO_ID)).alias("_id"),
         F.xxhash64(text_of(text_col)).alias("_th"),
     ]
 

@@ -6,7 +6,8 @@ Gaussian along the page, and lines above a threshold are content. They decide wh
 are the article: the elements that say so and hold content, or else the one that holds most of it,
 and around these every part with more content. All their lines and the lines between them are the
 text, so short lines and headings stay. Parts whose tag says that they are a menu, an advert, a form
-or the like never count, and parts whose name says so only count if they hold most of the content.
+or the like never count. Parts whose name says so only count if they hold most of the content and
+little of it is beside them.
 """
 
 from __future__ import annotations
@@ -43,41 +44,63 @@ BLOCKS = frozenset(
 )
 # Elements in which the article of a page may lie, as a whole.
 CONTAINERS = frozenset("article main section div body td".split())
-# Words in class, id, role or label that name other things than the article.
+# Words in class, id, role or label that name other things than the article, wherever they stand.
 OTHER = frozenset(
-    "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion nav "
-    "navbar navigation menu breadcrumb breadcrumbs sidebar side widget footer masthead header "
-    "topbar toolbar comment comments reply replies disqus respond cookie cookies consent gdpr "
-    "notice notices alert popup modal overlay newsletter subscribe subscription signup login share "
-    "sharing social related recommended pagination pager search form contentinfo complementary "
-    "navigation-bar skip".split()
+    "ad ads adsense adslot adunit advert adverts advertisement advertising banner sponsor sponsored "
+    "promo promotion taboola outbrain nav navbar navigation menu menubar breadcrumb breadcrumbs sidebar "
+    "widget footer masthead topbar toolbar comment comments reply replies disqus cookie cookies "
+    "consent gdpr popup modal newsletter subscribe subscription signup login share sharing social "
+    "related recommended pagination complementary contentinfo".split()
 )
+# Words that do so only if nothing but such words and those for places and containers is beside them.
+OTHER_ALONE = frozenset(
+    "side header notice notices alert overlay respond pager search form skip dialog trending popular "
+    "tags byline".split()
+)
+PLACES = frozenset(
+    "area bar block bottom box button buttons bottom col column container content count cta entry form "
+    "global group holder icons inner item items js left link links list main module more page panel "
+    "placeholder post posts article articles stories reader region right row section site slot sticky "
+    "thread top unit user users view wp wrap wrapper".split()
+)
+# Words before one of these that turn it round: a part without or beside such a thing.
+TURNED = frozenset("no not non without with has hide hidden".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-NAMES = re.compile(r"[a-z]+")
+NAMES = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
+# A part with a name of other things is kept for its content only if less than a tenth is elsewhere.
+ELSEWHERE = 10
 
 
 def hidden(attributes: list[tuple[str, str | None]]) -> bool:
     return any(k == "hidden" or (k == "aria-hidden" and v == "true") for k, v in attributes)
 
 
-def names_other(tag: str, attributes: list[tuple[str, str | None]], in_article: bool) -> bool:
-    """Whether an element's own names say that it is no part of an article.
+def names_other(tag: str, attributes: list[tuple[str, str | None]], in_article: bool) -> int:
+    """How surely an element's own names say that it is no part of an article: 0, 1 or 2.
 
-    A name counts as a whole: ``cookie-notice`` is one of other things, ``no-sidebar`` and
-    ``side-effects`` are not. Inside an article a header is the article's own, and a heading's id
-    only repeats its words.
+    Surely (2) if a name holds a listed word and else only words for places and containers, as in
+    ``comment-list``; perhaps (1) if it holds such a word beside others, as in ``content-sidebar-wrap``.
+    ``no-sidebar`` and ``has-comments`` say the opposite. Labels, and ids inside an article, may be
+    the words of a heading and so need the sure form; a heading's id is never more than that. Inside
+    an article a header is the article's own.
     """
-    other = OTHER - {"header"} if in_article else OTHER
+    alone = OTHER_ALONE - {"header"} if in_article else OTHER_ALONE
+    found = 0
     for key, value in attributes:
         if key not in ("class", "id", "role", "aria-label") or not value:
             continue
         if key == "id" and tag in HEADINGS:
             continue
         for name in [value] if key == "aria-label" else value.split():
-            words = NAMES.findall(name.lower())
-            if words and other.issuperset(words):
-                return True
-    return False
+            words = [word.lower() for word in NAMES.findall(name)]
+            listed = OTHER.intersection(words)
+            if not listed and alone.isdisjoint(words) or not TURNED.isdisjoint(words):
+                continue
+            if all(w in OTHER or w in alone or w in PLACES or len(w) == 1 for w in words):
+                return 2
+            if listed and (key == "class" or (key == "id" and not in_article)):
+                found = 1
+    return found
 
 
 @dataclass(frozen=True)
@@ -103,7 +126,7 @@ class Lines(HTMLParser):
         self.dark = 0  # depth below an element that is not shown or not content
         self.dark_at: list[int] = []
         self.others: list[tuple[int, int]] = []  # depth and number of open parts named otherwise
-        self.n_others = 0
+        self.sure: list[bool] = []  # whether the name of a part is surely one of other things
         self.words: list[str] = []
         self.tags = 0
 
@@ -136,9 +159,9 @@ class Lines(HTMLParser):
         named = tag not in ("html", "body", "article", "main")
         dark = dark or (named and hidden(attrs))
         self.stack.append((tag, number))
-        if named and not dark and names_other(tag, attrs, in_article):
-            self.n_others += 1
-            self.others.append((len(self.stack), self.n_others))
+        if named and not dark and (sure := names_other(tag, attrs, in_article)):
+            self.others.append((len(self.stack), len(self.sure)))
+            self.sure.append(sure == 2)
         if dark:
             self.dark += 1
             self.dark_at.append(len(self.stack))
@@ -221,25 +244,30 @@ def weights(lines: list[Line], chosen: list[bool], around: str) -> tuple[dict[in
     return weight, total
 
 
-def without_others(lines: list[Line], containers: list[str]) -> list[Line]:
+def without_others(lines: list[Line], containers: list[str], sure: list[bool]) -> list[Line]:
     """The lines outside parts named as something else.
 
-    A part that holds most content is named wrongly, unless an article beside it has content.
+    A part that holds most content is named wrongly, unless enough is beside it: in an article or
+    main element, or anywhere if the name is sure. Beside it means outside all parts of such names,
+    but for those around the part itself.
     """
     if not any(line.others for line in lines):
         return lines
     chosen, _ = content_of(lines)
     weight, total = weights(lines, chosen, "others")
-    lit = {n for n, w in weight.items() if 2 * w > total}
-    for number in list(lit):
-        around = {n for x in lines if number in x.others for n in x.path}
-        if any(
-            is_content and number not in x.others and n not in around
-            for x, is_content in zip(lines, chosen)
-            for n in x.path if containers[n] in ("article", "main")
-        ):
-            lit.discard(number)
-    return [x for x in lines if lit.issuperset(x.others)]
+    kept = set()
+    # Parts with most content lie within one another, so there are few.
+    for part in (n for n, w in weight.items() if 2 * w > total):
+        around = next(x.others[: x.others.index(part)] for x in lines if part in x.others)
+        beside = sum(
+            len(x.text) for x, is_content in zip(lines, chosen)
+            if is_content and not x.heading and part not in x.others
+            and set(x.others).issubset(around)
+            and (sure[part] or any(containers[n] in ("article", "main") for n in x.path))
+        )
+        if ELSEWHERE * beside < total:
+            kept.add(part)
+    return [x for x in lines if kept.issuperset(x.others)]
 
 
 def main_text(html: str | None) -> str:
@@ -250,7 +278,7 @@ def main_text(html: str | None) -> str:
     page.feed(html)
     page.close()
     page.end_line()
-    shown = without_others([x for x in page.lines if not x.dark], page.containers)
+    shown = without_others([x for x in page.lines if not x.dark], page.containers, page.sure)
     if not shown:
         return ""
     chosen, own = content_of(shown)

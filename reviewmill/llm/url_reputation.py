@@ -16,13 +16,17 @@ from reviewmill.llm.common import table
 from reviewmill.operators.joins import fits_broadcast, hot_key_join
 from reviewmill.session import written
 
-# A host is blocked if its rate of bad pages is above this with the given certainty (in deviations).
-MAX_BAD_RATE = 0.3
-DEVIATIONS = 1.645
+# A host is blocked if its rate of bad pages is above this many times the rate of all labelled pages,
+# with the given certainty in deviations: 95 % unless a caller says otherwise, 90 % in the query.
+MAX_LIFT = 1.0
+DEVIATIONS, QUERY_DEVIATIONS = 1.645, 1.282
 # Bounds of a prior's strength, in pages.
 WEAKEST, STRONGEST = 1.0, 10_000.0
-# Suffixes of two labels under which names are registered.
-TWO_LABEL_SUFFIXES = ["ac.uk", "co.jp", "co.nz", "co.uk", "com.au", "com.br", "com.cn", "org.uk"]
+# Labels that countries put before their own, so that names are registered under both.
+COUNTRY_LABELS = [
+    "ac", "co", "com", "edu", "go", "gob", "gov", "gouv", "ltd", "me", "mil", "ne", "net", "nom", "or",
+    "org", "plc", "sch",
+]
 RULES = [
     ("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"),
     ("net/es/", "block"), ("net/fr/", "block"),
@@ -43,11 +47,21 @@ def url_parts(url: Column) -> tuple[Column, Column]:
     return ascii_lower(host), path
 
 
-def suffix_of(host: Column) -> Column:
+def suffix_of(host: Column, suffixes: list[str]) -> Column:
+    """What names are registered under: ``suffixes`` first, else by the shape of the last labels.
+
+    A last label of two letters is a country's; with one of the labels that countries use before it,
+    both are the suffix. Otherwise the last label is.
+    """
     labels = F.split(host, r"\.")
-    two = F.concat_ws(".", F.slice(labels, -2, 2))
-    known = (F.size(labels) >= 2) & two.isin(TWO_LABEL_SUFFIXES)
-    return F.when(known, two).otherwise(F.element_at(labels, -1))
+    last, two = F.element_at(labels, -1), F.concat_ws(".", F.slice(labels, -2, 2))
+    several = F.size(labels) >= 2
+    country = (F.length(last) == 2) & F.get(labels, F.size(labels) - 2).isin(COUNTRY_LABELS)
+    found = F.when(several & country, two).otherwise(last)
+    for suffix in sorted(suffixes, key=lambda s: (s.count("."), s)):
+        fits = (host == suffix) | F.endswith(host, F.lit("." + suffix))
+        found = F.when(fits, F.lit(suffix)).otherwise(found)
+    return found
 
 
 def domain_of(host: Column, suffix: Column) -> Column:
@@ -139,8 +153,11 @@ def with_priors(levels: DataFrame, parents: DataFrame, key: str) -> DataFrame:
     )
 
 
-def host_reputation(outcomes: DataFrame, pages: DataFrame) -> DataFrame:
-    """Posterior rate of bad pages of each host of ``pages``, with its lower bound.
+def host_reputation(
+    outcomes: DataFrame, pages: DataFrame, suffixes: list[str] | None = None,
+    deviations: float = DEVIATIONS,
+) -> DataFrame:
+    """Posterior rate of bad pages of each host of ``pages``, with its lower bound and overall rate.
 
     ``outcomes`` has a row per labelled page: host and bad (0 or 1); ``pages`` has a row per page:
     host. A host without a label has what its domain, suffix or all pages say. Pages without a host
@@ -156,7 +173,7 @@ def host_reputation(outcomes: DataFrame, pages: DataFrame) -> DataFrame:
     hosts = written(
         seen.union(told).groupBy("host")
         .agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"), F.sum("pages").alias("pages"))
-        .withColumn("suffix", suffix_of(F.col("host")))
+        .withColumn("suffix", suffix_of(F.col("host"), suffixes or []))
         .withColumn("domain", domain_of(F.col("host"), F.col("suffix"))),
         "host-counts",
     )
@@ -178,10 +195,11 @@ def host_reputation(outcomes: DataFrame, pages: DataFrame) -> DataFrame:
     domain_rates = with_priors(domains, suffix_rates, "suffix")
     rates = with_priors(named, domain_rates, "domain")
     weight = F.col("_strength") + F.col("n") + 1
-    low = F.col("_mean") - DEVIATIONS * F.sqrt(F.col("_mean") * (1 - F.col("_mean")) / weight)
-    return rates.select(
+    low = F.col("_mean") - deviations * F.sqrt(F.col("_mean") * (1 - F.col("_mean")) / weight)
+    # The overall rate is one row.
+    return rates.crossJoin(F.broadcast(root.select(F.col("_mean").alias("overall_rate")))).select(
         "host", "pages", F.col("n").alias("n_labelled"), F.col("_mean").alias("bad_rate"),
-        F.greatest(low, F.lit(0.0)).alias("bad_rate_low"),
+        F.greatest(low, F.lit(0.0)).alias("bad_rate_low"), "overall_rate",
     )
 
 
@@ -189,30 +207,39 @@ def judge_urls(
     pages: DataFrame,
     outcomes: DataFrame,
     rules: list[tuple[str, str]] | None = None,
-    max_bad_rate: float = MAX_BAD_RATE,
+    max_lift: float = MAX_LIFT,
     id_col: str = "page_id",
     url_col: str = "url",
+    suffixes: list[str] | None = None,
+    deviations: float = DEVIATIONS,
 ) -> DataFrame:
     """Host, path, fitting rule and verdict of every page, with the host's reputation.
 
+    A page without a rule is blocked if the lower bound of its host's rate is above ``max_lift`` times
+    the rate of all labelled pages. ``suffixes`` names what else domains are registered under.
+
     ``outcomes`` has the columns ``page_id`` and ``bad``; several labels of a page all count, null
     labels do not. A host without a label has the reputation of its domain, or of its suffix or all
-    pages where these have no label either; an url without a host has none and is allowed. Pages with the same id stay separate rows, a null id has no label. An empty table gives an
+    pages where these have no label either; an url without a host has none and is allowed. Pages with
+    the same id stay separate rows, and a label of the id counts once for each of their hosts; a null
+    id has no label. Other columns are not returned, so names cannot clash. An empty table gives an
     empty result, and without labels only the rules decide.
     """
     host, path = url_parts(F.col(url_col))
     parts = pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"))
     labelled = (
         outcomes.where("bad IS NOT NULL").select("page_id", "bad")
-        .join(parts.select("page_id", "host"), "page_id")
+        .join(parts.select("page_id", "host").distinct(), "page_id")
     )
-    reputation = written(host_reputation(labelled, parts.select("host")), "host-rates")
+    reputation = written(host_reputation(labelled, parts.select("host"), suffixes, deviations),
+                         "host-rates")
     if fits_broadcast(reputation, "host"):
         judged = parts.join(F.broadcast(reputation), "host", "left")
     else:
         judged = hot_key_join(parts, reputation, "host", "pages", "page_id")
     rule, decision = matching_rule(F.col("host"), F.col("path"), RULES if rules is None else rules)
-    by_rate = F.when(F.col("bad_rate_low") > max_bad_rate, F.lit("block")).otherwise(F.lit("allow"))
+    worse = F.col("bad_rate_low") > max_lift * F.col("overall_rate")
+    by_rate = F.when(worse, F.lit("block")).otherwise(F.lit("allow"))
     return judged.select(
         "page_id", "host", "path",
         rule.alias("rule"),
@@ -228,7 +255,7 @@ def op6_judge_urls(spark, sf_dir: str) -> DataFrame:
         F.col("doc_id").alias("page_id"),
         ((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("int").alias("bad"),
     )
-    judged = judge_urls(table(spark, sf_dir, "pages"), outcomes)
+    judged = judge_urls(table(spark, sf_dir, "pages"), outcomes, deviations=QUERY_DEVIATIONS)
     return judged.select(
         "page_id", "host", "path", "rule", "verdict", "n_labelled",
         F.round("bad_rate", 9).alias("bad_rate"), F.round("bad_rate_low", 9).alias("bad_rate_low"),
@@ -253,53 +280,85 @@ WITH u AS (
   SELECT page_id, max_by(rule, length(rule)) AS rule, max_by(decision, length(rule)) AS decision
   FROM p JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)
   GROUP BY page_id
+), split AS (
+  SELECT page_id, host, string_split(host, '.') AS l FROM p
+), suffixed AS (
+  SELECT page_id, host, l,
+         CASE WHEN len(l) >= 2 AND length(l[-1]) = 2 AND l[-2] IN (
+                'ac', 'co', 'com', 'edu', 'go', 'gob', 'gov', 'gouv', 'ltd', 'me', 'mil', 'ne',
+                'net', 'nom', 'or', 'org', 'plc', 'sch') THEN 2 ELSE 1 END AS k
+  FROM split
+), told AS (
+  SELECT doc_id, CASE WHEN quality = 0 OR toxic = 1 THEN 1.0 ELSE 0.0 END AS bad
+  FROM labels WHERE quality IS NOT NULL AND toxic IS NOT NULL OR quality = 0 OR toxic = 1
 ), hosts AS (
-  SELECT host, string_split(host, '.')[-1] AS suffix,
-         array_to_string(string_split(host, '.')[-2:], '.') AS domain,
-         count(*)::double AS n, sum(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END)::double AS bad
-  FROM p JOIN labels ON page_id = doc_id GROUP BY ALL
+  SELECT host, array_to_string(l[-k:], '.') AS suffix,
+         array_to_string(l[-least(len(l), k + 1):], '.') AS domain,
+         count(doc_id)::double AS n, coalesce(sum(bad), 0)::double AS bad
+  FROM suffixed LEFT JOIN told ON page_id = doc_id GROUP BY ALL
 ), domains AS (
-  SELECT suffix, domain, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY ALL
+  SELECT suffix, domain, sum(n) AS n, sum(bad) AS bad FROM hosts WHERE host <> '' GROUP BY ALL
 ), suffixes AS (
   SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM domains GROUP BY ALL
-), root AS (
-  SELECT (sum(bad) + 1) / (sum(n) + 2) AS m FROM hosts
-), f1 AS (
-  SELECT m, count(*) AS k, sum(n) - sum(n * n) / sum(n) AS room,
-         sum(n * (bad / n - m) ** 2) AS spread FROM suffixes, root GROUP BY m
-), s1 AS (
-  SELECT m, CASE WHEN k > 1 AND room > 0 AND (spread - m * (1 - m) * (k - 1)) / room > 0
+), top AS (
+  SELECT (sum(bad) + 1) / (sum(n) + 2) AS m, 0.5 AS above, 2.0 AS s FROM hosts
+), fit1 AS (
+  SELECT m, above, s, count(*) FILTER (n > 0) AS k,
+         sum(n) - sum(n * n) / nullif(sum(n), 0) AS room,
+         sum(CASE WHEN n > 0 THEN n * (bad / n - m) ** 2 END) AS spread
+  FROM suffixes, top GROUP BY m, above, s
+), strength1 AS (
+  SELECT m, above, k, CASE WHEN k <= 1 THEN s
+    WHEN (spread - m * (1 - m) * (k - 1)) / room > 0
     THEN least(greatest(m * (1 - m) / ((spread - m * (1 - m) * (k - 1)) / room) - 1, 1), 10000)
-    ELSE 10000 END AS s FROM f1
-), m1 AS (
-  SELECT suffix, (m * s + bad) / (s + n) AS m FROM suffixes, s1
-), f2 AS (
-  SELECT suffix, m, count(*) AS k, sum(n) - sum(n * n) / sum(n) AS room,
-         sum(n * (bad / n - m) ** 2) AS spread FROM domains JOIN m1 USING (suffix) GROUP BY suffix, m
-), s2 AS (
-  SELECT suffix, m, CASE WHEN k > 1 AND room > 0 AND (spread - m * (1 - m) * (k - 1)) / room > 0
+    ELSE 10000 END AS s
+  FROM fit1
+), prior1 AS (
+  SELECT suffix, n, bad, s, CASE WHEN k > 1 OR n = 0 THEN m ELSE above END AS above
+  FROM suffixes, strength1
+), rate1 AS (
+  SELECT suffix, above, s, (above * s + bad) / (s + n) AS m FROM prior1
+), fit2 AS (
+  SELECT suffix, m, above, s, count(*) FILTER (n > 0) AS k,
+         sum(n) - sum(n * n) / nullif(sum(n), 0) AS room,
+         sum(CASE WHEN n > 0 THEN n * (bad / n - m) ** 2 END) AS spread
+  FROM domains JOIN rate1 USING (suffix) GROUP BY suffix, m, above, s
+), strength2 AS (
+  SELECT suffix, m, above, k, CASE WHEN k <= 1 THEN s
+    WHEN (spread - m * (1 - m) * (k - 1)) / room > 0
     THEN least(greatest(m * (1 - m) / ((spread - m * (1 - m) * (k - 1)) / room) - 1, 1), 10000)
-    ELSE 10000 END AS s FROM f2
-), m2 AS (
-  SELECT domain, (m * s + bad) / (s + n) AS m FROM domains JOIN s2 USING (suffix)
-), f3 AS (
-  SELECT domain, m, count(*) AS k, sum(n) - sum(n * n) / sum(n) AS room,
-         sum(n * (bad / n - m) ** 2) AS spread FROM hosts JOIN m2 USING (domain) GROUP BY domain, m
-), s3 AS (
-  SELECT domain, m, CASE WHEN k > 1 AND room > 0 AND (spread - m * (1 - m) * (k - 1)) / room > 0
+    ELSE 10000 END AS s
+  FROM fit2
+), prior2 AS (
+  SELECT domain, n, bad, s, CASE WHEN k > 1 OR n = 0 THEN m ELSE above END AS above
+  FROM domains JOIN strength2 USING (suffix)
+), rate2 AS (
+  SELECT domain, above, s, (above * s + bad) / (s + n) AS m FROM prior2
+), fit3 AS (
+  SELECT domain, m, above, s, count(*) FILTER (n > 0) AS k,
+         sum(n) - sum(n * n) / nullif(sum(n), 0) AS room,
+         sum(CASE WHEN n > 0 THEN n * (bad / n - m) ** 2 END) AS spread
+  FROM hosts JOIN rate2 USING (domain) WHERE host <> '' GROUP BY domain, m, above, s
+), strength3 AS (
+  SELECT domain, m, above, k, CASE WHEN k <= 1 THEN s
+    WHEN (spread - m * (1 - m) * (k - 1)) / room > 0
     THEN least(greatest(m * (1 - m) / ((spread - m * (1 - m) * (k - 1)) / room) - 1, 1), 10000)
-    ELSE 10000 END AS s FROM f3
-), m3 AS (
-  SELECT host, n, s, (m * s + bad) / (s + n) AS m FROM hosts JOIN s3 USING (domain)
+    ELSE 10000 END AS s
+  FROM fit3
+), prior3 AS (
+  SELECT host, n, bad, s, CASE WHEN k > 1 OR n = 0 THEN m ELSE above END AS above
+  FROM hosts JOIN strength3 USING (domain) WHERE host <> ''
 ), rated AS (
-  SELECT host, n::bigint AS n_labelled, m AS bad_rate,
-         greatest(m - 1.645 * sqrt(m * (1 - m) / (s + n + 1)), 0) AS low FROM m3
+  SELECT host, n::bigint AS n_labelled, (above * s + bad) / (s + n) AS bad_rate, s + n + 1 AS w FROM prior3
+), bounded AS (
+  SELECT host, n_labelled, bad_rate, greatest(bad_rate - 1.282 * sqrt(bad_rate * (1 - bad_rate) / w), 0) AS low
+  FROM rated
 )
 SELECT p.page_id, p.host, path, rule,
-       coalesce(decision, CASE WHEN low > 0.3 THEN 'block' ELSE 'allow' END) AS verdict,
+       coalesce(decision, CASE WHEN low > m THEN 'block' ELSE 'allow' END) AS verdict,
        coalesce(n_labelled, 0) AS n_labelled, round(bad_rate, 9) AS bad_rate,
        round(low, 9) AS bad_rate_low
-FROM p LEFT JOIN fits USING (page_id) LEFT JOIN rated USING (host)
+FROM p LEFT JOIN fits USING (page_id) LEFT JOIN bounded USING (host), top
 """
 
 QUERIES = {"op6_judge_urls": op6_judge_urls}

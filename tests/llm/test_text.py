@@ -10,15 +10,18 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+from conftest import MEDIUM
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from reviewmill.llm import url_reputation
 from reviewmill.llm.bpe import Encoder, bpe_decode, bpe_encode, decode, default_vocabulary
 from reviewmill.llm.class_lm import class_lm_scores
 from reviewmill.llm.html_text import extract_text, main_text
 from reviewmill.llm.mixing import mix_sources
 from reviewmill.llm.quality import line_quality, quality_rules
 from reviewmill.llm.token_counts import at_limits, length_histogram, limit_totals
-from reviewmill.llm.url_reputation import judge_urls
+from reviewmill.llm.url_reputation import domain_of, judge_urls, suffix_of
 
 DOCS = "doc_id bigint, text string"
 LETTERS = [*"abcXYZ019 '.,!\n\t\r\x0b\x00\x1céüß|#*中文🙂", "'s", "'ll", " ", "  ", "<|endoftext|>", "\n\n",
@@ -308,6 +311,30 @@ def test_hosts_without_labels_follow_domain_suffix_and_all_pages(spark):
     assert found[904].bad_rate is None and found[904].verdict == "allow"
 
 
+def test_repeated_page_ids_count_a_label_once_per_host(spark):
+    rows = [(1, "http://a.org/1"), (1, "http://a.org/2"), (1, "http://b.org/"), (2, "http://a.org/3"), (None, "http://a.org/4")]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string")
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 1), (None, 1)], "page_id bigint, bad int")
+    found = judge_urls(pages, labels).collect()
+    assert sorted((r.page_id or 0, r.host, r.n_labelled) for r in found) == [
+        (0, "a.org", 3), (1, "a.org", 3), (1, "a.org", 3), (1, "b.org", 2), (2, "a.org", 3)]
+
+
+def test_suffixes_by_shape_and_by_list(spark):
+    hosts = ["x.y.co.uk", "co.uk", "uk", "a.b.github.io", "b.com.br", "a.news", "a.b.xx", "localhost", ""]
+    frame = spark.createDataFrame([(h,) for h in hosts], "host string")
+    host = F.col("host")
+    shown = frame.select(suffix_of(host, ["github.io"]).alias("s"),
+                         domain_of(host, suffix_of(host, ["github.io"])).alias("d")).collect()
+    assert [r.s for r in shown] == ["co.uk", "co.uk", "uk", "github.io", "com.br", "news", "xx", "localhost", ""]
+    assert [r.d for r in shown] == ["y.co.uk", "co.uk", "uk", "b.github.io", "b.com.br", "a.news", "b.xx", "localhost", ""]
+
+
+def test_both_verdicts_without_a_rule(spark):
+    query = url_reputation.QUERIES["op6_judge_urls"](spark, MEDIUM).where("rule IS NULL")
+    assert {r.verdict for r in query.select("verdict").distinct().collect()} == {"allow", "block"}
+
+
 @pytest.mark.parametrize("bad_pages", [1, 2])
 def test_a_few_bad_pages_of_a_domains_only_host_block_nothing(spark, bad_pages):
     """Domains of one host each and very different rates: the suffix has a mean of 0.2 and is weak."""
