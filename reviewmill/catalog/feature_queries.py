@@ -15,6 +15,7 @@ from reviewmill.catalog.common import (
 )
 from reviewmill.catalog.oracle_views import (
     DOCUMENT_REVIEWS,
+    EVENT_REVIEWS,
     PATCHY_TO_FEATURES,
     REVIEWS_TO_FEATURES,
     REVIEWS_TO_SILVER,
@@ -35,17 +36,28 @@ from reviewmill.operators.features import (
     scaling_input,
     silver_reviews,
 )
+from reviewmill.operators.normalise import raw_reviews
 from reviewmill.operators.ordering import first_rows
 from reviewmill.operators.sampling import growing_fractions, hash_sample, with_fold
-from reviewmill.operators.splits import split_sizes, time_cuts, with_split
+from reviewmill.operators.splits import (
+    cuts_of_sketches,
+    split_sizes,
+    time_cuts,
+    time_sketches,
+    with_split,
+)
 from reviewmill.operators.text_stats import STATISTICS, TextStats
 from reviewmill.plans.scaling import BASE_FRACTION, PARTITIONS
-from reviewmill.session import use_utc
+from reviewmill.plans.rollups import refresh_rollups, stored_category_days
+from reviewmill.session import shared_folder, use_utc, written
+from reviewmill.sinks.tables import read_csv, write_bronze, write_csv
 from reviewmill.sources.examples import event_reviews, line_reviews
+from reviewmill.streaming.ingest import StreamTarget, write_batch
 
 LIMIT_ROWS = 5000
 SAMPLE_FRACTION = 0.20
 FOLDS = 3
+RANK_ERROR = 0.01
 
 
 def feat_base(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,6 +108,28 @@ def split_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return time_cuts(features(spark, sf_dir))
 
 
+def split_quantiles_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cuts from one stored sketch per month, and whether their exact ranks are near enough."""
+    rows = features(spark, sf_dir)
+    month = rows.withColumn("month", F.date_trunc("month", "review_dt"))
+    sketches = written(time_sketches(month, ["month"], RANK_ERROR), "time-sketches")
+    cuts = cuts_of_sketches(sketches, RANK_ERROR).first()
+    wanted = {"train_end": 0.70, "valid_end": 0.85}
+    time = F.col("unix_time")
+    ranks = rows.agg(
+        F.count("*").alias("n"),
+        *[f.alias(f"{name}_{kind}") for name in wanted for kind, f in (
+            ("below", F.count_if(time < cuts[name])), ("upto", F.count_if(time <= cuts[name])))],
+    )
+    near = [
+        F.struct(F.lit(name).alias("cut"), F.col("n").alias("rows"), (
+            (F.col(f"{name}_below") / F.col("n") <= share + RANK_ERROR)
+            & (F.col(f"{name}_upto") / F.col("n") >= share - RANK_ERROR)).alias("near"))
+        for name, share in wanted.items()
+    ]
+    return ranks.select(F.inline(F.array(*near)))
+
+
 def temporal_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_sizes(with_split(features(spark, sf_dir)))
 
@@ -127,6 +161,35 @@ def dash_business_insights_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return business_insights(category_days(silver_reviews(line_reviews(use_utc(spark), sf_dir))))
 
 
+def dash_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Insights from stored parts, after a run was repeated and a stream has added to the table."""
+    folder = shared_folder(use_utc(spark), "rollups")
+    target = StreamTarget(
+        f"{folder}/bronze", f"{folder}/rejects", f"{folder}/audit", f"{folder}/checkpoint"
+    )
+    documents = whole(spark, sf_dir)
+    write_bronze(documents.limit(50), target.bronze_path, "documents")
+    refresh_rollups(spark, target.bronze_path)
+    write_bronze(documents, target.bronze_path, "documents")
+    write_batch(raw_reviews(event_reviews(spark, sf_dir)), 0, target)
+    return business_insights(stored_category_days(spark, target.bronze_path))
+
+
+def dash_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with quotes, commas and line breaks as CSV and back, with lines that do not fit."""
+    folder = shared_folder(use_utc(spark), "csv")
+    body = F.concat(F.lit('"'), "review_title", F.lit('", '), "review_body", F.lit("\n, "))
+    rows = whole(spark, sf_dir).select("review_id", "stars", body.alias("review_body"))
+    write_csv(rows.repartition(3), folder)
+    broken = rows.where("stars = 5").select(F.concat("review_id", F.lit(",five,short")).alias("value"))
+    header = spark.range(1).select(F.lit("review_id,stars,review_body").alias("value"))
+    header.coalesce(1).union(broken.coalesce(1)).coalesce(1).write.mode("append").text(folder)
+    stored = read_csv(spark, folder, "review_id string, stars int, review_body string", "corrupt")
+    return stored.select(
+        "review_id", "stars", "review_body", F.col("corrupt").isNotNull().alias("corrupt")
+    )
+
+
 def _dated(trend: DataFrame) -> DataFrame:
     return trend.withColumn("month_start", F.col("month_start").cast("date"))
 
@@ -155,6 +218,7 @@ QUERIES = {
     "sample_hash": sample_hash,
     "sample_growth": sample_growth,
     "split_quantiles": split_quantiles,
+    "split_quantiles_sketch": split_quantiles_sketch,
     "temporal_split": temporal_split,
     "cv_folds": cv_folds,
     "text_stats": text_stats,
@@ -162,6 +226,8 @@ QUERIES = {
     "dash_daily_volume": dash_daily_volume,
     "dash_business_insights": dash_business_insights,
     "dash_business_insights_lines": dash_business_insights_lines,
+    "dash_incremental": dash_incremental,
+    "dash_csv_roundtrip": dash_csv_roundtrip,
     "sql_category_trend": sql_category_trend,
     "sql_category_trend_lines": sql_category_trend_lines,
     "sql_data_quality": sql_data_quality,
@@ -207,6 +273,18 @@ draws AS (SELECT {_DRAW} AS draw FROM valid) {_STEPS}""",
     "split_quantiles": f"""{REVIEWS_TO_FEATURES}
 SELECT quantile_disc(unix_time, 0.70) AS train_end, quantile_disc(unix_time, 0.85) AS valid_end
 FROM features""",
+    "split_quantiles_sketch": f"""{REVIEWS_TO_FEATURES}
+SELECT unnest(['train_end', 'valid_end']) AS cut, (SELECT count(*) FROM features) AS rows,
+  true AS near""",
+    "dash_incremental": f"""{EVENT_REVIEWS}, {REVIEWS_TO_SILVER.removeprefix("WITH ")},
+every AS (SELECT product_category, review_dt, stars FROM silver UNION ALL
+  SELECT product_category, CAST(review_date AS DATE), CAST(stars AS INTEGER) FROM event_reviews)
+{_INSIGHTS} FROM every GROUP BY 1, 2""",
+    "dash_csv_roundtrip": f"""{REVIEWS_TO_FEATURES}
+SELECT review_id, stars, '"' || review_title || '", ' || review_body || chr(10) || ', '
+  AS review_body, false AS corrupt FROM valid
+UNION ALL
+SELECT review_id, NULL, 'short', true FROM valid WHERE stars = 5""",
     "temporal_split": f"""{REVIEWS_TO_FEATURES},
 cuts AS (SELECT quantile_disc(unix_time, 0.70) AS train_end,
   quantile_disc(unix_time, 0.85) AS valid_end FROM features)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.catalog.common import reviews, silver, valid
+from reviewmill.catalog.common import reviews, silver, valid, whole
 from reviewmill.catalog.oracle_views import (
     ACCURACY,
     CELLS,
@@ -14,7 +14,9 @@ from reviewmill.catalog.oracle_views import (
     EVENT_FEED,
     EVENT_REVIEWS,
     F1_BINARY,
+    AUC,
     F1_WEIGHTED,
+    REVIEWS_TO_FEATURES,
     REVIEWS_TO_SILVER,
     REVIEWS_TO_VALID,
     SCORED,
@@ -33,17 +35,24 @@ from reviewmill.operators.validation import (
     rejected_reviews,
     valid_reviews,
 )
-from reviewmill.plans.ingest import IngestTarget, Lineage, capped, run_ingest
-from reviewmill.schemas import MODEL_SCORE, REVIEW_COLUMNS
-from reviewmill.session import shared_folder, use_utc
-from reviewmill.sinks.tables import write_bronze, write_json, write_table
+from reviewmill.plans.ingest import IngestTarget, Lineage, capped, normalise, run_ingest
+from reviewmill.schemas import MODEL_SCORE, PARTITION_COLUMNS, RAW_FEED, REVIEW_COLUMNS
+from reviewmill.session import shared_folder, use_utc, written
+from reviewmill.sinks.commits import next_place
+from reviewmill.sinks.tables import (
+    compact_bronze,
+    vacuum_bronze,
+    write_bronze,
+    write_json,
+    write_table,
+)
 from reviewmill.sources.examples import (
     document_reviews,
     event_review_columns,
     event_reviews,
     scored_documents,
 )
-from reviewmill.sources.feeds import FEED_COLUMN, read_feed, stream_feed
+from reviewmill.sources.feeds import FEED_COLUMN, read_feed, read_mixed_json_feed, stream_feed
 from reviewmill.sources.tables import model_rows, read_bronze, read_model_metrics, read_silver
 from reviewmill.streaming.ingest import StreamTarget, read_batch_audit, start_ingest
 
@@ -242,7 +251,7 @@ def metrics_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(use_utc(spark), "metrics")
     by_length = scored_documents(spark, sf_dir)
     by_score = by_length.withColumn("prediction", (F.col("score") >= 5.0).cast("double"))
-    names = ["f1_weighted", "f1_binary", "accuracy"]
+    names = ["auc", "f1_weighted", "f1_binary", "accuracy"]
     cards = [
         score_card(rule).select(F.lit(name).alias("model"), *names)
         for name, rule in {"by_length": by_length, "by_score": by_score}.items()
@@ -251,13 +260,84 @@ def metrics_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_json(models.agg(F.collect_list(F.struct("*")).alias("models")), folder)
     return model_rows(read_model_metrics(spark, folder)).select(
         *[F.round(f.name, 9).alias(f.name) if f.name in names else f.name
-          for f in MODEL_SCORE.fields if f.name not in ("auc", "valid_auc")]
+          for f in MODEL_SCORE.fields if f.name != "valid_auc"]
     )
 
 
+def bronze_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of a repeated run, a run that broke off, and runs merged in place, as readers see it."""
+    folder = shared_folder(use_utc(spark), "snapshot")
+    rows = valid(spark, sf_dir)
+    odd = F.substring("review_id", 2, 20).cast("bigint") % 2 == 1
+    write_bronze(rows.where(odd).limit(5), folder, "odd")
+    write_bronze(rows.where(odd), folder, "odd")
+    write_bronze(rows.where(~odd), folder, "even")
+    _break_off(rows, folder, "late")
+    before = read_bronze(spark, folder).agg(F.count("*")).first()[0]
+    compact_bronze(spark, folder)
+    _break_off(rows, folder, "later")
+    vacuum_bronze(spark, folder)
+    stored = read_bronze(spark, folder)
+    return stored.groupBy("language", "review_year", "review_month").agg(
+        F.count("*").alias("reviews"),
+        F.sum("stars").alias("stars"),
+        F.lit(before).alias("rows_before_merging"),
+    )
+
+
+def _break_off(rows: DataFrame, folder: str, run: str) -> None:
+    """Leave the data of a run that never came to its commit."""
+    _, place = next_place(rows.sparkSession, folder, run)
+    with_month_partitions(rows).write.partitionBy(*PARTITION_COLUMNS).parquet(f"{folder}/{place}")
+
+
+def _mixed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keyed and raw records as JSON lines, some cut off, some with a value of another type."""
+    names = [c for c in REVIEW_COLUMNS if c != "vine"]
+    keyed = document_reviews(spark, sf_dir).select(
+        F.to_json(F.struct(*names)).alias("line"), F.col("doc_id").alias("n")
+    )
+    keyed = keyed.select(
+        F.when(F.col("n") % 31 == 0, F.expr("left(line, length(line) - 1)"))
+        .when(F.col("n") % 37 == 0, F.concat(F.lit("["), "line", F.lit("]")))
+        .when(F.col("n") % 41 == 0, F.lit('{"review_id": {"part": 1}, "stars": "4"}'))
+        .otherwise(F.col("line")).alias("value")
+    )
+    fields = [f.name for f in RAW_FEED.fields]
+    wrong = F.col("row_key").cast("bigint")
+    raw = event_reviews(spark, sf_dir).select(
+        F.to_json(F.struct(
+            *[c for c in fields if c != "rating"],
+            F.when(wrong % 43 != 0, F.col("rating")).alias("rating"),
+            F.when(wrong % 43 == 0, F.lit("five")).alias("_text"),
+        )).alias("value")
+    )
+    # A rating given as text stands in the place of a number.
+    return keyed.union(raw.select(F.replace("value", F.lit('"_text"'), F.lit('"rating"'))))
+
+
+def ingest_norm_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both record shapes in one file of JSON lines: every record's fields, outcome and error."""
+    folder = shared_folder(use_utc(spark), "mixed")
+    _mixed_lines(spark, sf_dir).write.text(folder)
+    records = read_mixed_json_feed(spark, folder, "raw_review_mixed")
+    reviews = written(normalise(records, "mixed"), "normalised")
+    rejects = rejected_reviews(reviews).select(
+        "reason", F.array_join("fields", ",").alias("fields"), "error"
+    )
+    stored = valid_reviews(reviews)
+    names = [c for c in REVIEW_COLUMNS if c != "vine"]
+    outcome = stored.select(
+        *names, F.lit("valid").alias("reason"), F.lit(None).cast("string").alias("fields"),
+        F.lit(None).cast("string").alias("error"),
+    )
+    nothing = [F.lit(None).cast(stored.schema[c].dataType).alias(c) for c in names]
+    return outcome.unionByName(rejects.select(*nothing, "reason", "fields", "error"))
+
+
 def partition_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Number of partitions, rows in all, and whether no partition has far more than its share."""
-    sizes = partition_sizes(spread(valid(spark, sf_dir), SPREAD_PARTITIONS))
+    sizes = partition_sizes(spread(whole(spark, sf_dir), SPREAD_PARTITIONS))
     rows = F.sum("rows_in_partition")
     share = rows / SPREAD_PARTITIONS
     return sizes.agg(
@@ -287,12 +367,19 @@ QUERIES = {
     "ingest_metrics": ingest_metrics_row,
     "silver": silver_table,
     "partition_balance": partition_balance,
+    "bronze_snapshot": bronze_snapshot,
+    "ingest_norm_mixed": ingest_norm_mixed,
     "ingest_batch_then_stream": ingest_batch_then_stream,
     "ingest_bad_timestamps": ingest_bad_timestamps,
     "row_cap_nulls": row_cap_nulls,
 }
 
 _COLUMNS = ", ".join(REVIEW_COLUMNS)
+_MIXED = _COLUMNS.replace(", vine", "")
+_MIXED_RAW = _MIXED.replace("stars", "CAST(stars AS INTEGER) AS stars").replace(
+    "product_category", "'mixed' AS product_category"
+)
+_NO_FIELDS = ", ".join(f"NULL AS {name}" for name in _MIXED.split(", "))
 _AS_TEXT = _COLUMNS.replace("stars", "CAST(stars AS VARCHAR) AS stars")
 _FIELDS = """concat_ws(',', CASE WHEN review_id IS NULL OR review_id = '' THEN 'review_id' END,
     CASE WHEN stars IS NULL THEN 'stars' END,
@@ -310,13 +397,13 @@ rejects AS (
   FROM checked WHERE is_missing OR is_out_of_range OR is_bad_date)"""
 _MONTHS = """CAST(year(CAST(review_date AS DATE)) AS INTEGER) AS review_year,
     CAST(month(CAST(review_date AS DATE)) AS INTEGER) AS review_month"""
-_RULE = """SELECT '{name}' AS model, round({f1w}, 9) AS f1_weighted, round({f1b}, 9) AS f1_binary,
-    round({acc}, 9) AS accuracy, CAST(NULL AS DOUBLE) AS train_seconds FROM cells"""
+_RULE = """SELECT '{name}' AS model, round(auc, 9) AS auc, round({f1w}, 9) AS f1_weighted, round({f1b}, 9) AS f1_binary,
+    round({acc}, 9) AS accuracy, CAST(NULL AS DOUBLE) AS train_seconds FROM cells, auc"""
 
 
 def _rule(name: str, scored: str) -> str:
     body = _RULE.format(name=name, f1w=F1_WEIGHTED, f1b=F1_BINARY, acc=ACCURACY)
-    return f"SELECT * FROM (WITH {scored}, {CELLS} {body})"
+    return f"SELECT * FROM (WITH {scored}, {CELLS}, {AUC} {body})"
 
 
 _BY_SCORE = SCORED.replace(
@@ -378,8 +465,27 @@ n AS (SELECT rating, row_number() OVER (ORDER BY rating NULLS LAST) AS place,
 SELECT 'small' AS cap, rating, count(*) AS rows FROM n WHERE place <= 100 GROUP BY ALL
 UNION ALL
 SELECT 'large', rating, count(*) FROM n WHERE place <= total - 100 GROUP BY ALL""",
-    "partition_balance": f"""{REVIEWS_TO_VALID}
+    "partition_balance": f"""{REVIEWS_TO_FEATURES}
 SELECT 8 AS partitions, count(*) AS rows, true AS even FROM valid""",
+    "bronze_snapshot": f"""{REVIEWS_TO_VALID}
+SELECT language, {_MONTHS}, count(*) AS reviews, CAST(sum(stars) AS BIGINT) AS stars,
+  (SELECT count(*) FROM valid) AS rows_before_merging FROM valid GROUP BY ALL""",
+    "ingest_norm_mixed": f"""{EVENT_REVIEWS}, {DOCUMENT_REVIEWS}, {CHECKED},
+keyed AS (
+  SELECT *, CASE WHEN doc_id % 31 = 0 OR doc_id % 37 = 0 THEN 'not_a_json_object'
+    WHEN doc_id % 41 = 0 THEN 'wrong_type_of_review_id' END AS broken FROM checked)
+SELECT {_MIXED}, 'valid' AS reason, NULL AS fields, NULL AS error FROM keyed
+WHERE broken IS NULL AND NOT is_missing AND NOT is_out_of_range AND NOT is_bad_date
+UNION ALL
+SELECT {_MIXED_RAW}, 'valid', NULL, NULL FROM event_reviews WHERE NOT is_text
+UNION ALL
+SELECT {_NO_FIELDS}, CASE WHEN broken IS NULL AND is_missing THEN '{MISSING}' ELSE '{INVALID}' END,
+  CASE WHEN broken IS NULL AND is_missing THEN {_FIELDS} END,
+  CASE WHEN broken IS NOT NULL THEN broken WHEN is_missing THEN NULL
+    WHEN is_out_of_range THEN '{OUT_OF_RANGE}' ELSE '{BAD_DATE}' END
+FROM keyed WHERE broken IS NOT NULL OR is_missing OR is_out_of_range OR is_bad_date
+UNION ALL
+SELECT {_NO_FIELDS}, '{INVALID}', NULL, 'wrong_type_of_rating' FROM event_reviews WHERE is_text""",
     "silver": f"""{REVIEWS_TO_SILVER}
 SELECT {_COLUMNS}, review_dt, is_positive, review_month_start FROM silver""",
 }

@@ -96,7 +96,7 @@ event_reviews AS (
     'en' AS language, regexp_replace(_dataset_config, '^raw_review_', '') AS product_category,
     strftime(make_timestamp("timestamp" * 1000), '%Y-%m-%d') AS review_date,
     CASE WHEN verified_purchase THEN 'True' ELSE 'False' END AS verified_purchase,
-    CAST(NULL AS VARCHAR) AS vine
+    CAST(NULL AS VARCHAR) AS vine, event_id % 43 = 0 AS is_text
   FROM event_feed)"""
 
 SCORED = """

@@ -17,10 +17,9 @@ from reviewmill.catalog.oracle_views import (
     TOKENS,
     WORD_BREAK,
 )
-from reviewmill.functions.draws import poisson_thresholds
 from reviewmill.functions.text import STOP_WORDS, space_tokens, without_stop_words
 from reviewmill.operators import terms
-from reviewmill.operators.bootstrap import DRAWS_PER_DIGEST, ITERATIONS, accuracy_interval
+from reviewmill.operators.bootstrap import accuracy_interval
 from reviewmill.operators.scoring import (
     accuracy,
     area_under_roc,
@@ -147,17 +146,27 @@ QUERIES = {
 _CELLS = f"WITH {SCORED}, {CELLS}"
 _PROFIT = "3.0::DOUBLE * tp - fp - 2 * fn"
 STOP_LIST = ", ".join("'" + word.replace("'", "''") + "'" for word in STOP_WORDS)
-_WEIGHT = " + ".join(f"(draw >= '{level}')::INTEGER" for level in poisson_thresholds())
-_INTERVAL = f"""
+# The binomial distribution of a resample's hits, inverted at 200 draws of 52 bits.
+_INTERVAL = """
+hit_counts AS (
+  SELECT count(*)::DOUBLE AS n, count(*) FILTER (prediction = lab)::DOUBLE AS h FROM scored),
+numbers AS (
+  SELECT n, h, unnest(generate_series(
+    greatest(ceil(h - 16 * sqrt(h * (1 - h / n)) - 160), 0)::BIGINT,
+    least(floor(h + 16 * sqrt(h * (1 - h / n)) + 160), n)::BIGINT)) AS k FROM hit_counts),
+logs AS (
+  SELECT n, k, sum(CASE WHEN k = (SELECT min(k) FROM numbers) THEN 0.0
+    ELSE ln((n - k + 1) / k * (h / (n - h))) END) OVER (ORDER BY k) AS l FROM numbers),
+upto AS (
+  SELECT n, k, sum(exp(l - (SELECT max(l) FROM logs))) OVER (ORDER BY k)
+    / (SELECT sum(exp(l - (SELECT max(l) FROM logs))) FROM logs) AS upto FROM logs),
 draws AS (
-  SELECT i AS iteration, (prediction = lab)::INTEGER AS hit,
-    substr(sha256('42:' || (i // {DRAWS_PER_DIGEST}) || ':' || review_id),
-      CAST(1 + 8 * (i % {DRAWS_PER_DIGEST}) AS BIGINT), 8) AS draw
-  FROM scored, range({ITERATIONS}) AS steps(i)),
-weights AS (SELECT iteration, hit, {_WEIGHT} AS weight FROM draws),
+  SELECT i AS iteration,
+    ('0x' || substr(sha256('42:' || i), 1, 13))::BIGINT::DOUBLE / 4503599627370496 AS draw
+  FROM range(200) AS steps(i)),
 resamples AS (
-  SELECT iteration, sum(hit * weight)::DOUBLE / sum(weight) AS accuracy
-  FROM weights GROUP BY iteration),
+  SELECT iteration, min(k) / min(n) AS accuracy FROM draws JOIN upto ON upto > draw
+  GROUP BY iteration),
 ends AS (
   SELECT quantile_cont(accuracy, 0.025) AS low, quantile_cont(accuracy, 0.975) AS high
   FROM resamples)"""

@@ -6,15 +6,13 @@ after every retry, and any engine with the same hash function can check it.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 DEFAULT_SEED = 42
 HEX_DIGITS = 8
 DRAW_RANGE = 16**HEX_DIGITS
-POISSON_LEVELS = 7
+UNIFORM_DIGITS = 13
 
 
 def hex_threshold(probability: float) -> str:
@@ -35,19 +33,9 @@ def fold_of(key: Column, folds: int, seed: int = DEFAULT_SEED) -> Column:
     return (draw_number(key, seed) % folds).cast("int")
 
 
-def poisson_thresholds() -> list[str]:
-    """Hex texts of the cumulative Poisson(1) probabilities of 0 to 6."""
-    total, levels = 0.0, []
-    for k in range(POISSON_LEVELS):
-        total += math.exp(-1.0) / math.factorial(k)
-        levels.append(hex_threshold(total))
-    return levels
-
-
-def poisson_weight(digits: Column) -> Column:
-    """Poisson(1) count of a uniform draw: how often a row occurs in a resample."""
-    levels = poisson_thresholds()
-    weight = F.when(digits < levels[0], 0)
-    for count, level in enumerate(levels[1:], start=1):
-        weight = weight.when(digits < level, count)
-    return weight.otherwise(POISSON_LEVELS)
+def uniform(key: Column, seed: int = DEFAULT_SEED) -> Column:
+    """A draw from 0 up to 1 with 52 random bits, as many as a double holds without rounding."""
+    digest = F.sha2(F.concat(F.lit(f"{seed}:"), key.cast("string")), 256)
+    return F.conv(F.substring(digest, 1, UNIFORM_DIGITS), 16, 10).cast("double") / F.lit(
+        float(16**UNIFORM_DIGITS)
+    )

@@ -13,10 +13,11 @@ from reviewmill.functions.reviews import (
     yes_no_text,
 )
 from reviewmill.schemas import REVIEW, REVIEW_COLUMNS
-from reviewmill.sources.feeds import FEED_COLUMN
+from reviewmill.sources.feeds import FEED_COLUMN, ROW_KEY
 
-ROW_KEY = "row_key"
 DEFAULT_LANGUAGE = "en"
+# A column that only feeds of mixed shapes have: what is wrong with the record as a whole.
+RECORD_ERROR = "record_error"
 
 
 def _row_key(records: DataFrame) -> Column:
@@ -59,10 +60,14 @@ def raw_reviews(records: DataFrame) -> DataFrame:
 
 
 def mixed_reviews(records: DataFrame) -> DataFrame:
-    """Records of both shapes in one feed, told apart record by record in a single pass."""
+    """Records of both shapes in one feed, told apart record by record in a single pass.
+
+    What is wrong with a record as a whole goes on to validation.
+    """
     raw = _from_raw(records)
     # Keyed ratings are text; cut off a raw rating's fraction before it becomes text too.
     raw["stars"] = whole_stars(raw["stars"]).cast("string")
     keyed = F.col("has_review_id")
     columns = [F.when(keyed, F.col(c)).otherwise(raw[c]).alias(c) for c in REVIEW_COLUMNS]
-    return records.select(*columns, _row_key(records))
+    errors = [c for c in records.columns if c == RECORD_ERROR]
+    return records.select(*columns, _row_key(records), *errors)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,39 @@ from pyspark.sql import functions as F
 TRAIN_SHARE, VALID_SHARE = 0.70, 0.85
 
 
+SHARES = {"train_end": TRAIN_SHARE, "valid_end": VALID_SHARE}
+
+
+def sketch_size(relative_error: float) -> int:
+    """The parameter k of a KLL sketch whose ranks are off by at most this share, 99 times in 100."""
+    return min(max(math.ceil((2.446 / relative_error) ** (1 / 0.9433)), 8), 65_535)
+
+
+def time_sketches(rows: DataFrame, by: list[str], relative_error: float) -> DataFrame:
+    """One mergeable sketch of the times of each group, for instance of each month folder.
+
+    A sketch has a bounded size, so sketches can be stored beside the data and merged again whenever
+    groups are added, without reading the rows.
+    """
+    k = sketch_size(relative_error)
+    times = rows.where("unix_time IS NOT NULL")
+    return times.groupBy(*by).agg(
+        F.kll_sketch_agg_bigint("unix_time", k).alias("sketch"), F.count("*").alias("rows")
+    )
+
+
+def cuts_of_sketches(sketches: DataFrame, relative_error: float) -> DataFrame:
+    """The two times of ``time_cuts`` from merged sketches; null without rows."""
+    merged = sketches.agg(
+        F.kll_merge_agg_bigint("sketch", sketch_size(relative_error)).alias("all"),
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("n"),
+    )
+    return merged.select(
+        *[F.when(F.col("n") > 0, F.kll_sketch_get_quantile_bigint("all", F.lit(share))).alias(name)
+          for name, share in SHARES.items()]
+    )
+
+
 def time_cuts(rows: DataFrame, relative_error: float = 0.0) -> DataFrame:
     """One row with the times that end training and validation.
 
@@ -16,18 +51,12 @@ def time_cuts(rows: DataFrame, relative_error: float = 0.0) -> DataFrame:
     are never more of them than days on the calendar. For other time columns give a relative error,
     which bounds the memory instead.
     """
-    shares = {"train_end": TRAIN_SHARE, "valid_end": VALID_SHARE}
     if relative_error > 0.0:
-        accuracy = int(round(1.0 / relative_error))
-        cuts = [F.percentile_approx("unix_time", s, accuracy).alias(n) for n, s in shares.items()]
-    else:
-        cuts = [
-            F.expr(f"percentile_disc({s}D) WITHIN GROUP (ORDER BY unix_time)")
-            .cast("bigint")
-            .alias(n)
-            for n, s in shares.items()
-        ]
-    return rows.agg(*cuts)
+        return cuts_of_sketches(time_sketches(rows, [], relative_error), relative_error)
+    return rows.agg(*[
+        F.expr(f"percentile_disc({s}D) WITHIN GROUP (ORDER BY unix_time)").cast("bigint").alias(n)
+        for n, s in SHARES.items()
+    ])
 
 
 def with_split(rows: DataFrame, relative_error: float = 0.0) -> DataFrame:

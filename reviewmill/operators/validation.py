@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reviewmill.functions.reviews import MAX_STARS, MIN_STARS, parsed_date, whole_stars
-from reviewmill.operators.normalise import ROW_KEY
+from reviewmill.operators.normalise import RECORD_ERROR
 from reviewmill.schemas import REQUIRED, REVIEW
+from reviewmill.sources.feeds import ROW_KEY
 
 # Reasons in the reject table.
 MISSING = "missing_required"
@@ -45,8 +46,14 @@ def date_is_valid() -> Column:
     return parsed_date(F.col("review_date")).isNotNull()
 
 
+def record_error(reviews: DataFrame) -> Column:
+    """What is wrong with a record before its fields are looked at; null if nothing is."""
+    return F.col(RECORD_ERROR) if RECORD_ERROR in reviews.columns else F.lit(None).cast("string")
+
+
 def is_valid(reviews: DataFrame) -> Column:
-    return _all_present(reviews) & stars_in_range() & date_is_valid()
+    valid = _all_present(reviews) & stars_in_range() & date_is_valid()
+    return valid & F.col(RECORD_ERROR).isNull() if RECORD_ERROR in reviews.columns else valid
 
 
 def missing_fields(reviews: DataFrame) -> Column:
@@ -56,15 +63,18 @@ def missing_fields(reviews: DataFrame) -> Column:
 
 
 def reject_reason(reviews: DataFrame) -> Column:
-    """Missing fields come first, so a row has one reason; null for a valid row."""
-    return F.when(~_all_present(reviews), MISSING).when(
-        ~(stars_in_range() & date_is_valid()), INVALID
+    """A broken record comes first, then missing fields, so a row has one reason; null if valid."""
+    return (
+        F.when(record_error(reviews).isNotNull(), INVALID)
+        .when(~_all_present(reviews), MISSING)
+        .when(~(stars_in_range() & date_is_valid()), INVALID)
     )
 
 
-def reject_error() -> Column:
+def reject_error(reviews: DataFrame) -> Column:
     return (
-        F.when(whole_stars(F.col("stars")).isNull(), NOT_A_NUMBER)
+        F.when(record_error(reviews).isNotNull(), record_error(reviews))
+        .when(whole_stars(F.col("stars")).isNull(), NOT_A_NUMBER)
         .when(~stars_in_range(), OUT_OF_RANGE)
         .otherwise(BAD_DATE)
     )
@@ -93,7 +103,7 @@ def rejected_reviews(reviews: DataFrame) -> DataFrame:
         ROW_KEY,
         reason.alias("reason"),
         F.when(reason == MISSING, missing_fields(reviews)).otherwise(none).alias("fields"),
-        F.when(reason == INVALID, reject_error()).otherwise(none).alias("error"),
+        F.when(reason == INVALID, reject_error(reviews)).otherwise(none).alias("error"),
     )
 
 

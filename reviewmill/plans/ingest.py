@@ -14,7 +14,7 @@ from reviewmill.operators.normalise import keyed_reviews, mixed_reviews, raw_rev
 from reviewmill.operators.ordering import first_rows
 from reviewmill.operators.validation import rejected_reviews, valid_reviews
 from reviewmill.schemas import REVIEW_COLUMNS
-from reviewmill.session import written
+from reviewmill.session import remove_folder, shared_folder
 from reviewmill.sinks.tables import run_path, write_bronze, write_json, write_log
 
 NORMALISERS: dict[str, Callable[[DataFrame], DataFrame]] = {
@@ -102,16 +102,19 @@ def run_ingest(
 ) -> int:
     """Ingest one feed and return the number of rows written.
 
-    The feed is parsed once, into a columnar table from which valid rows and rejects are two scans.
-    Each run has a folder of its own in every log and table; a run that is given a name replaces
-    what an earlier run of that name has left. Only that folder is counted.
+    The feed is parsed once, into a columnar table from which valid rows and rejects are two scans,
+    and which is deleted when both are stored. Each run has a folder of its own in every log and
+    table; a run that is given a name replaces what an earlier run of that name has left.
     """
     spark = records.sparkSession
     run = run or uuid.uuid4().hex
-    reviews = written(normalise(records, shape), "normalised")
-    write_bronze(capped(valid_reviews(reviews), max_rows), target.bronze_path, run)
-    stored = spark.read.parquet(run_path(target.bronze_path, run))
+    parsed = shared_folder(spark, "normalised")
+    rows = normalise(records, shape)
+    rows.write.parquet(parsed)
+    reviews = spark.read.schema(rows.schema).parquet(parsed)
+    stored = write_bronze(capped(valid_reviews(reviews), max_rows), target.bronze_path, run)
     write_log(rejects_in_scope(reviews, stored, max_rows), target.rejects_path, run)
-    rows = stored.count()
-    write_json(ingest_metrics(spark, rows, lineage, target), target.metrics_path)
-    return rows
+    count = stored.count()
+    write_json(ingest_metrics(spark, count, lineage, target), run_path(target.metrics_path, run))
+    remove_folder(spark, parsed)
+    return count

@@ -68,6 +68,16 @@ BATCH_AUDIT = T.StructType(
     ]
 )
 
+PREDICTION = T.StructType(
+    [
+        T.StructField("review_id", T.StringType()),
+        T.StructField("label", T.DoubleType()),
+        T.StructField("prediction", T.DoubleType()),
+        T.StructField("probability", T.ArrayType(T.DoubleType())),
+        T.StructField("rawPrediction", T.ArrayType(T.DoubleType())),
+    ]
+)
+
 MODEL_SCORE = T.StructType(
     [
         T.StructField("model", T.StringType()),

@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 # Names and settings of a session that runs these jobs.
@@ -57,6 +58,21 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/reviewmill/{purpose}-{uuid.uuid4().hex}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path can be listed, on whatever file system the cluster reads."""
+    try:
+        spark.read.text(path).schema
+        return True
+    except AnalysisException:
+        return False
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this package wrote, with the cluster's own file system client."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def written(rows: DataFrame, purpose: str) -> DataFrame:
     """Write a small derived table to the shared folder once and read it from there.
 

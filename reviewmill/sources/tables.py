@@ -2,24 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewmill.schemas import (
     MODEL_METRICS,
     PARTITION_COLUMNS,
+    PREDICTION,
     REVIEW_COLUMNS,
     SCALING,
     STORED_REVIEW,
 )
+from reviewmill.session import path_exists
+from reviewmill.sinks.commits import snapshot_folders
 
 
 def read_bronze(
     spark: SparkSession, path: str, first_day: str | None = None, last_day: str | None = None
 ) -> DataFrame:
-    """Stored reviews; a day range also becomes a filter on the month folders."""
-    stored = spark.read.schema(STORED_REVIEW).parquet(path)
+    """Reviews of the runs that are committed now; a day range also becomes a month folder filter.
+
+    The folders are listed once, when this is called, so a table that changes later is still read
+    as it was.
+    """
+    folders = snapshot_folders(spark, path)
+    reader = spark.read.schema(STORED_REVIEW).option("basePath", path)
+    stored = reader.parquet(*folders) if folders else spark.createDataFrame([], STORED_REVIEW)
     month = F.col("review_year") * 12 + F.col("review_month")
     if first_day is not None:
         year, mon, _ = (int(p) for p in first_day.split("-"))
@@ -38,7 +46,7 @@ def read_silver(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    return spark.read.schema(PREDICTION).parquet(path)
 
 
 def read_model_metrics(spark: SparkSession, path: str) -> DataFrame:
@@ -51,15 +59,6 @@ def model_rows(metrics: DataFrame) -> DataFrame:
     return metrics.selectExpr("inline(models)")
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path can be listed, on whatever file system the cluster reads."""
-    try:
-        spark.read.text(path).schema
-        return True
-    except AnalysisException:
-        return False
-
-
 def read_scaling(spark: SparkSession, path: str) -> DataFrame:
     """The scaling table, or an empty one where none was written."""
     if not path_exists(spark, path):

@@ -19,7 +19,8 @@ from reviewmill.operators.ordering import running_total
 from reviewmill.operators.validation import is_valid, rejected_reviews, valid_reviews
 from reviewmill.plans.ingest import normalise
 from reviewmill.schemas import BATCH_AUDIT, REJECT
-from reviewmill.sinks.tables import RUN_FOLDER, write_bronze, write_log
+from reviewmill.sinks.commits import RUN_FOLDER
+from reviewmill.sinks.tables import write_bronze, write_log
 
 
 @dataclass(frozen=True)

@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 from reviewmill.operators.validation import rejected_reviews, valid_reviews
 from reviewmill.plans.ingest import IngestTarget, Lineage, normalise, run_ingest, union_feeds
 from reviewmill.schemas import REVIEW_COLUMNS
+from reviewmill.session import path_exists
 from reviewmill.sinks.tables import compact_bronze, read_csv, write_bronze, write_csv
 from reviewmill.sources.examples import document_reviews
 from reviewmill.sources.feeds import read_feed, read_mixed_json_feed, stream_feed
 from reviewmill.sources.tables import (
     model_rows,
-    path_exists,
     read_bronze,
     read_model_metrics,
     read_scaling,
@@ -181,6 +181,42 @@ def test_mixed_feed_decides_by_the_key(spark, tmp_path):
     ]
 
 
+WRONG = [
+    ('{"review_id": "k", "stars": "4"', "not_a_json_object"), ("[1, 2]", "not_a_json_object"),
+    ("plain", "not_a_json_object"), ("null", "not_a_json_object"),
+    ('{"review_id": {"a": 1}, "stars": "4"}', "wrong_type_of_review_id"),
+    ('{"review_id": "k", "stars": [4]}', "wrong_type_of_stars"),
+    ('{"asin": "a", "rating": "five", "timestamp": 1}', "wrong_type_of_rating"),
+    ('{"asin": "a", "rating": 4, "timestamp": "yesterday"}', "wrong_type_of_timestamp"),
+    ('{"asin": "a", "rating": 4, "timestamp": 1, "verified_purchase": "yes"}', "wrong_type_of_verified_purchase"),
+]
+
+
+def test_broken_records_and_wrong_types_are_rejects(spark, tmp_path):
+    (tmp_path / "feed.json").write_text("\n".join(line for line, _ in WRONG) + "\n\n")
+    reviews = normalise(read_mixed_json_feed(spark, str(tmp_path / "feed.json"), "f"), "mixed")
+    assert valid_reviews(reviews).count() == 0
+    rejects = rejected_reviews(reviews).collect()
+    assert {r.reason for r in rejects} == {"validation_error"}
+    assert sorted(r.error for r in rejects) == sorted(error for _, error in WRONG)
+
+
+def test_numbers_in_place_of_text_and_null_values_are_no_errors(spark, tmp_path):
+    lines = ['{"review_id": 7, "stars": 4, "review_body": true, "review_date": "2024-01-03", "language": "de",'
+             ' "product_category": "c", "vine": null}',
+             '{"user_id": 5, "asin": null, "timestamp": 1704240000000, "rating": 4, "text": "t", "extra": {}}']
+    (tmp_path / "feed.json").write_text("\n".join(lines))
+    reviews = normalise(read_mixed_json_feed(spark, str(tmp_path / "feed.json"), "f"), "mixed")
+    found = {r.review_id: (r.stars, r.review_body) for r in valid_reviews(reviews).collect()}
+    assert found == {"7": (4, "true"), "5_na_1704240000000": (4, "t")}
+
+
+def test_csv_lines_that_do_not_fit_are_kept_beside_the_others(spark, tmp_path):
+    (tmp_path / "t.csv").write_text('name,n\n a ,1\nb,two\n"c ""x"", y",3\n')
+    found = read_csv(spark, str(tmp_path / "t.csv"), "name string, n int", "broken").collect()
+    assert [tuple(r) for r in found] == [(" a ", 1, None), ("b", None, "b,two"), ('c "x", y', 3, None)]
+
+
 def test_feed_tag_and_union_of_feeds(spark, tmp_path):
     (tmp_path / "feed.json").write_text(json.dumps(MIXED[2]))
     feeds = [

@@ -11,7 +11,13 @@ from reviewmill.operators.layout import partition_sizes, spread, spread_over_cor
 from reviewmill.operators.normalise import keyed_reviews
 from reviewmill.operators.ordering import first_rows, running_total
 from reviewmill.operators.sampling import growing_fractions, hash_sample, run_fraction, with_fold
-from reviewmill.operators.splits import split_by_time, time_cuts, with_split
+from reviewmill.operators.splits import (
+    cuts_of_sketches,
+    split_by_time,
+    time_cuts,
+    time_sketches,
+    with_split,
+)
 from reviewmill.plans.ingest import capped
 
 
@@ -159,6 +165,18 @@ def test_splits_are_disjoint_and_ordered(spark):
     assert abs(rough.train_end / 86400 - 70) <= 1
 
 
+def test_sketches_of_groups_merge_to_cuts_of_all(spark):
+    rows = spark.range(200_000).select(
+        F.pmod(F.xxhash64("id"), F.lit(1_000_003)).alias("unix_time"), (F.col("id") % 7).alias("part")
+    )
+    cuts = cuts_of_sketches(time_sketches(rows, ["part"], 0.01), 0.01).first()
+    ranks = rows.agg(*[(F.count_if(F.col("unix_time") <= cuts[c]) / F.count("*")).alias(c)
+                       for c in ("train_end", "valid_end")]).first()
+    assert abs(ranks.train_end - 0.70) <= 0.01 and abs(ranks.valid_end - 0.85) <= 0.01
+    nothing = time_sketches(rows.where("unix_time < 0"), ["part"], 0.01)
+    assert tuple(cuts_of_sketches(nothing, 0.01).first()) == (None, None)
+
+
 def test_spreading(spark):
     rows = spark.range(8000).coalesce(1)
     sizes = partition_sizes(spread(rows, 8)).collect()

@@ -1,13 +1,18 @@
 """Metrics against fixed values, Spark's evaluators and brute force."""
 
 import hashlib
+import math
+from fractions import Fraction
 
 import numpy as np
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 
-from reviewmill.functions.draws import poisson_thresholds
-from reviewmill.operators.bootstrap import accuracy_interval, resampled_accuracies
+from reviewmill.operators.bootstrap import (
+    accuracy_interval,
+    hit_distribution,
+    resampled_accuracies,
+)
 from reviewmill.operators.dashboards import with_cost
 from reviewmill.operators.scoring import (
     accuracy,
@@ -94,21 +99,41 @@ def test_empty_table(spark):
     assert confusion(empty).select(accuracy(), f1_weighted()).first()[0] == 0.0
 
 
-def test_bootstrap_matches_brute_force(spark):
-    scored = random_frame(spark, 60, 3)
-    levels = poisson_thresholds()
-    weights, hits = np.zeros(20), np.zeros(20)
-    for row in scored.collect():
-        for i in range(20):
-            digest = hashlib.sha256(f"42:{i // 8}:{row.review_id}".encode()).hexdigest()
-            draw = digest[8 * (i % 8): 8 * (i % 8) + 8]
-            weight = sum(draw >= level for level in levels)
-            weights[i] += weight
-            hits[i] += weight * (row.label == row.prediction)
-    found = {r.iteration: r.accuracy for r in resampled_accuracies(scored, "review_id", 20).collect()}
-    assert [found[i] for i in range(20)] == pytest.approx(list(hits / weights))
-    low, high = np.percentile(hits / weights, [2.5, 97.5])
-    assert tuple(accuracy_interval(scored, iterations=20).first()) == pytest.approx((low, high))
+def binomial_upto(n, hits):
+    """Chances of at most k hits, with exact fractions."""
+    p, total, out = Fraction(hits, n), Fraction(0), []
+    for k in range(n + 1):
+        total += math.comb(n, k) * p**k * (1 - p) ** (n - k)
+        out.append(total)
+    return out
+
+
+@pytest.mark.parametrize("cells", [(30, 5, 3, 22), (1, 0, 0, 0), (0, 3, 2, 0), (400, 0, 0, 1), (1, 900, 0, 0)])
+def test_bootstrap_inverts_the_exact_distribution(spark, cells):
+    scored = cells_frame(spark, *cells)
+    n, hits = sum(cells), cells[0] + cells[3]
+    upto = binomial_upto(n, hits)
+    expected = []
+    for i in range(40):
+        draw = Fraction(int(hashlib.sha256(f"42:{i}".encode()).hexdigest()[:13], 16), 16**13)
+        expected.append(next(k for k, chance in enumerate(upto) if chance > draw) / n)
+    found = {r.iteration: r.accuracy for r in resampled_accuracies(scored, 40).collect()}
+    assert [found[i] for i in range(40)] == expected
+    low, high = np.percentile(expected, [2.5, 97.5])
+    assert tuple(accuracy_interval(scored, iterations=40).first()) == pytest.approx((low, high))
+
+
+def test_hit_distribution_of_a_large_table(spark):
+    """Of 10^10 rows only the numbers near the mean are looked at, and their mean and spread fit."""
+    n, hits = 10**10, 7 * 10**9
+    counts = spark.createDataFrame([(n, hits)], "n long, hits long")
+    rows = hit_distribution(counts).orderBy("k").toPandas()
+    assert len(rows) < 40 * math.sqrt(n)
+    chance = np.diff(rows["upto"], prepend=0.0)
+    mean = float((chance * (rows["k"] - hits)).sum())
+    assert rows["upto"].iloc[-1] == pytest.approx(1.0) and abs(mean) < 1.0
+    spread = float((chance * (rows["k"] - hits - mean) ** 2).sum())
+    assert spread == pytest.approx(n * 0.7 * 0.3, rel=1e-4)
 
 
 def test_bootstrap_interval_is_as_wide_as_resampling(spark):
