@@ -8,7 +8,12 @@ among the words of one length or between a length and the next.
 The upper part of each length's tree is laid out on a bounded sample of the words and cuts the space
 into boxes, so that Spark can deal all words to boxes; a word also visits, as a query, each box that
 is within its distance. In a box a finer tree with tight bounds around its points prunes the search
-again, and only for what remains the letters are compared in order.
+again, and only for what remains the letters are compared in order. Words with the same counts are
+one point.
+
+A count from 0 to 4 is written as so many bits in a row of four, so a point takes two machine words,
+and distances, also those to the bounds of a box, are numbers of bits that differ. A larger count is
+taken for 4, which brings no points further apart.
 """
 
 from __future__ import annotations
@@ -24,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewmill.llm.common import slices, table, text_of
+from reviewmill.llm.shingles import mixed
 from reviewmill.session import written
 
 MIN_CHARS, MIN_COUNT = 7, 2
@@ -31,12 +37,12 @@ MIN_CHARS, MIN_COUNT = 7, 2
 RATIO = 10
 # An occurrence is altered if this divides the checksum of document and word.
 NOISE = 31
-# The trees are laid out on at most this many words; how many are searched is not bounded.
-SAMPLE_WORDS = 200_000
+# The trees are laid out on about this many words; how many are searched is not bounded.
+SAMPLE_WORDS = 100_000
 # Words that a box should hold, and the number at which it is dealt out by hash.
 BOX_WORDS, MOST_WORDS = 32_768, 131_072
-LEAF = 32
-LETTERS, MOST_LETTERS = 26, 1000
+LEAF = 48
+LETTERS, MOST_LETTERS = 26, 4
 # Fixed value: runs of these bytes are words, in UTF-8 after lower-casing A to Z.
 RUNS = rb"(?:[a-z]|\xC3[\x80-\xBF])+"
 # Words of a task that are counted before they leave it.
@@ -85,27 +91,29 @@ def word_counts(docs: DataFrame, id_col: str, text_col: str, noise: int | None)
 
 def letter_counts(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Code points of words of one length, and how often each has a to z and other letters."""
-    codes = np.array(words).view(np.uint32).reshape(len(words), -1).astype(np.int32)
-    place = codes - ord("a")
-    place[(place < 0) | (place >= LETTERS)] = LETTERS
-    counts = np.zeros((len(words), LETTERS + 1), dtype=np.int32)
-    np.add.at(counts, (np.arange(len(words))[:, None], place), 1)
-    # A count beyond the limit is taken for it, which brings no points further apart.
-    return codes, np.minimum(counts, MOST_LETTERS).astype(np.int16)
+    codes = np.array(words).view(np.uint32).reshape(len(words), -1)
+    place = codes - np.uint32(ord("a"))
+    place[place >= LETTERS] = LETTERS
+    cell = np.arange(len(words))[:, None] * (LETTERS + 1) + place
+    counts = np.bincount(cell.ravel(), minlength=len(words) * (LETTERS + 1))
+    counts = np.minimum(counts, MOST_LETTERS).astype(np.int8).reshape(len(words), LETTERS + 1)
+    return codes.astype(np.uint8) if codes.size and codes.max() < 256 else codes, counts
+
+
+def as_bits(counts: np.ndarray) -> np.ndarray:
+    """Two machine words per row, in which each count has as many of its four bits set."""
+    bits = np.zeros((len(counts), 128), dtype=np.uint8)
+    for level in range(MOST_LETTERS):
+        bits[:, level : MOST_LETTERS * (LETTERS + 1) : MOST_LETTERS] = counts > level
+    return np.packbits(bits, axis=1).view(np.uint64)
 
 
 def best_cut(points: np.ndarray) -> tuple[int, int] | None:
     """Coordinate and value that halve the points best: the lower half is at most the value."""
-    best, size = None, len(points)
-    for place in range(points.shape[1]):
-        values = np.bincount(points[:, place])
-        below = np.cumsum(values)[:-1]
-        if len(below):
-            value = int(np.argmin(np.abs(2 * below - size)))
-            share = min(below[value], size - below[value])
-            if share and (best is None or share > best[0]):
-                best = (share, place, value)
-    return best and best[1:]
+    below = np.stack([(points <= value).sum(axis=0) for value in range(MOST_LETTERS)])
+    share = np.minimum(below, len(points) - below)
+    value, place = np.unravel_index(int(share.argmax()), share.shape)
+    return (int(place), int(value)) if share[value, place] else None
 
 
 class Boxes:
@@ -156,17 +164,18 @@ class Boxes:
 
 
 def lay_boxes(words: DataFrame) -> dict[int, Boxes]:
-    """The upper trees by length, from the words with the smallest hashes."""
+    """The upper trees by length, from a share of the words that their hashes choose."""
     lengths = words.groupBy(F.length("word").alias("length")).count()
     totals = {row["length"]: row["count"] for row in lengths.collect()}
-    by_hash = words.select("word").orderBy(F.xxhash64("word"), "word").limit(SAMPLE_WORDS)
+    share = min(1.0, SAMPLE_WORDS / max(sum(totals.values()), 1))
+    chosen = words.where(F.pmod(F.xxhash64("word"), F.lit(1 << 32)) < int(share * (1 << 32)))
     sample: dict[int, list[str]] = defaultdict(list)
-    for row in by_hash.collect():
+    for row in chosen.select("word").collect():
         sample[len(row["word"])].append(row["word"])
     boxes, first = {}, 0
     for length in sorted(totals):
         points = (letter_counts(sample[length])[1] if sample[length]
-                  else np.zeros((0, LETTERS + 1), dtype=np.int16))
+                  else np.zeros((0, LETTERS + 1), dtype=np.int8))
         boxes[length] = Boxes(points, totals[length], first)
         first += boxes[length].count
     return boxes
@@ -179,7 +188,10 @@ def by_length(words: list[str]) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def dealt(words: DataFrame, boxes: dict[int, Boxes]) -> DataFrame:
-    """Each word in its own box, as a point, and in all boxes that it has to search, as a query."""
+    """Each word in its own box, as a point, and in all boxes that it has to search, as a query.
+
+    Words with the same letter counts have the same ``sign``.
+    """
     shared = words.sparkSession.sparkContext.broadcast(boxes)
 
     def deal(batches):
@@ -187,8 +199,11 @@ def dealt(words: DataFrame, boxes: dict[int, Boxes]) -> DataFrame:
             for part in slices(batch, 4096):
                 words, trees = part.column("word").to_pylist(), shared.value
                 rows, home, query = [], [], []
+                sign = np.zeros(len(words), dtype=np.uint64)
                 for size, index in by_length(words):
                     points = letter_counts([words[i] for i in index])[1]
+                    bits = as_bits(points)
+                    sign[index] = mixed(bits[:, 0] + mixed(bits[:, 1]))
                     for length, reach, asks in ((size, 0, False), (size, 2, True), (size + 1, 1, True)):
                         if length in trees:
                             for near, box in trees[length].within(points, reach):
@@ -199,11 +214,12 @@ def dealt(words: DataFrame, boxes: dict[int, Boxes]) -> DataFrame:
                     rows = np.concatenate(rows)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.concatenate(home), pa.int32()), pa.array(np.concatenate(query)),
+                         pa.array(sign[rows].view(np.int64)),
                          part.column("word").take(pa.array(rows)), part.column("n").take(pa.array(rows))],
-                        names=["box", "asks", "word", "n"],
+                        names=["box", "asks", "sign", "word", "n"],
                     )
 
-    return words.mapInArrow(deal, "box int, asks boolean, word string, n long")
+    return words.mapInArrow(deal, "box int, asks boolean, sign long, word string, n long")
 
 
 def split_full_boxes(rows: DataFrame) -> DataFrame:
@@ -218,28 +234,47 @@ def split_full_boxes(rows: DataFrame) -> DataFrame:
     own = F.array(F.pmod(F.hash("word"), F.col("_shares")))
     every = F.sequence(F.lit(0), F.col("_shares") - 1)
     return joined.select("box", F.explode(F.when(F.col("asks"), every).otherwise(own)).alias("share"),
-                         "asks", "word", "n")
+                         "asks", "sign", "word", "n")
+
 
+class Classes:
+    """Words of one length by their letter counts: distinct points, and the words of each."""
 
-class Points:
+    def __init__(self, words: list[str]):
+        self.codes, counts = letter_counts(words)
+        bits = as_bits(counts)
+        order = np.lexsort((bits[:, 1], bits[:, 0]))
+        new = np.append(True, (bits[order[1:]] != bits[order[:-1]]).any(axis=1))
+        starts = np.nonzero(new)[0]
+        self.members, self.starts = order, starts
+        self.sizes = np.diff(np.append(starts, len(order)))
+        self.counts, self.bits = counts[order[starts]], bits[order[starts]]
+
+    def words_of(self, classes: np.ndarray, within: np.ndarray) -> np.ndarray:
+        """The words of the classes, one for each place within them."""
+        return self.members[self.starts[classes] + within]
+
+
+class Points(Classes):
     """The finer tree of one box: leaves of few points, with tight bounds at every node."""
 
-    def __init__(self, words: list[str], counts: np.ndarray):
-        self.codes, self.points = letter_counts(words)
-        self.words, self.n = np.array(words, dtype=object), counts
+    def __init__(self, words: list[str], n: np.ndarray):
+        super().__init__(words)
+        self.words, self.n = np.array(words, dtype=object), n
         self.nodes: list[tuple] = []
-        self.root = self._grow(np.arange(len(words)))
+        self.root = self._grow(np.arange(len(self.bits)))
 
     def _grow(self, index: np.ndarray) -> int:
-        inside = self.points[index]
-        cut = best_cut(inside) if len(index) > LEAF else None
-        bounds = inside.min(axis=0), inside.max(axis=0)
+        cut = best_cut(self.counts[index]) if len(index) > LEAF else None
+        inside = self.bits[index]
+        # As bits, the smallest and the largest count are what all have and what any has.
+        low, high = np.bitwise_and.reduce(inside), np.bitwise_or.reduce(inside)
         if cut is None:
-            self.nodes.append((bounds, index, -1, -1))
+            self.nodes.append((low, high, index, -1, -1))
         else:
-            low = inside[:, cut[0]] <= cut[1]
-            left, right = self._grow(index[low]), self._grow(index[~low])
-            self.nodes.append((bounds, None, left, right))
+            below = self.counts[index, cut[0]] <= cut[1]
+            left, right = self._grow(index[below]), self._grow(index[~below])
+            self.nodes.append((low, high, None, left, right))
         return len(self.nodes) - 1
 
     def search(self, queries: np.ndarray, reach: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -247,26 +282,44 @@ class Points:
         todo = [(self.root, np.arange(len(queries)))]
         while todo:
             node, index = todo.pop()
-            (low, high), inside, left, right = self.nodes[node]
+            low, high, inside, left, right = self.nodes[node]
             asked = queries[index]
-            away = (np.maximum(low - asked, 0) + np.maximum(asked - high, 0)).sum(axis=1)
+            away = np.bitwise_count((low & ~asked) | (asked & ~high)).sum(axis=1, dtype=np.uint8)
             index = index[away <= reach]
             if not len(index):
                 continue
             if inside is None:
                 todo += [(left, index), (right, index)]
                 continue
+            points = self.bits[inside]
             step = max(1, PAIR_BLOCK // len(inside))
             for start in range(0, len(index), step):
                 some = index[start : start + step]
-                # Column by column, so that no table of all differences is made.
-                apart = np.zeros((len(some), len(inside)), dtype=np.int16)
-                for place in np.nonzero((high > 0) | (queries[some].max(axis=0) > 0))[0]:
-                    apart += np.abs(queries[some, place][:, None] - self.points[inside, place][None, :])
+                apart = np.bitwise_count(queries[some, :1] ^ points[:, 0])
+                apart += np.bitwise_count(queries[some, 1:] ^ points[:, 1])
                 one, two = np.nonzero(apart <= reach)
                 yield some[one], inside[two]
 
 
+def word_pairs(
+    queries: Classes, points: Classes, one: np.ndarray, two: np.ndarray
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of a word of each class ``one`` and a word of the class ``two`` beside it, in blocks."""
+    many = queries.sizes[one] * points.sizes[two]
+    upto = np.cumsum(many)
+    start = 0
+    while start < len(one):
+        done = upto[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(upto, done + PAIR_BLOCK, side="right")))
+        sizes = many[start:end]
+        pair = np.repeat(np.arange(start, end), sizes)
+        within = np.arange(len(pair)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        width = points.sizes[two[pair]]
+        yield (queries.words_of(one[pair], within // width),
+               points.words_of(two[pair], within % width))
+        start = end
+
+
 def one_edit(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Whether rows of code points differ by exactly one edit; the right ones may be longer by one."""
     size = left.shape[1]
@@ -337,8 +390,7 @@ def search_boxes(rows: DataFrame) -> DataFrame:
                 if points is None:
                     points = Points(words, np.array(counts, dtype=np.int64))
                     totals = Tally(points.words)
-                for piece in slices(part, 8192):
-                    yield from ask(points, totals, piece)
+                yield from ask(points, totals, part)
         yield from close()
 
     def ask(points: Points, totals: Tally, part: pa.RecordBatch):
@@ -346,19 +398,22 @@ def search_boxes(rows: DataFrame) -> DataFrame:
         n = part.column("n").to_numpy()
         for size, index in by_length(asked):
             words = np.array([asked[i] for i in index], dtype=object)
-            codes, queries = letter_counts(words.tolist())
+            counts = n[index]
+            queries = Classes(words.tolist())
             same = size == points.codes.shape[1]
             mine = Tally(words)
-            for one, two in points.search(queries, 2 if same else 1):
-                near = one_edit(codes[one], points.codes[two])
-                if same:
-                    near &= words[one] < points.words[two]
-                one, two = one[near], two[near]
-                mine.add(one, points.words[two], points.n[two])
-                totals.add(two, words[one], n[index][one])
+            for pairs in points.search(queries.bits, 2 if same else 1):
+                for one, two in word_pairs(queries, points, *pairs):
+                    near = one_edit(queries.codes[one], points.codes[two])
+                    one, two = one[near], two[near]
+                    if same:
+                        first = words[one] < points.words[two]
+                        one, two = one[first], two[first]
+                    mine.add(one, points.words[two], points.n[two])
+                    totals.add(two, words[one], counts[one])
             yield mine.rows()
 
-    sorted_rows = rows.repartition("box", "share").sortWithinPartitions("box", "share", "asks")
+    sorted_rows = rows.repartition("box", "share").sortWithinPartitions("box", "share", "asks", "sign")
     return sorted_rows.mapInArrow(search, "word string, n_near long, form_n long, form string")
 
 

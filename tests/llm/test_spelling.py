@@ -135,11 +135,13 @@ def test_edit_check_by_columns():
 
 def test_every_box_in_reach_is_searched():
     draws = np.random.default_rng(2)
-    points = draws.integers(0, 4, size=(500, spelling.LETTERS + 1)).astype(np.int16)
+    points = draws.integers(0, 5, size=(500, spelling.LETTERS + 1)).astype(np.int8)
     tree = spelling.Boxes(points, 500 * spelling.BOX_WORDS / 20, 7)
     home = {int(i): box for index, box in tree.within(points, 0) for i in index}
     assert len(home) == 500 and len(set(home.values())) == tree.count > 10
     reached = {(int(i), box) for index, box in tree.within(points, 6) for i in index}
-    apart = np.abs(points[:, None, :] - points[None, :, :]).sum(axis=2)
+    apart = np.abs(points[:, None, :].astype(int) - points[None, :, :]).sum(axis=2)
+    bits = spelling.as_bits(points)
+    assert (np.bitwise_count(bits[:, None] ^ bits[None]).sum(axis=2) == apart).all()
     for one, two in zip(*np.nonzero(apart <= 6)):
         assert (int(one), home[int(two)]) in reached
