@@ -1,10 +1,14 @@
 """Repeated passages: winnowing over line hashes, joining positions, extending, deleting.
 
 A window starts at each line with words and ends where it holds ``min_words`` words. The smallest
-line hash in it is its fingerprint, and neighbouring windows mostly share theirs. A repeated run of
-that many words holds at least one whole window, and equal windows choose the same line, so no such
-run goes unseen. Positions are joined under the hash of the window they were chosen in: a line that
-stands in thousands of texts then only meets the earliest text with the same surroundings.
+line hash in it is its fingerprint; neighbouring windows mostly share theirs, so far fewer lines are
+compared than there are. Equal windows choose the same line, so a repeated run of that many words,
+which holds at least one whole window, cannot go unseen.
+
+Fingerprints that occur once are dropped by a join. Around the others a match is extended both ways:
+the runs of lines that have just enough words, to the right of each start and to the left of each end,
+are looked up among all runs around that fingerprint. A longer repeated run is made of such runs, all
+of which repeat, whichever documents hold them first, so nothing is compared in pairs.
 """
 
 from __future__ import annotations
@@ -17,6 +21,7 @@ from pyspark.sql import functions as F
 
 from reviewmill.llm.common import packed, row_key, slices, table, text_of, without
 from reviewmill.llm.minhash import node
+from reviewmill.operators.joins import hot_key_join
 from reviewmill.session import written
 
 MIN_WORDS = 50
@@ -25,51 +30,62 @@ RANGES = "array<struct<at:bigint,n:bigint>>"
 ADDED = ["n_lines", "removed_lines"]
 
 
-def worded_lines(text: str | None) -> tuple[list[int], np.ndarray, list[int], int]:
-    """Place, hash and word count of each line with words, and the number of all lines.
+def worded_lines(text: str | None) -> tuple[list[int], np.ndarray, list[int]]:
+    """Place, hash and word count of each line with words.
 
     Only the words of a line count, not the white space around them.
     """
     places, hashes, counts = [], [], []
-    lines = (text or "").encode("utf-8", "surrogatepass").split(b"\n")
-    for place, line in enumerate(lines):
+    for place, line in enumerate((text or "").encode("utf-8", "surrogatepass").split(b"\n")):
         words = line.split()
         if words:
             places.append(place)
             hashes.append(xxhash.xxh3_64_intdigest(b" ".join(words)) - (1 << 63))
             counts.append(len(words))
-    return places, np.array(hashes, dtype=np.int64), counts, len(lines)
-
-
-def windows(hashes: np.ndarray, counts: list[int], min_words: int) -> list[tuple[int, int, int]]:
-    """Start, fingerprint line and content hash of each window with ``min_words`` words."""
-    found, end, words, raw = [], 0, 0, hashes.tobytes()
-    for start in range(len(counts)):
-        while words < min_words and end < len(counts):
-            words += counts[end]
-            end += 1
-        if words < min_words:
-            break
-        inside = hashes[start:end]
-        # Of equal minima the last one, so that sliding on keeps it as long as possible.
-        chosen = end - 1 - int(np.argmin(inside[::-1]))
-        found.append((start, chosen, xxhash.xxh3_64_intdigest(raw[8 * start : 8 * end]) - (1 << 63)))
-        words -= counts[start]
-    return found
+    return places, np.array(hashes, dtype=np.int64), counts
+
 
+def shortest_runs(counts: list[int], min_words: int) -> list[tuple[int, int]]:
+    """First and last line of the runs that no run of ``min_words`` words can do without.
 
-def run_around(mine: np.ndarray, at: int, source: np.ndarray, source_at: int) -> tuple[int, int]:
-    """First and last line of the equal run around two matching positions."""
-    back = min(at, source_at)
-    unlike = np.nonzero(mine[at - back : at] != source[source_at - back : source_at])[0]
-    first = at - back + (int(unlike[-1]) + 1 if len(unlike) else 0)
-    ahead = min(len(mine) - at, len(source) - source_at)
-    unlike = np.nonzero(mine[at : at + ahead] != source[source_at : source_at + ahead])[0]
-    return first, at + (int(unlike[0]) if len(unlike) else ahead) - 1
+    Every line of a longer run lies in one of those to the right of a start or to the left of an end.
+    Two long lines in a row are a run each, and both are one as well: it decides the blank lines that
+    may stand between them.
+    """
+    upto = np.concatenate(([0], np.cumsum(counts)))
+    starts = np.arange(len(counts))
+    ends = np.searchsorted(upto, upto[:-1] + min_words) - 1
+    found = set(zip(starts[ends < len(counts)].tolist(), ends[ends < len(counts)].tolist()))
+    lasts = starts[upto[1:] >= min_words]
+    firsts = np.searchsorted(upto, upto[lasts + 1] - min_words, side="right") - 1
+    found.update(zip(firsts.tolist(), lasts.tolist()))
+    for line in range(len(counts) - 1):
+        if min(counts[line], counts[line + 1]) >= min_words:
+            found.add((line, line + 1))
+    return sorted(found)
+
+
+def fingerprints(
+    hashes: np.ndarray, counts: list[int], min_words: int
+) -> dict[int, list[tuple[int, int]]]:
+    """The chosen lines, each with the runs that hold a window in which it is the smallest.
+
+    A run is found by the window that begins it.
+    """
+    found: dict[int, list[tuple[int, int]]] = {}
+    chosen: dict[int, int] = {}
+    upto = np.concatenate(([0], np.cumsum(counts)))
+    for start, last in shortest_runs(counts, min_words):
+        if start not in chosen:
+            end = int(np.searchsorted(upto, upto[start] + min_words))
+            # Of equal minima the last one, so that sliding on keeps it as long as possible.
+            chosen[start] = end - 1 - int(np.argmin(hashes[start:end][::-1]))
+        found.setdefault(chosen[start], []).append((start, last))
+    return found
 
 
-def lines_of(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
-    """One row per document: hashes and places of its lines with words, and its windows."""
+def fingerprint_rows(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
+    """One row per chosen line: its document and hash, and content and place of its runs."""
 
     def split(batches):
         for batch in batches:
@@ -77,79 +93,46 @@ def lines_of(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> Dat
                 made = []
                 for key, text in zip(part.column("_node").to_pylist(),
                                      part.column("_text").to_pylist()):
-                    places, hashes, counts, total = worded_lines(text)
-                    found = [{"start": s, "at": c, "window": w}
-                             for s, c, w in windows(hashes, counts, min_words)]
-                    made.append({"_node": key, "_total": total, "_places": places,
-                                 "_hashes": hashes.tolist(), "_windows": found})
+                    places, hashes, counts = worded_lines(text)
+                    raw = hashes.tobytes()
+                    for line, runs in fingerprints(hashes, counts, min_words).items():
+                        made.append({
+                            "_node": key, "_line": int(hashes[line]), "_runs": [
+                                {"run": xxhash.xxh3_64_intdigest(raw[8 * a : 8 * z + 8]) - (1 << 63),
+                                 "at": places[a], "n": places[z] - places[a] + 1}
+                                for a, z in runs
+                            ],
+                        })
                 yield pa.RecordBatch.from_pylist(made, schema=arrow)
 
     arrow = pa.schema([
-        ("_node", pa.struct([("id", pa.int64()), ("th", pa.int64())])),
-        ("_total", pa.int64()), ("_places", pa.list_(pa.int64())),
-        ("_hashes", pa.list_(pa.int64())),
-        ("_windows", pa.list_(pa.struct([("start", pa.int64()), ("at", pa.int64()),
-                                         ("window", pa.int64())]))),
+        ("_node", pa.struct([("id", pa.int64()), ("th", pa.int64())])), ("_line", pa.int64()),
+        ("_runs", pa.list_(pa.struct([("run", pa.int64()), ("at", pa.int64()), ("n", pa.int64())]))),
     ])
     texts = docs.select(*row_key(id_col, text_col), text_of(text_col).alias("_text"))
     rows = texts.select(node().alias("_node"), "_text").mapInArrow(
-        split,
-        f"_node {NODE}, _total bigint, _places array<bigint>, _hashes array<bigint>, "
-        "_windows array<struct<start:bigint,at:bigint,window:bigint>>",
-    )
-    return written(rows, "line-windows")
-
-
-def matched_positions(lines: DataFrame) -> DataFrame:
-    """Fingerprints with the same line in the earliest text that has the same window."""
-    found = lines.select("_node", F.inline("_windows"))
-    sources = written(
-        found.groupBy("window")
-        .agg(F.min(F.struct("_node", "start", "at")).alias("_first"), F.count("*").alias("_n"))
-        .where("_n > 1").select("window", "_first"),
-        "line-sources",
-    )
-    earlier = F.struct("_node", "start", "at") != F.col("_first")
-    return (
-        found.join(sources, "window")
-        .where(earlier)
-        .select("_node", "at", F.col("_first._node").alias("_source"),
-                F.col("_first.at").alias("_source_at"))
-        .distinct()
+        split, f"_node {NODE}, _line bigint, _runs array<struct<run:bigint,at:bigint,n:bigint>>"
     )
+    return written(rows, "line-fingerprints")
 
 
 def repeated_ranges(lines: DataFrame) -> DataFrame:
-    """Ranges of line places to delete, per document."""
-    matches = matched_positions(lines).groupBy("_node", "_source").agg(
-        F.collect_list(F.struct("at", "_source_at")).alias("_matches")
-    )
-    own = lines.select("_node", "_places", F.col("_hashes").alias("_mine"))
-    other = lines.select(F.col("_node").alias("_source"), F.col("_hashes").alias("_theirs"))
+    """Ranges of line places to delete, per document: the runs that stand earlier as well.
 
-    def extend(batches):
-        for batch in batches:
-            for part in slices(batch, 256):
-                rows = []
-                for row in part.to_pylist():
-                    mine, theirs = np.array(row["_mine"]), np.array(row["_theirs"])
-                    reached: dict[int, int] = {}  # by diagonal, the last line of its last run
-                    for at, source_at in sorted((m["at"], m["_source_at"]) for m in row["_matches"]):
-                        if reached.get(at - source_at, -1) >= at:
-                            continue
-                        first, last = run_around(mine, at, theirs, source_at)
-                        reached[at - source_at] = last
-                        start, stop = row["_places"][first], row["_places"][last]
-                        rows.append({"_node": row["_node"], "at": start, "n": stop - start + 1})
-                yield pa.RecordBatch.from_pylist(rows, schema=arrow)
-
-    arrow = pa.schema([("_node", pa.struct([("id", pa.int64()), ("th", pa.int64())])),
-                       ("at", pa.int64()), ("n", pa.int64())])
-    return (
-        matches.join(own, "_node").join(other, "_source")
-        .select("_node", "_places", "_mine", "_theirs", "_matches")
-        .mapInArrow(extend, f"_node {NODE}, at bigint, n bigint")
+    Lines and runs that fill the table are joined in as many parts as their numbers ask for.
+    """
+    several = lines.groupBy("_line").agg(F.count("*").alias("_weight")).where("_weight > 1")
+    matched = hot_key_join(lines, several, "_line", "_weight", "_node")
+    runs = written(
+        matched.where("_weight IS NOT NULL").select("_node", F.inline("_runs")), "line-runs"
     )
+    firsts = (
+        runs.groupBy("run")
+        .agg(F.min(F.struct("_node", "at")).alias("_first"), F.count("*").alias("_weight"))
+        .where("_weight > 1")
+    )
+    placed = hot_key_join(runs, firsts, "run", "_weight", "_node")
+    return placed.where(F.struct("_node", "at") != F.col("_first")).select("_node", "at", "n")
 
 
 def kept_ranges(removed: Column, total: Column) -> Column:
@@ -182,15 +165,12 @@ def line_dedup(
     count as repeating each other. An empty table gives an empty result.
     """
     rows = without(docs, ADDED)
-    lines = lines_of(docs, id_col, text_col, min_words).dropDuplicates(["_node"])
-    lines = written(lines, "line-documents")
+    lines = fingerprint_rows(rows, id_col, text_col, min_words)
     removed = written(
         repeated_ranges(lines).groupBy("_node")
         .agg(F.sort_array(F.collect_set(F.struct("at", "n"))).alias("_removed"))
-        .join(lines.select("_node", "_total"), "_node")
-        .select(F.col("_node.id").alias("_id"), F.col("_node.th").alias("_th"),
-                kept_ranges(F.col("_removed"), F.col("_total")).alias("_kept")),
-        "line-kept",
+        .select(F.col("_node.id").alias("_id"), F.col("_node.th").alias("_th"), "_removed"),
+        "line-removed",
     )
     joined = packed(rows, id_col, text_col).join(
         removed.hint("merge"), ["_id", "_th"], "left"
@@ -200,11 +180,13 @@ def line_dedup(
     left = F.flatten(
         F.transform("_kept", lambda r: F.slice("_lines", (r["at"] + 1).cast("int"), r["n"].cast("int")))
     )
-    cut = F.col("_kept").isNotNull()
-    shown = joined.withColumn("_lines", F.when(cut, split)).withColumn(
-        "_text", F.when(cut, F.array_join(left, "\n")).otherwise(text)
-    )
+    cut = F.col("_removed").isNotNull()
     total = F.coalesce(F.size(split), F.lit(0)).cast("bigint")
+    shown = (
+        joined.withColumn("_lines", F.when(cut, split))
+        .withColumn("_kept", F.when(cut, kept_ranges(F.col("_removed"), total)))
+        .withColumn("_text", F.when(cut, F.array_join(left, "\n")).otherwise(text))
+    )
     kept_lines = F.aggregate("_kept", F.lit(0).cast("bigint"), lambda n, r: n + r["n"])
     return shown.select(
         *[F.col("_text").alias(c) if c == text_col else F.col("_row").getField(c).alias(c)

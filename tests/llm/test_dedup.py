@@ -151,34 +151,23 @@ def test_dropping_near_duplicates_keeps_columns_and_rows_without_text(spark):
 # ---- lines -----------------------------------------------------------------------------------
 
 def brute_lines(rows, min_words=50):
-    """Removed line places by document, from comparing every window with every earlier one."""
-    first, out = {}, {}
+    """Removed line places by document: every run that also stands earlier, from all pairs of lines."""
     texts = [(i, [(k, tuple(line.encode().split())) for k, line in enumerate((t or "").split("\n"))])
              for i, t in sorted(rows, key=lambda r: r[0])]
     texts = [(i, [line for line in lines if line[1]]) for i, lines in texts]
-    for number, (doc, lines) in enumerate(texts):
-        gone = set()
-        for start in range(len(lines)):
-            stop, count = start, 0
-            while stop < len(lines) and count < min_words:
-                count += len(lines[stop][1])
-                stop += 1
-            if count < min_words:
-                break
-            window = tuple(line for _, line in lines[start:stop])
-            if window not in first:
-                first[window] = (number, start)
-                continue
-            other, at = first[window]
-            source = texts[other][1]
-            a, b = start, at
-            while a and b and lines[a - 1][1] == source[b - 1][1]:
-                a, b = a - 1, b - 1
-            z, y = start, at
-            while z < len(lines) and y < len(source) and lines[z][1] == source[y][1]:
-                z, y = z + 1, y + 1
-            gone |= set(range(lines[a][0], lines[z - 1][0] + 1))
-        out[doc] = gone
+    places = [(d, k) for d, (_, lines) in enumerate(texts) for k in range(len(lines))]
+    by_line = {}
+    out = {doc: set() for doc, _ in texts}
+    for d, k in places:
+        doc, lines = texts[d]
+        for e, m in by_line.get(lines[k][1], []):
+            source, n, words = texts[e][1], 0, 0
+            while k + n < len(lines) and m + n < len(source) and lines[k + n][1] == source[m + n][1]:
+                words += len(lines[k + n][1])
+                n += 1
+            if words >= min_words:
+                out[doc] |= set(range(lines[k][0], lines[k + n - 1][0] + 1))
+        by_line.setdefault(lines[k][1], []).append((d, k))
     return out
 
 
@@ -212,6 +201,36 @@ def test_line_dedup_matches_brute_force(spark):
         assert r.removed_lines == len(gone.get(r.doc_id, ()))
 
 
+def test_a_run_is_found_whoever_holds_its_windows_first(spark):
+    one, two = " ".join(words_of(1, 50)), "three more words"
+    rows = [(1, one), (2, f"{one}\n{two}"), (3, f"{one}\n\n{two}\nend"), (4, f"start\n{two}\n{one}")]
+    found = {r.doc_id: r.text for r in line_dedup(frame(spark, rows)).collect()}
+    assert found == {1: one, 2: two, 3: "end", 4: f"start\n{two}"}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_line_dedup_of_texts_from_few_lines(spark, seed):
+    """Runs overlap, repeat within a text, and meet at lines with many and with few words."""
+    rng = random.Random(seed)
+    pool = [" ".join(words_of(100 * seed + k, rng.choice([2, 5, 11, 26, 55, 60]))) for k in range(9)]
+    rows = [(i, "\n".join(rng.choice([*pool, ""]) for _ in range(rng.randrange(14)))) for i in range(40)]
+    gone = brute_lines(rows)
+    for r in line_dedup(frame(spark, rows)).collect():
+        lines = dict(rows)[r.doc_id].split("\n")
+        assert r.text == "\n".join(x for k, x in enumerate(lines) if k not in gone[r.doc_id])
+
+
+def test_fewer_fingerprints_than_lines():
+    from reviewmill.llm.line_dedup import fingerprints, worded_lines
+
+    text = "\n".join(" ".join(words_of(k, 12)) for k in range(3000))
+    places, hashes, counts = worded_lines(text)
+    found = fingerprints(hashes, counts, 50)
+    assert len(found) < 0.45 * len(counts)
+    covered = {line for runs in found.values() for a, z in runs for line in range(a, z + 1)}
+    assert covered == set(range(len(counts)))
+
+
 def test_line_dedup_of_repeated_rows_null_ids_and_clashing_names(spark):
     long = " ".join(words_of(1, 60))
     rows = [(1, long, 7), (1, long, 8), (2, long, 9), (None, long + "\nmore", 10)]
