@@ -1,10 +1,11 @@
 """Near-duplicates by MinHash: universal hash minima, banding, verification, components.
 
 Equal sets of shingles become one representative first, so exact copies never form pairs. In each
-bucket of a band every member is compared with the bucket's first member only. What these links
-leave apart is compared block by block: the members of a bucket that still holds several components
-are dealt into blocks of bounded size, finer signatures are compared inside the tasks, and only
-pairs that look similar enough leave them. Every link is confirmed on the full sets.
+bucket of a band every member is compared with one leader only: the member whose buckets are fullest,
+which among many edited copies of a text is the one nearest to all of them. What these links leave
+apart is compared block by block: the members outside a bucket's largest component meet each other and
+that component, finer signatures are compared inside the tasks, and only pairs that look similar
+enough leave them. Every link is confirmed on the full sets.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewmill.llm.common import packed, row_key, slices, table, text_of
+from reviewmill.llm.common import mark_place, marks, packed, row_key, slices, table, text_of
 from reviewmill.llm.components import components
 from reviewmill.llm.shingles import WordHashes, hash_family, minima, shingle_set
 from reviewmill.session import written
@@ -24,12 +25,12 @@ SHINGLE_WORDS = 5
 PERCENT = 80
 BANDS, ROWS = 32, 4
 SEED = 7
-# A pair of similarity 0.8 shares its bands with a chance of 1 - 5e-8. The estimates have standard
-# deviations of 0.035 and 0.018 there; the margins are four and three of them.
+# A pair of similarity 0.8 shares a band with a chance of 1 - 5e-8. The estimates have standard
+# deviations of 0.035 and 0.018 there; the margins are four and four and a half of them, so the fine
+# one misses a pair of 0.8 with a chance of 8e-6, and the coarse one decides nothing for good.
 COARSE, FINE = 128, 512
-COARSE_AT_LEAST, FINE_AT_LEAST = 0.66, 0.745
+COARSE_AT_LEAST, FINE_AT_LEAST = 0.66, 0.72
 BLOCK = 256
-BITMAP_BITS = 1 << 26
 RESULT = ["n_shingles", "component_id", "kept"]
 
 
@@ -90,25 +91,6 @@ def alike(a: str, b: str, at_least: float) -> Column:
     return agree(a, b)
 
 
-def marks(nodes: DataFrame) -> np.ndarray:
-    """A bitmap of fixed size with a bit for each of the nodes (``_id``, ``_th``)."""
-    words = (
-        nodes.select(_place().alias("at"))
-        .select((F.col("at") / 64).cast("int").alias("word"),
-                (F.col("at") % 64).cast("int").alias("place"))
-        .groupBy("word")
-        .agg(F.bit_or(F.expr("shiftleft(1L, place)")).alias("bits"))
-        .toPandas()
-    )
-    bits = np.zeros(BITMAP_BITS // 64, dtype=np.int64)
-    bits[words["word"].to_numpy()] = words["bits"].to_numpy()
-    return bits
-
-
-def _place() -> Column:
-    return F.pmod(F.xxhash64("_id", "_th"), F.lit(BITMAP_BITS))
-
-
 def of_wanted_texts(
     docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, make, column: str, kind: str
 ) -> DataFrame:
@@ -133,7 +115,7 @@ def of_wanted_texts(
                 )
 
     texts = docs.select(*row_key(id_col, text_col), text_of(text_col).alias("_text")).select(
-        "_id", "_th", _place().alias("_at"), "_text"
+        "_id", "_th", mark_place().alias("_at"), "_text"
     )
     found = texts.mapInArrow(pick, f"_id bigint, _th bigint, {column} {kind}")
     only = found.join(nodes, ["_id", "_th"], "left_semi").dropDuplicates(["_id", "_th"])
@@ -171,24 +153,29 @@ def confirmed(docs: DataFrame, pairs: DataFrame, id_col: str, text_col: str, wor
 
 
 def shared_buckets(standing: DataFrame) -> DataFrame:
-    """Members of the buckets that hold more than one of the representatives."""
+    """Members of the buckets that hold more than one of the representatives.
+
+    ``_fill`` adds up the sizes of all buckets that a member is in.
+    """
     buckets = standing.select("_node", "_n", F.explode("_bands").alias("_bucket"))
     several = buckets.groupBy("_bucket").agg(F.count("*").alias("_members")).where("_members > 1")
-    several = written(several.select("_bucket"), "minhash-several")
-    return written(buckets.join(several, "_bucket"), "minhash-buckets")
+    several = written(several, "minhash-several")
+    shared = written(buckets.join(several, "_bucket"), "minhash-shared")
+    fill = shared.groupBy("_node").agg(F.sum("_members").alias("_fill"))
+    return written(shared.drop("_members").join(fill, "_node"), "minhash-buckets")
 
 
 def leader_pairs(buckets: DataFrame, sigs: DataFrame) -> DataFrame:
-    """Each member of a bucket with the bucket's first member, if sizes and signatures allow."""
+    """Each member of a bucket with the bucket's leader, if sizes and signatures allow."""
     leaders = written(
-        buckets.groupBy("_bucket").agg(F.min(F.struct("_node", "_n")).alias("_first")),
+        buckets.groupBy("_bucket").agg(F.max(F.struct("_fill", "_node", "_n")).alias("_first")),
         "minhash-leaders",
     )
     pairs = (
         buckets.join(leaders, "_bucket")
         .where(F.col("_node") != F.col("_first._node"))
         .where(size_fits("_n", "_first._n"))
-        .select(F.col("_first._node").alias("a"), F.col("_node").alias("b"))
+        .select(F.least("_first._node", "_node").alias("a"), F.greatest("_first._node", "_node").alias("b"))
         .distinct()
     )
     one = sigs.select(F.col("_node").alias("a"), F.col("_sig").alias("_one"))
@@ -197,28 +184,67 @@ def leader_pairs(buckets: DataFrame, sigs: DataFrame) -> DataFrame:
     return signed.where(alike("_one", "_two", COARSE_AT_LEAST)).select("a", "b")
 
 
-def block_pairs(
-    docs: DataFrame, buckets: DataFrame, bands: DataFrame, roots: DataFrame, id_col: str,
-    text_col: str, words: int,
-) -> DataFrame:
-    """Similar-looking pairs of a bucket that are in different components so far.
+def open_members(buckets: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members of the buckets that hold several components so far, with their blocks.
 
-    A bucket with many members is dealt into blocks, and each two blocks meet in a group of their
-    own, which holds about 2 * ``BLOCK`` members whatever the bucket's size.
+    ``_rest`` and ``_big`` are the numbers of blocks outside and in the largest component, ``_in_big``
+    tells where a member belongs.
     """
     labelled = written(
-        buckets.join(roots, "_node", "left")
-        .withColumn("_root", F.coalesce("_root", "_node")),
+        buckets.join(roots, "_node", "left").withColumn("_root", F.coalesce("_root", "_node")),
         "minhash-labelled",
     )
+    parts = labelled.groupBy("_bucket", "_root").agg(F.count("*").alias("_size"))
     split = (
-        labelled.groupBy("_bucket")
-        .agg(F.min("_root").alias("_low"), F.max("_root").alias("_high"),
-             F.count("*").alias("_members"))
-        .where(F.col("_low") != F.col("_high"))
-        .select("_bucket", F.ceil(F.col("_members") / BLOCK).cast("int").alias("_blocks"))
+        parts.groupBy("_bucket")
+        .agg(F.max(F.struct("_size", "_root")).alias("_most"), F.sum("_size").alias("_members"),
+             F.count("*").alias("_parts"))
+        .where("_parts > 1")
+        .select(
+            "_bucket", F.col("_most._root").alias("_most"),
+            F.ceil((F.col("_members") - F.col("_most._size")) / BLOCK).cast("int").alias("_rest"),
+            F.ceil(F.col("_most._size") / BLOCK).cast("int").alias("_big"),
+        )
+    )
+    members = labelled.join(written(split, "minhash-split"), "_bucket")
+    in_big = F.col("_root") == F.col("_most")
+    own = F.pmod(F.xxhash64("_node"), F.when(in_big, F.col("_big")).otherwise(F.col("_rest")))
+    return written(
+        members.select("_bucket", "_node", "_root", "_n", "_rest", "_big", in_big.alias("_in_big"),
+                       own.cast("int").alias("_block")),
+        "minhash-members",
     )
-    members = written(labelled.join(written(split, "minhash-split"), "_bucket"), "minhash-members")
+
+
+def dealt_members(members: DataFrame) -> DataFrame:
+    """Each member once for every group of two blocks (``_i``, ``_j``) that it takes part in.
+
+    Blocks of the largest component have numbers from -1 downwards. They meet the blocks outside it
+    and not each other, so as long as few members are outside, each goes into few groups.
+    """
+    rest = F.sequence(F.lit(0), F.col("_rest") - 1)
+    big = F.transform(F.sequence(F.lit(1), F.col("_big")), lambda block: -block)
+    others = F.when(F.col("_in_big"), rest).otherwise(F.concat(rest, big))
+    block = F.when(F.col("_in_big"), -1 - F.col("_block")).otherwise(F.col("_block"))
+    return (
+        members.withColumn("_block", block)
+        .withColumn("_other", F.explode(others))
+        .withColumn("_i", F.least("_block", "_other"))
+        .withColumn("_j", F.greatest("_block", "_other"))
+        .drop("_other", "_rest", "_big", "_in_big")
+    )
+
+
+def block_pairs(
+    docs: DataFrame, buckets: DataFrame, bands: DataFrame, roots: DataFrame, id_col: str,
+    text_col: str, words: int,
+) -> DataFrame:
+    """Similar-looking pairs of a bucket that are in different components so far.
+
+    A bucket with many members is dealt into blocks, and two blocks meet in a group of their own,
+    which holds about 2 * ``BLOCK`` members whatever the bucket's size.
+    """
+    members = open_members(buckets, roots)
     nodes = members.select("_node").distinct().select(F.col("_node.id").alias("_id"),
                                                       F.col("_node.th").alias("_th"))
     nodes = written(nodes, "minhash-open")
@@ -230,19 +256,8 @@ def block_pairs(
         )
 
     fine = of_wanted_texts(docs, nodes, id_col, text_col, fine_signature, "_fine", "binary")
-    fine = fine.join(bands, "_node")
-    own = F.pmod(F.xxhash64("_node"), F.col("_blocks")).cast("int")
-    dealt = (
-        members.join(written(fine, "minhash-fine"), "_node")
-        .withColumn("_block", own)
-        .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-        .select(
-            "_bucket",
-            F.least("_block", "_other").alias("_i"),
-            F.greatest("_block", "_other").alias("_j"),
-            "_block", "_node", "_root", "_n", "_fine", "_bands",
-        )
-    )
+    fine = written(fine.join(bands, "_node"), "minhash-fine")
+    dealt = dealt_members(members.join(fine, "_node"))
 
     def compare(group: pa.Table) -> pa.Table:
         signs = np.frombuffer(b"".join(group.column("_fine").to_pylist()), dtype=np.uint8)

@@ -139,6 +139,49 @@ def test_a_large_group_of_near_copies_is_cut_into_blocks(spark, monkeypatch):
     assert found == {i: root for (i, _), (_, root) in expected.items()}
 
 
+def test_groups_dealt_stay_few_with_one_large_component(spark, monkeypatch):
+    """A bucket of 20 blocks, all but three members in one component: each member is dealt about once."""
+    from pyspark.sql import functions as F
+
+    from reviewmill.llm import minhash
+
+    monkeypatch.setattr(minhash, "BLOCK", 50)
+    row = F.struct(F.col("id"), F.lit(0).cast("bigint").alias("th"))
+    buckets = spark.range(1000).select(F.lit(7).cast("bigint").alias("_bucket"), row.alias("_node"),
+                                       F.lit(10).cast("bigint").alias("_n"))
+    first = F.struct(F.lit(0).cast("bigint").alias("id"), F.lit(0).cast("bigint").alias("th"))
+    roots = spark.range(997).select(row.alias("_node"), first.alias("_root"))
+    dealt = minhash.dealt_members(minhash.open_members(buckets, roots)).toPandas()
+    assert len(dealt) <= 1000 + 3 * 20
+    assert dealt.groupby(["_i", "_j"]).size().max() <= 2 * 50 + 40
+    # Every member outside meets every block, and members of the component do not meet each other.
+    met = {(i, j) for i, j in zip(dealt["_i"], dealt["_j"])}
+    assert met == {(-block, 0) for block in range(1, 21)} | {(0, 0)}
+
+
+def test_pairs_at_the_limit_pass_the_estimates():
+    """Planted pairs of similarity 0.80 to 0.82: bands and estimates lose none of them."""
+    import numpy as np
+
+    from reviewmill.llm import minhash
+    from reviewmill.llm.shingles import hash_family, minima
+
+    draws = np.random.default_rng(9)
+    coarse, fine = hash_family(minhash.COARSE, minhash.SEED), hash_family(minhash.FINE, minhash.SEED + 1)
+    lost = 0
+    for _ in range(1500):
+        common, own = 80 + draws.integers(0, 3), 20
+        values = draws.integers(0, 2**64, size=common + own, dtype=np.uint64)
+        cut = common + int(draws.integers(0, own + 1))
+        one, two = values[:cut], np.concatenate((values[:common], values[cut:]))
+        low = [minima(x, coarse).reshape(minhash.BANDS, minhash.ROWS) for x in (one, two)]
+        shares = (low[0] == low[1]).all(axis=1).any()
+        signs = [minima(x, fine).astype(np.uint8) for x in (one, two)]
+        alike = (signs[0] == signs[1]).mean() >= minhash.FINE_AT_LEAST * (1 - 1 / 256) + 1 / 256
+        lost += not (shares and alike)
+    assert lost == 0
+
+
 def test_dropping_near_duplicates_keeps_columns_and_rows_without_text(spark):
     rows = [(1, "a b c d e f", 1), (2, "a b c d e f", 2), (3, None, 3), (None, "q", 4)]
     docs = frame(spark, rows, f"{DOCS}, kept int")
