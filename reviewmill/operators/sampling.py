@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +25,27 @@ def hash_sample(
     return rows.where(draw_hex(F.col(key), seed) < hex_threshold(fraction))
 
 
+def at_most(
+    rows: DataFrame, count: int, stratum: str, key: str = "review_id", seed: int = DEFAULT_SEED
+) -> DataFrame:
+    """About ``count`` rows, and no more, with each value of ``stratum`` in its share of all rows.
+
+    For a column of few values, such as a label. The rows of a value are drawn by their keys, so the
+    sample repeats; each value's draw aims three deviations below its share.
+    """
+    sizes = {row[stratum]: row["count"] for row in rows.groupBy(stratum).count().collect()}
+    total = sum(sizes.values())
+    if total <= count:
+        return rows
+    keep = F.lit(False)
+    for value, size in sizes.items():
+        wanted = count * size / total
+        fraction = max(0.0, wanted - 3 * math.sqrt(wanted)) / size
+        chosen = draw_hex(F.col(key), seed) < hex_threshold(fraction)
+        keep = F.when(F.col(stratum).eqNullSafe(F.lit(value)), chosen).otherwise(keep)
+    return rows.where(keep)
+
+
 def run_fraction(fraction: float, fast: bool) -> float:
     return FAST_FRACTION if fast and fraction >= FAST_FROM else fraction
 

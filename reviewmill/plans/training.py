@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import time
 from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewmill.functions.draws import DEFAULT_SEED
-from reviewmill.operators.sampling import hash_sample, run_fraction, with_fold
+from reviewmill.operators.sampling import at_most, hash_sample, run_fraction, with_fold
 from reviewmill.operators.scoring import accuracy, confusion, f1_binary, f1_weighted
 from reviewmill.operators.splits import split_by_time
 from reviewmill.operators.text_stats import OUTPUT_PREFIX, STATISTICS, TextStats
@@ -33,12 +34,18 @@ from reviewmill.schemas import MODEL_METRICS, MODEL_SCORE
 
 FAMILIES = ["logreg", "random_forest", "linear_svc"]
 STAT_COLUMNS = [OUTPUT_PREFIX + name for name in STATISTICS]
+# Rows with their vectors that one task sums up in about the time that it takes to start it.
+ROWS_PER_PARTITION = 1_000
 ROW_COLUMNS = ["review_id", "label", "unix_time", "product_category", "category_name_len"]
 
 
 @dataclass(frozen=True)
 class Profile:
-    """Sizes and grids of a training run."""
+    """Sizes and grids of a training run.
+
+    ``max_train_rows`` bounds the rows that models are fitted on, 0 does not; rows that they score are
+    never bounded.
+    """
 
     sample_fraction: float
     hash_buckets: int
@@ -53,6 +60,7 @@ class Profile:
     svc_iterations: int
     svc_reg: tuple[float, ...]
     seed: int = DEFAULT_SEED
+    max_train_rows: int = 0
 
 
 # The settings of a full run and of a fast run.
@@ -91,6 +99,18 @@ def whole_table(profile: Profile) -> Profile:
     return replace(profile, sample_fraction=1.0, parallelism=max(2, profile.parallelism))
 
 
+def grid_search(max_train_rows: int, profile: Profile = FULL) -> Profile:
+    """The grids, folds and model sizes of a profile over a whole table, for few training rows.
+
+    Their number is bounded, all other rows are scored. Terms are hashed into as few buckets as in a
+    fast run: a solver's step sends a coefficient per bucket around, which for few rows takes far
+    longer than their sums.
+    """
+    return replace(
+        profile, sample_fraction=1.0, max_train_rows=max_train_rows, hash_buckets=FAST.hash_buckets
+    )
+
+
 def fast(profile: Profile) -> Profile:
     """A fast run in place of the given one: a smaller sample, at most two folds, small models."""
     return replace(
@@ -155,11 +175,17 @@ def training_rows(train: DataFrame, profile: Profile) -> DataFrame:
     """The sampled part of the rows before the first cut, counted, with a fold.
 
     What needs no fitting is done once here and not again for every fold, family and grid point.
-    Few rows come from many scan tasks, so they are spread anew; the scan keeps its width.
+    Few rows come from many scan tasks, so they are spread anew; the scan keeps its width. A solver
+    runs a job per step, which for few rows costs more than their sums, so they get no more partitions
+    than ``ROWS_PER_PARTITION`` asks for.
     """
-    sampled = counted_rows(hash_sample(train, profile.sample_fraction, seed=profile.seed), profile)
+    drawn = hash_sample(train, profile.sample_fraction, seed=profile.seed)
+    if profile.max_train_rows:
+        drawn = at_most(drawn, profile.max_train_rows, "label", profile.seed)
+    sampled = counted_rows(drawn, profile)
     cores = train.sparkSession.sparkContext.defaultParallelism
-    return with_fold(sampled, profile.folds, seed=profile.seed).repartition(cores)
+    partitions = max(1, min(cores, math.ceil(drawn.count() / ROWS_PER_PARTITION)))
+    return with_fold(sampled, profile.folds, seed=profile.seed).repartition(partitions)
 
 
 @dataclass

@@ -10,7 +10,7 @@ from reviewmill.operators.joins import hot_key_join, lookup_join, salted_join
 from reviewmill.operators.layout import partition_sizes, spread, spread_over_cores
 from reviewmill.operators.normalise import keyed_reviews
 from reviewmill.operators.ordering import first_rows, running_total
-from reviewmill.operators.sampling import growing_fractions, hash_sample, run_fraction, with_fold
+from reviewmill.operators.sampling import at_most, growing_fractions, hash_sample, run_fraction, with_fold
 from reviewmill.operators.splits import (
     cuts_of_sketches,
     split_by_time,
@@ -149,6 +149,16 @@ def test_folds_are_even(spark):
     assert len(sizes) == 3 and all(900 < n < 1100 for n in sizes)
 
 
+def test_a_bounded_sample_keeps_shares_and_repeats(spark):
+    rows = spark.range(20_000).select(
+        F.col("id").cast("string").alias("review_id"), (F.col("id") % 5 == 0).cast("double").alias("label")
+    )
+    one, two = (at_most(rows, 1000, "label").collect() for _ in range(2))
+    assert sorted(one) == sorted(two) and 800 < len(one) <= 1000
+    assert abs(sum(r.label for r in one) / len(one) - 0.2) < 0.04
+    assert at_most(rows, 20_000, "label").count() == 20_000
+
+
 def timed(spark):
     return spark.range(1, 101).select(
         (F.col("id") * 86400).alias("unix_time"), F.lit(None).cast("date").alias("review_dt")

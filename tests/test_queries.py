@@ -31,6 +31,27 @@ def test_query_gives_rows(spark, name):
     assert QUERIES[name](spark, SMALL).count() > 0
 
 
+def test_the_search_covers_all_grids_and_test_rows(spark):
+    """Eight grid points over three families, and scores of all rows after the last cut."""
+    grid = QUERIES["cv_results"](spark, SMALL).toPandas()
+    assert grid.groupby("model").size().to_dict() == {"logreg": 4, "random_forest": 2, "linear_svc": 2}
+    metrics = QUERIES["model_metrics"](spark, SMALL).toPandas().set_index("model")
+    assert len(metrics) == 4 and metrics["auc"].between(0, 1).all()
+    best = QUERIES["best_model"](spark, SMALL).first()
+    assert best.auc == metrics.loc[["logreg", "random_forest", "linear_svc"], "auc"].max()
+    scores = QUERIES["predictions"](spark, SMALL).toPandas()
+    con = duck(SMALL)
+    con.register("scores", scores)
+    card = con.sql("""
+        SELECT avg((prediction = label)::INT) AS accuracy,
+          (SELECT sum(CASE WHEN p.score > n.score THEN 1.0 WHEN p.score = n.score THEN 0.5 ELSE 0 END)
+             / count(*) FROM scores p, scores n WHERE p.label = 1 AND n.label = 0) AS auc
+        FROM scores""").fetchone()
+    assert card == pytest.approx((best.accuracy, best.auc))
+    again = QUERIES["cv_results"](spark, SMALL).toPandas()
+    assert again.equals(grid)
+
+
 def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
 
