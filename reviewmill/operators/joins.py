@@ -12,7 +12,9 @@ MAX_BROADCAST_BYTES = 32 * 1024 * 1024
 SALTS = 32
 # A key with more than this share of all facts is hot; no task gets much more than this share.
 HOT_SHARE = 1.0 / 100_000
-SALT = "_salt"
+SALT, WEIGHT = "_salt", "_weight_of_key"
+# Parts into which facts without a key are dealt, which match nothing.
+NULL_PARTS = 1_024
 
 
 def fits_broadcast(
@@ -41,14 +43,17 @@ def lookup_join(
     spread_by: str,
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
-    """Broadcast the lookup where its measured size allows it, else join with salted keys.
+    """Broadcast the lookup where its measured size allows it, else salt its keys by their weight.
 
-    The lookup is derived once and measured in the files it was written to.
+    The lookup is derived once and measured in the files it was written to. A larger one is told how
+    many facts each key has, from one more pass over the keys alone.
     """
     lookup = written(lookup, "lookup")
     if fits_broadcast(lookup, key, max_broadcast_rows):
         return facts.join(F.broadcast(lookup), key, "left")
-    return salted_join(facts, lookup, key, spread_by)
+    weights = facts.groupBy(key).agg(F.count("*").alias(WEIGHT))
+    weighted = lookup.join(weights, key, "left").fillna(0, [WEIGHT])
+    return hot_key_join(facts, weighted, key, WEIGHT, spread_by).drop(WEIGHT)
 
 
 def salted_join(facts: DataFrame, lookup: DataFrame, key: str, spread_by: str) -> DataFrame:
@@ -68,8 +73,8 @@ def hot_key_join(
 
     A key is hot if it holds more than ``HOT_SHARE`` of all facts. There are at most 1 / ``HOT_SHARE``
     such keys, so their list is small enough to broadcast. A hot key gets as many salts as it holds
-    such shares, and only its lookup row is repeated. The lookup is used three times, so it is
-    written once.
+    such shares, and only its lookup row is repeated. Facts without a key are spread as well. The
+    lookup is used three times, so it is written once.
     """
     lookup = written(lookup, "lookup")
     share = lookup.agg(F.sum(weight).cast("double") * HOT_SHARE).scalar()
@@ -77,7 +82,8 @@ def hot_key_join(
         "_salts", F.greatest(F.ceil(F.try_divide(F.col(weight), share)), F.lit(1)).cast("int")
     )
     hot_keys = salted.where("_salts > 1").select(key, F.col("_salts").alias("_hot_salts"))
-    salt = F.pmod(F.xxhash64(spread_by), F.coalesce("_hot_salts", F.lit(1)))
+    parts = F.when(F.col(key).isNull(), NULL_PARTS).otherwise(F.coalesce("_hot_salts", F.lit(1)))
+    salt = F.pmod(F.xxhash64(spread_by), parts)
     salted_facts = (
         facts.join(F.broadcast(hot_keys), key, "left")
         .withColumn(SALT, salt.cast("int"))
