@@ -16,7 +16,6 @@ from pyspark.ml.feature import (
     IDF,
     HashingTF,
     StopWordsRemover,
-    StringIndexer,
     Tokenizer,
     VectorAssembler,
 )
@@ -26,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewmill.functions.draws import DEFAULT_SEED
+from reviewmill.operators.category_indexer import CategoryIndexer
 from reviewmill.operators.sampling import at_most, hash_sample, run_fraction, with_fold
 from reviewmill.operators.scoring import accuracy, confusion, f1_binary, f1_weighted
 from reviewmill.operators.splits import split_by_time
@@ -135,9 +135,7 @@ def fitted_stages() -> list:
     """Stages that learn from the rows they are fitted on, and the assembly of the vector."""
     return [
         IDF(inputCol="tf", outputCol="tfidf"),
-        StringIndexer(
-            inputCol="product_category", outputCol="product_category_idx", handleInvalid="keep"
-        ),
+        CategoryIndexer(inputCol="product_category", outputCol="product_category_idx"),
         VectorAssembler(
             inputCols=["tfidf", *STAT_COLUMNS, "category_name_len", "product_category_idx"],
             outputCol="features",
