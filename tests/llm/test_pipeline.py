@@ -100,4 +100,4 @@ def test_stages_keep_the_columns_and_take_an_empty_table(spark):
 def test_registered_queries():
     queries = __spark_entry__.queries()
     numbered = {int(name[2:].split("_")[0]) for name in queries if name.startswith("op")}
-    assert numbered == set(range(1, 11)) and queries["pipeline"] is corpus_pipeline.run
+    assert numbered == set(range(1, 14)) and queries["pipeline"] is corpus_pipeline.run
