@@ -179,7 +179,7 @@ def training_rows(train: DataFrame, profile: Profile) -> DataFrame:
     """
     drawn = hash_sample(train, profile.sample_fraction, seed=profile.seed)
     if profile.max_train_rows:
-        drawn = at_most(drawn, profile.max_train_rows, "label", profile.seed)
+        drawn = at_most(drawn, profile.max_train_rows, "label", seed=profile.seed)
     sampled = counted_rows(drawn, profile)
     cores = train.sparkSession.sparkContext.defaultParallelism
     partitions = max(1, min(cores, math.ceil(drawn.count() / ROWS_PER_PARTITION)))

@@ -122,6 +122,17 @@ def test_grid_points_share_folds(spark):
     assert "review_text" not in rows.columns
 
 
+def test_bounded_training_rows_are_drawn_by_key(spark):
+    """More rows than the bound: they are drawn by their keys, in both labels' shares."""
+    rows = features(spark, SMALL)
+    profile = replace(TINY, max_train_rows=120)
+    every = {r.label: r["count"] for r in rows.groupBy("label").count().collect()}
+    one, two = (training_rows(rows, profile).collect() for _ in range(2))
+    assert 0 < len(one) <= 120 < sum(every.values())
+    assert {r.review_id for r in one} == {r.review_id for r in two}
+    assert {r.label for r in one} == set(every)
+
+
 def test_best_model_ignores_others_and_breaks_ties_by_name(spark):
     rows = [("linear_svc", 0.7, 0.1), ("logreg", 0.7, 0.2), ("ngram_logreg", 0.9, 0.9)]
     table = spark.createDataFrame(rows, "model string, auc double, valid_auc double")
