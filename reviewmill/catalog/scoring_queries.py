@@ -19,7 +19,7 @@ from reviewmill.catalog.oracle_views import (
 )
 from reviewmill.functions.text import STOP_WORDS, space_tokens, without_stop_words
 from reviewmill.operators import terms
-from reviewmill.operators.bootstrap import accuracy_interval
+from reviewmill.operators.bootstrap import row_interval
 from reviewmill.operators.scoring import (
     accuracy,
     area_under_roc,
@@ -69,7 +69,7 @@ def eval_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def eval_bootstrap_ci(spark: SparkSession, sf_dir: str) -> DataFrame:
-    interval = accuracy_interval(_scored(spark, sf_dir))
+    interval = row_interval(_scored(spark, sf_dir))
     return interval.select(_rounded("low", "low"), _rounded("high", "high"))
 
 
@@ -146,27 +146,22 @@ QUERIES = {
 _CELLS = f"WITH {SCORED}, {CELLS}"
 _PROFIT = "3.0::DOUBLE * tp - fp - 2 * fn"
 STOP_LIST = ", ".join("'" + word.replace("'", "''") + "'" for word in STOP_WORDS)
-# The binomial distribution of a resample's hits, inverted at 200 draws of 52 bits.
+# Every row in 200 resamples, with a Poisson(1) weight from eight hex digits of a digest. The levels
+# are the probabilities of at most 0, 1, 2, ... occurrences, as far as eight digits tell them apart.
 _INTERVAL = """
-hit_counts AS (
-  SELECT count(*)::DOUBLE AS n, count(*) FILTER (prediction = lab)::DOUBLE AS h FROM scored),
-numbers AS (
-  SELECT n, h, unnest(generate_series(
-    greatest(ceil(h - 16 * sqrt(h * (1 - h / n)) - 160), 0)::BIGINT,
-    least(floor(h + 16 * sqrt(h * (1 - h / n)) + 160), n)::BIGINT)) AS k FROM hit_counts),
-logs AS (
-  SELECT n, k, sum(CASE WHEN k = (SELECT min(k) FROM numbers) THEN 0.0
-    ELSE ln((n - k + 1) / k * (h / (n - h))) END) OVER (ORDER BY k) AS l FROM numbers),
-upto AS (
-  SELECT n, k, sum(exp(l - (SELECT max(l) FROM logs))) OVER (ORDER BY k)
-    / (SELECT sum(exp(l - (SELECT max(l) FROM logs))) FROM logs) AS upto FROM logs),
 draws AS (
-  SELECT i AS iteration,
-    ('0x' || substr(sha256('42:' || i), 1, 13))::BIGINT::DOUBLE / 4503599627370496 AS draw
-  FROM range(200) AS steps(i)),
+  SELECT i AS iteration, coalesce(prediction = lab, false)::INTEGER AS hit,
+    substr(sha256('42:' || (i // 8) || ':' || review_id), CAST(1 + 8 * (i % 8) AS BIGINT), 8) AS draw
+  FROM scored, range(200) AS steps(i)),
+weights AS (
+  SELECT iteration, hit, (draw >= '5e2d58d8')::INTEGER + (draw >= 'bc5ab1b1')::INTEGER + (draw >= 'eb715e1d')::INTEGER +
+    (draw >= 'fb239797')::INTEGER + (draw >= 'ff1025f5')::INTEGER + (draw >= 'ffd90f3b')::INTEGER +
+    (draw >= 'fffa8b71')::INTEGER + (draw >= 'ffff540c')::INTEGER + (draw >= 'ffffed1f')::INTEGER +
+    (draw >= 'fffffe21')::INTEGER + (draw >= 'ffffffd4')::INTEGER + (draw >= 'fffffffc')::INTEGER +
+    (draw >= 'ffffffff')::INTEGER AS weight FROM draws),
 resamples AS (
-  SELECT iteration, min(k) / min(n) AS accuracy FROM draws JOIN upto ON upto > draw
-  GROUP BY iteration),
+  SELECT iteration, sum(hit * weight)::DOUBLE / sum(weight) AS accuracy
+  FROM weights GROUP BY iteration),
 ends AS (
   SELECT quantile_cont(accuracy, 0.025) AS low, quantile_cont(accuracy, 0.975) AS high
   FROM resamples)"""

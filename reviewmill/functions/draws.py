@@ -6,6 +6,8 @@ after every retry, and any engine with the same hash function can check it.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -39,3 +41,24 @@ def uniform(key: Column, seed: int = DEFAULT_SEED) -> Column:
     return F.conv(F.substring(digest, 1, UNIFORM_DIGITS), 16, 10).cast("double") / F.lit(
         float(16**UNIFORM_DIGITS)
     )
+
+
+def poisson_thresholds() -> list[str]:
+    """Hex texts of the cumulative Poisson(1) probabilities of 0, 1, 2, ...
+
+    They go on until what is left is less than a draw can tell from none, so no weight is cut off.
+    """
+    total, levels = 0.0, []
+    while 1.0 - total >= 1.0 / DRAW_RANGE:
+        total += math.exp(-1.0) / math.factorial(len(levels))
+        levels.append(hex_threshold(total))
+    return levels
+
+
+def poisson_weight(digits: Column) -> Column:
+    """Poisson(1) count of a uniform draw: how often a row occurs in a resample."""
+    levels = poisson_thresholds()
+    weight = F.when(digits < levels[0], 0)
+    for count, level in enumerate(levels[1:], start=1):
+        weight = weight.when(digits < level, count)
+    return weight.otherwise(len(levels))

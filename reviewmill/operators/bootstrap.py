@@ -1,20 +1,24 @@
 """Bootstrap confidence interval of the accuracy.
 
-A resample draws as many rows as the table has and puts each back, so its number of hits is binomial:
+``row_interval`` draws every row's weight in every resample; evaluation and queries use it. Where only
+the counts of a table are known, ``accuracy_interval`` does without its rows: a resample draws as many rows as the table has and puts each back, so its number of hits is binomial:
 the table's rows need to be counted once and never drawn. Each resample is a uniform draw at which
 the exact distribution is inverted.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewmill.functions.draws import DEFAULT_SEED, uniform
+from reviewmill.functions.draws import DEFAULT_SEED, HEX_DIGITS, poisson_weight, uniform
 
 # Number of resamples and the two percentiles of the interval.
 ITERATIONS = 200
 LOW_SHARE, HIGH_SHARE = 0.025, 0.975
+DRAWS_PER_DIGEST = 8
 
 # Numbers of hits further than this from the mean, in deviations and in hits, have a chance below
 # 1e-40 in all, which neither a draw nor a sum of doubles can tell from none.
@@ -75,9 +79,60 @@ def resampled_accuracies(
 def accuracy_interval(
     scored: DataFrame, iterations: int = ITERATIONS, seed: int = DEFAULT_SEED
 ) -> DataFrame:
-    """One row (low, high); both 0 for an empty table."""
+    """One row (low, high) from the counts alone; both 0 for an empty table."""
+    return _ends(resampled_accuracies(scored, iterations, seed))
+
+
+def row_accuracies(
+    scored: DataFrame, key: str = "review_id", iterations: int = ITERATIONS, seed: int = DEFAULT_SEED
+) -> DataFrame:
+    """Accuracy of each resample, in which every row occurs a Poisson(1) number of times.
+
+    One SHA-256 digest of seed, block and key holds the draws of eight resamples, so a row is
+    repeated once per block of eight rather than once per resample. Weights are summed per task
+    before the shuffle, which then carries one row per task and block. Rows without a label or
+    prediction are no hits.
+    """
+    blocks = math.ceil(iterations / DRAWS_PER_DIGEST)
+    hit = F.coalesce(F.col("prediction") == F.col("label"), F.lit(False)).cast("int")
+    rows = scored.select(
+        F.coalesce(F.col(key).cast("string"), F.lit("")).alias("_key"), hit.alias("_hit"),
+        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_block"),
+    )
+    digests = rows.withColumn(
+        "_digest", F.sha2(F.concat(F.lit(f"{seed}:"), "_block", F.lit(":"), "_key"), 256)
+    )
+    sums = []
+    for i in range(DRAWS_PER_DIGEST):
+        weight = poisson_weight(F.substring("_digest", 1 + i * HEX_DIGITS, HEX_DIGITS))
+        sums += [F.sum(weight).alias(f"w{i}"), F.sum(weight * F.col("_hit")).alias(f"h{i}")]
+    resamples = F.array(
+        *[
+            F.struct(
+                (F.col("_block") * DRAWS_PER_DIGEST + i).alias("iteration"),
+                F.col(f"w{i}").alias("weight"),
+                F.col(f"h{i}").alias("hits"),
+            )
+            for i in range(DRAWS_PER_DIGEST)
+        ]
+    )
+    return (
+        digests.groupBy("_block").agg(*sums).select(F.inline(resamples))
+        .where((F.col("iteration") < iterations) & (F.col("weight") > 0))
+        .select("iteration", (F.col("hits").cast("double") / F.col("weight")).alias("accuracy"))
+    )
+
+
+def row_interval(
+    scored: DataFrame, key: str = "review_id", iterations: int = ITERATIONS, seed: int = DEFAULT_SEED
+) -> DataFrame:
+    """One row (low, high) from resamples of all rows; both 0 for an empty table."""
+    return _ends(row_accuracies(scored, key, iterations, seed))
+
+
+def _ends(resamples: DataFrame) -> DataFrame:
     shares = F.array(F.lit(LOW_SHARE), F.lit(HIGH_SHARE))
-    ends = resampled_accuracies(scored, iterations, seed).agg(
+    ends = resamples.agg(
         F.percentile("accuracy", shares).alias("ends")
     )
     return ends.select(

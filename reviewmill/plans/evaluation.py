@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewmill.functions.draws import DEFAULT_SEED
-from reviewmill.operators.bootstrap import ITERATIONS, accuracy_interval
+from reviewmill.operators.bootstrap import ITERATIONS, row_interval
 from reviewmill.operators.scoring import (
     COST_FN,
     COST_FP,
@@ -39,7 +39,7 @@ def evaluation_summary(
 ) -> DataFrame:
     """One row with all results; each metric is a scalar subquery over its own small aggregate."""
     auc = area_under_roc(scored).scalar()
-    interval = accuracy_interval(scored, iterations=iterations, seed=seed)
+    interval = row_interval(scored, iterations=iterations, seed=seed)
     profit = F.struct(
         expected_profit(tp_profit, fp_cost, fn_cost).alias("expected_profit"), "tp", "fp", "fn"
     )

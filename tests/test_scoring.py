@@ -8,10 +8,13 @@ import numpy as np
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 
+from reviewmill.functions.draws import poisson_weight
 from reviewmill.operators.bootstrap import (
     accuracy_interval,
     hit_distribution,
     resampled_accuracies,
+    row_accuracies,
+    row_interval,
 )
 from reviewmill.operators.dashboards import with_cost
 from reviewmill.operators.scoring import (
@@ -144,6 +147,36 @@ def test_bootstrap_interval_is_as_wide_as_resampling(spark):
     assert (low, high) == pytest.approx(tuple(expected), abs=0.015)
 
 
+def test_row_bootstrap_matches_brute_force(spark):
+    """Every row is drawn in every resample, with weights that are not cut off."""
+    scored = random_frame(spark, 60, 3)
+    levels, total = [], Fraction(0)
+    for k in range(30):
+        total += Fraction(1, math.factorial(k))
+        levels.append(float(total) * math.exp(-1.0) * 16**8)
+    weights, hits = np.zeros(20), np.zeros(20)
+    for row in scored.collect():
+        for i in range(20):
+            digest = hashlib.sha256(f"42:{i // 8}:{row.review_id}".encode()).hexdigest()
+            draw = int(digest[8 * (i % 8): 8 * (i % 8) + 8], 16)
+            weight = next(k for k, level in enumerate(levels) if draw < math.floor(level))
+            weights[i] += weight
+            hits[i] += weight * (row.label == row.prediction)
+    found = {r.iteration: r.accuracy for r in row_accuracies(scored, iterations=20).collect()}
+    assert [found[i] for i in range(20)] == pytest.approx(list(hits / weights))
+    low, high = np.percentile(hits / weights, [2.5, 97.5])
+    assert tuple(row_interval(scored, iterations=20).first()) == pytest.approx((low, high))
+    summary = evaluation_summary(scored, iterations=20).first().bootstrap_accuracy_ci
+    assert (summary.low, summary.high) == pytest.approx((low, high))
+
+
+def test_bootstrap_weights_are_not_cut_off(spark):
+    digits = ["00000000", "ffffd000", "fffffff0", "ffffffff"]
+    rows = spark.createDataFrame([(d,) for d in digits], "d string")
+    found = [r.w for r in rows.select(poisson_weight(rows.d).alias("w")).collect()]
+    assert found[0] == 0 and found[1] < found[2] < found[3] and found[2] > 7
+
+
 def test_evaluation_summary(spark):
     row = evaluation_summary(cells_frame(spark, 180, 27, 14, 17)).first()
     assert row.business_metrics.expected_profit == 485.0
