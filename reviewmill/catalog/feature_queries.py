@@ -36,6 +36,7 @@ from reviewmill.operators.features import (
     scaling_input,
     silver_reviews,
 )
+from reviewmill.operators.layout import spread
 from reviewmill.operators.normalise import raw_reviews
 from reviewmill.operators.ordering import first_rows
 from reviewmill.operators.sampling import growing_fractions, hash_sample, with_fold
@@ -50,7 +51,7 @@ from reviewmill.operators.text_stats import STATISTICS, TextStats
 from reviewmill.plans.scaling import BASE_FRACTION, PARTITIONS
 from reviewmill.plans.rollups import refresh_rollups, stored_category_days
 from reviewmill.session import shared_folder, use_utc, written
-from reviewmill.sinks.tables import read_csv, write_bronze, write_csv
+from reviewmill.sinks.tables import CSV, read_csv, write_bronze, write_csv
 from reviewmill.sources.examples import event_reviews, line_reviews
 from reviewmill.streaming.ingest import StreamTarget, write_batch
 
@@ -180,10 +181,12 @@ def dash_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(use_utc(spark), "csv")
     body = F.concat(F.lit('"'), "review_title", F.lit('", '), "review_body", F.lit("\n, "))
     rows = whole(spark, sf_dir).select("review_id", "stars", body.alias("review_body"))
-    write_csv(rows.repartition(3), folder)
-    broken = rows.where("stars = 5").select(F.concat("review_id", F.lit(",five,short")).alias("value"))
-    header = spark.range(1).select(F.lit("review_id,stars,review_body").alias("value"))
-    header.coalesce(1).union(broken.coalesce(1)).coalesce(1).write.mode("append").text(folder)
+    # A file is read by one task, so there are as many as the scan has splits.
+    write_csv(spread(rows, max(3, rows.rdd.getNumPartitions())), folder)
+    broken = rows.where("stars = 5").select(
+        "review_id", F.lit("five").alias("stars"), F.lit("short").alias("review_body")
+    )
+    broken.write.mode("append").option("header", True).options(**CSV).csv(folder)
     stored = read_csv(spark, folder, "review_id string, stars int, review_body string", "corrupt")
     return stored.select(
         "review_id", "stars", "review_body", F.col("corrupt").isNotNull().alias("corrupt")

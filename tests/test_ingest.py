@@ -2,14 +2,16 @@
 
 import json
 
+import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
 
+from reviewmill.catalog import feature_queries, ingest_queries
 from reviewmill.operators.validation import rejected_reviews, valid_reviews
 from reviewmill.plans.ingest import IngestTarget, Lineage, normalise, run_ingest, union_feeds
 from reviewmill.schemas import REVIEW_COLUMNS
 from reviewmill.session import path_exists
-from reviewmill.sinks.tables import compact_bronze, read_csv, write_bronze, write_csv
+from reviewmill.sinks.tables import compact_bronze, read_csv, write_bronze, write_csv, write_json
 from reviewmill.sources.examples import document_reviews
 from reviewmill.sources.feeds import read_feed, read_mixed_json_feed, stream_feed
 from reviewmill.sources.tables import (
@@ -265,3 +267,25 @@ def test_silver_and_null_stars(spark):
     assert tuple(data_quality_report(silver).first()) == (3, 2, 1)
     empty = silver.where(F.lit(False))
     assert tuple(data_quality(empty).first()) == (0, 0, 0)
+
+
+@pytest.fixture
+def many_splits(spark):
+    """Scans of the small tables have about as many splits as those of large ones."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    yield
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_csv_roundtrip_has_a_file_per_split(spark, many_splits):
+    """A file with line breaks in values is read by one task, and none holds a fixed share of all."""
+    splits = feature_queries.whole(spark, SMALL).rdd.getNumPartitions()
+    found = feature_queries.dash_csv_roundtrip(spark, SMALL)
+    files = found.groupBy(F.input_file_name().alias("file")).agg(
+        F.count("review_id").alias("rows"), F.count_if("corrupt").alias("corrupt")
+    ).collect()
+    assert splits > 8 and len([f for f in files if not f.corrupt]) == splits
+    assert max(f.rows for f in files) <= 3 * sum(f.rows for f in files) / splits
+    rows = spark.read.parquet(f"{SMALL}/documents.parquet")
+    expected = rows.count() + rows.where("1 + (doc_id * 7) % 5 = 5").count()
+    assert sum(f.rows for f in files) == expected
