@@ -289,3 +289,17 @@ def test_csv_roundtrip_has_a_file_per_split(spark, many_splits):
     rows = spark.read.parquet(f"{SMALL}/documents.parquet")
     expected = rows.count() + rows.where("1 + (doc_id * 7) % 5 = 5").count()
     assert sum(f.rows for f in files) == expected
+
+
+def test_audit_batches_have_as_many_files_as_the_scan_has_splits(spark, many_splits, monkeypatch):
+    splits = ingest_queries.document_reviews(spark, SMALL).rdd.getNumPartitions()
+    widths = []
+
+    def noted(rows, path):
+        widths.append(rows.rdd.getNumPartitions())
+        write_json(rows, path)
+
+    monkeypatch.setattr(ingest_queries, "write_json", noted)
+    row = ingest_queries.ingest_batch_audit(spark, SMALL).first()
+    assert splits > 8 and widths[0] >= splits and row.batches == 3
+    assert row.rows_written + row.rows_rejected == spark.read.parquet(f"{SMALL}/documents.parquet").count()
