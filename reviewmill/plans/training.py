@@ -36,6 +36,8 @@ FAMILIES = ["logreg", "random_forest", "linear_svc"]
 STAT_COLUMNS = [OUTPUT_PREFIX + name for name in STATISTICS]
 # Rows with their vectors that one task sums up in about the time that it takes to start it.
 ROWS_PER_PARTITION = 1_000
+# Numbers that one task's rows hold in a forest, which keeps one of four bytes per row and feature.
+NUMBERS_PER_PARTITION = 2**25
 ROW_COLUMNS = ["review_id", "label", "unix_time", "product_category", "category_name_len"]
 
 
@@ -175,17 +177,23 @@ def training_rows(train: DataFrame, profile: Profile) -> DataFrame:
     What needs no fitting is done once here and not again for every fold, family and grid point.
     Few rows come from many scan tasks, so they are spread anew; the scan keeps its width. A solver
     runs a job per step, which for few rows costs more than their sums, so they get no more partitions
-    than ``ROWS_PER_PARTITION`` asks for.
+    than ``ROWS_PER_PARTITION`` asks for. Many rows get more partitions than cores, so that what a
+    task holds stays within ``NUMBERS_PER_PARTITION`` however large the table is.
     """
     drawn = hash_sample(train, profile.sample_fraction, seed=profile.seed)
     if profile.max_train_rows:
         drawn = at_most(drawn, profile.max_train_rows, "label", seed=profile.seed)
     sampled = counted_rows(drawn, profile)
     cores = train.sparkSession.sparkContext.defaultParallelism
-    partitions = max(1, min(cores, math.ceil(drawn.count() / ROWS_PER_PARTITION)))
+    partitions = fit_partitions(drawn.count(), cores, profile.hash_buckets)
     return with_fold(sampled, profile.folds, seed=profile.seed).repartition(partitions)
 
 
+def fit_partitions(rows: int, cores: int, hash_buckets: int) -> int:
+    most = max(1, NUMBERS_PER_PARTITION // hash_buckets)
+    return max(1, min(cores, math.ceil(rows / ROWS_PER_PARTITION)), math.ceil(rows / most))
+
+
 @dataclass
 class TrainedModel:
     name: str

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from reviewmill.catalog import model_queries
 from reviewmill.catalog.common import features, valid
 from reviewmill.plans import dashboards as export
+from reviewmill.plans import training
 from reviewmill.plans.baseline import fit_baseline, with_grams
 from reviewmill.plans.evaluation import run_evaluation
 from reviewmill.plans.scaling import run_scaling
@@ -133,6 +134,18 @@ def test_bounded_training_rows_are_drawn_by_key(spark):
     assert {r.label for r in one} == set(every)
 
 
+def test_partitions_of_a_fit_grow_with_its_rows(spark, monkeypatch):
+    """Few rows get few partitions; what a task holds of many is bounded, whatever the cores."""
+    assert training.fit_partitions(1_500, 12, 2**12) == 2
+    assert training.fit_partitions(2_000_000, 12, 2**12) == 245
+    assert training.fit_partitions(2_000_000, 12, 2**18) == 15_625
+    rows = features(spark, SMALL)
+    monkeypatch.setattr(training, "NUMBERS_PER_PARTITION", 10 * TINY.hash_buckets)
+    sizes = training_rows(rows, TINY).groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) == math.ceil(rows.count() / 10) > spark.sparkContext.defaultParallelism
+    assert max(r["count"] for r in sizes) <= 20
+
+
 def test_best_model_ignores_others_and_breaks_ties_by_name(spark):
     rows = [("linear_svc", 0.7, 0.1), ("logreg", 0.7, 0.2), ("ngram_logreg", 0.9, 0.9)]
     table = spark.createDataFrame(rows, "model string, auc double, valid_auc double")
