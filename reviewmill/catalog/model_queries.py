@@ -21,7 +21,7 @@ from reviewmill.operators.features import scaling_input
 from reviewmill.operators.layout import spread_over_cores
 from reviewmill.operators.splits import split_by_time
 from reviewmill.plans.baseline import fit_baseline, score_baseline
-from reviewmill.plans.scaling import fit_light
+from reviewmill.plans.scaling import fit_counted, light_counts
 from reviewmill.plans.train_job import baseline_model
 from reviewmill.plans.training import (
     FAMILIES,
@@ -192,7 +192,10 @@ def model_ngram_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def model_light(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fit the light model and report how well it separates the rows it was fitted on."""
     rows = scaling_input(spread_over_cores(whole(spark, sf_dir)))
-    return _one_row(spark, measure(fit_light(rows).transform(rows)))
+    counted = light_counts(rows)
+    metrics = measure(fit_counted(counted).transform(counted))
+    counted.unpersist()
+    return _one_row(spark, metrics)
 
 
 QUERIES = {

@@ -22,17 +22,37 @@ LIGHT_BUCKETS, LIGHT_ITERATIONS = 2**16, 20
 PARTITIONS, BASE_FRACTION = (4, 8, 16), 0.05
 
 
-def fit_light(rows: DataFrame) -> PipelineModel:
-    """Logistic regression on weighted term counts of rows (text, label), without a grid.
+def light_stages() -> PipelineModel:
+    """The stages of the light model that need no fitting, from rows (text, label) to term counts.
 
     Tokens and counts are made by the stages that all models share; they read ``review_text``.
     """
     named = SQLTransformer(statement="SELECT *, text AS review_text FROM __THIS__")
-    tokens, kept, counts, _ = text_stages(LIGHT_BUCKETS)
-    weights = IDF(inputCol=counts.getOutputCol(), outputCol="features")
-    return Pipeline(
-        stages=[named, tokens, kept, counts, weights, LogisticRegression(maxIter=LIGHT_ITERATIONS)]
-    ).fit(rows)
+    return PipelineModel([named, *text_stages(LIGHT_BUCKETS)[:3]])
+
+
+def light_counts(rows: DataFrame) -> DataFrame:
+    """Labels and term counts, kept on disk: every step of a fit and its scores read these.
+
+    Texts are taken apart once and not for the weights, the summary, the solver and the scores each.
+    The solver's own blocks need the memory.
+    """
+    counted = light_stages().transform(rows).select("label", "tf")
+    return counted.persist(StorageLevel.DISK_ONLY)
+
+
+def fit_counted(counted: DataFrame) -> PipelineModel:
+    """Logistic regression on weighted term counts, without a grid."""
+    weights = IDF(inputCol="tf", outputCol="features")
+    return Pipeline(stages=[weights, LogisticRegression(maxIter=LIGHT_ITERATIONS)]).fit(counted)
+
+
+def fit_light(rows: DataFrame) -> PipelineModel:
+    """The light model of rows (text, label), with all its stages."""
+    counted = light_counts(rows)
+    fitted = fit_counted(counted)
+    counted.unpersist()
+    return PipelineModel([*light_stages().stages, *fitted.stages])
 
 
 def _timed_fit(rows: DataFrame) -> float:

@@ -16,7 +16,7 @@ from reviewmill.plans import dashboards as export
 from reviewmill.plans import training
 from reviewmill.plans.baseline import fit_baseline, with_grams
 from reviewmill.plans.evaluation import run_evaluation
-from reviewmill.plans.scaling import run_scaling
+from reviewmill.plans.scaling import fit_light, run_scaling
 from reviewmill.plans.train_job import TrainingTarget, run_training
 from reviewmill.plans.training import (
     FAST,
@@ -146,6 +146,22 @@ def test_partitions_of_a_fit_grow_with_its_rows(spark, monkeypatch):
     assert max(r["count"] for r in sizes) <= 20
 
 
+def test_light_model_reads_each_text_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def note(text):
+        seen.add(1)
+        return text
+
+    texts = [(f"good book {i}" if i % 2 else f"bad book {i}", float(i % 2)) for i in range(40)]
+    rows = spark.createDataFrame(texts, "text string, label double")
+    noted = F.udf(note, "string").asNondeterministic()
+    model = fit_light(rows.select(noted("text").alias("text"), "label"))
+    assert seen.value == len(texts)
+    found = model.transform(rows).select("label", "prediction").collect()
+    assert all(r.label == r.prediction for r in found)
+
+
 def test_best_model_ignores_others_and_breaks_ties_by_name(spark):
     rows = [("linear_svc", 0.7, 0.1), ("logreg", 0.7, 0.2), ("ngram_logreg", 0.9, 0.9)]
     table = spark.createDataFrame(rows, "model string, auc double, valid_auc double")
