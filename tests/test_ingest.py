@@ -282,7 +282,8 @@ def test_csv_roundtrip_has_a_file_per_split(spark, many_splits):
     splits = feature_queries.whole(spark, SMALL).rdd.getNumPartitions()
     found = feature_queries.dash_csv_roundtrip(spark, SMALL)
     files = found.groupBy(F.input_file_name().alias("file")).agg(
-        F.count("review_id").alias("rows"), F.count_if("corrupt").alias("corrupt")
+        F.count("review_id").alias("rows"), F.count_if("corrupt").alias("corrupt"),
+        F.count("stars").alias("rated"), F.count("review_body").alias("texts"),
     ).collect()
     assert splits > 8 and len([f for f in files if not f.corrupt]) == splits
     assert max(f.rows for f in files) <= 3 * sum(f.rows for f in files) / splits
