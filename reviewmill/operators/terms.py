@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewmill.functions.text import STOP_WORDS, one_and_two_grams, space_tokens, words
+from reviewmill.functions.grams import counted, is_marked, marks, pairs_in, worded, words_in
+from reviewmill.functions.text import STOP_WORDS, space_tokens
+from reviewmill.llm.common import slices
 from reviewmill.operators.joins import hot_key_join
 from reviewmill.operators.ordering import default_buckets
 from reviewmill.session import written
 
 # Size of the n-gram vocabulary and the least number of documents for a term.
 VOCABULARY_SIZE, MIN_DOCUMENTS = 50_000, 5
+# Hashes of terms that a task adds up at once, and terms that it holds to count or name them.
+HELD_HASHES, NAMED_TERMS = 2_000_000, 300_000
 
 
 def _kept(term: Column) -> Column:
@@ -61,27 +67,118 @@ def tf_idf(documents: DataFrame, key: str, text: str) -> DataFrame:
     return weighted.select(key, "term", "tf", (F.col("tf") * F.col("idf")).alias("tfidf"))
 
 
-def gram_counts(documents: DataFrame, text: str) -> DataFrame:
-    """Total and document counts of all one- and two-word terms, from one shuffle by term.
+def _gram_sums(
+    documents: DataFrame, text: str, words: bool, marked: np.ndarray | None = None
+) -> DataFrame:
+    """Total and document counts of words, or of pairs of neighbouring marked words, by hash.
 
-    A document's sorted terms show the first occurrence of each, so documents are counted without
-    first bringing document and term together.
+    Tasks add up the hashes of many texts before the shuffle, which so carries numbers only.
     """
-    grams = documents.select(
-        F.sort_array(one_and_two_grams(words(F.col(text)))).alias("grams")
-    )
-    marked = F.transform(
-        "grams",
-        lambda gram, i: F.struct(
-            gram.alias("term"),
-            ((i == 0) | (gram != F.get("grams", F.greatest(i - 1, F.lit(0))))).alias("first"),
-        ),
+    sent = documents.sparkSession.sparkContext.broadcast(marked)
+
+    def count(batches):
+        keys, rows, held, row = [], [], 0, 0
+
+        def flushed():
+            sums = counted(np.concatenate(keys), np.concatenate(rows))
+            return pa.RecordBatch.from_arrays(
+                [pa.array(sums[0].view(np.int64)), pa.array(sums[1]), pa.array(sums[2])],
+                names=["hash", "total", "doc_freq"],
+            )
+
+        for batch in batches:
+            for part in slices(batch, 128):
+                found = words_in(part.column("_text"))
+                own, places = found.hashes, slice(None)
+                if not words:
+                    places, own = pairs_in(found)
+                    if sent.value is not None:
+                        good = is_marked(found.hashes, sent.value)
+                        good = good[places] & good[places + 1]
+                        places, own = places[good], own[good]
+                keys.append(own)
+                rows.append(found.rows[places] + row)
+                held, row = held + len(own), row + part.num_rows
+                if held > HELD_HASHES:
+                    yield flushed()
+                    keys, rows, held = [], [], 0
+        if held:
+            yield flushed()
+
+    partial = _worded(documents, text).mapInArrow(count, "hash bigint, total bigint, doc_freq bigint")
+    return partial.groupBy("hash").agg(
+        F.sum("total").alias("total"), F.sum("doc_freq").alias("doc_freq")
     )
-    return (
-        grams.select(F.inline(marked))
-        .groupBy("term")
-        .agg(F.count("*").alias("total"), F.count_if("first").alias("doc_freq"))
+
+
+def _gram_names(documents: DataFrame, text: str, marked: np.ndarray) -> DataFrame:
+    """The marked terms (``hash``, ``term``), each named by one of its occurrences."""
+    sent = documents.sparkSession.sparkContext.broadcast(marked)
+
+    def name(batches):
+        seen = np.empty(0, np.uint64)
+        for batch in batches:
+            for part in slices(batch, 128):
+                found = words_in(part.column("_text"))
+                places, pairs = pairs_in(found)
+                every = np.concatenate([found.hashes, pairs])
+                at = np.concatenate([np.arange(len(found.hashes)), places])
+                hits = np.nonzero(is_marked(every, sent.value))[0]
+                new, first = np.unique(every[hits], return_index=True)
+                fresh = ~np.isin(new, seen)
+                new, first = new[fresh], hits[first[fresh]]
+                seen = new if len(seen) > NAMED_TERMS else np.concatenate([seen, new])
+                terms = [
+                    found.text(at[i]) if i < len(found.hashes)
+                    else f"{found.text(at[i])} {found.text(at[i] + 1)}"
+                    for i in first.tolist()
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(new.view(np.int64)), pa.array(terms, pa.string())],
+                    names=["hash", "term"],
+                )
+
+    named = _worded(documents, text).mapInArrow(name, "hash bigint, term string")
+    return named.groupBy("hash").agg(F.min("term").alias("term"))
+
+
+def _worded(documents: DataFrame, text: str) -> DataFrame:
+    return documents.select(worded(F.col(text)).alias("_text")).where("_text IS NOT NULL")
+
+
+def _lowest_total(counts: DataFrame, size: int) -> int:
+    """The largest total that ``size`` terms reach, from the number of terms per total; 0 if none.
+
+    Texts of n words have fewer than sqrt(4 n) different totals.
+    """
+    from_the_top = Window.orderBy(F.desc("total")).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
     )
+    per_total = counts.groupBy("total").agg(F.count("*").alias("_terms"))
+    reached = per_total.select("total", F.sum("_terms").over(from_the_top).alias("_reached"))
+    return reached.where(F.col("_reached") >= size).agg(F.max("total")).first()[0] or 0
+
+
+def gram_counts(
+    documents: DataFrame, text: str, size: int | None = None, min_documents: int = 1
+) -> DataFrame:
+    """Total and document counts of one- and two-word terms that are in enough documents.
+
+    With a ``size``, only the terms that reach the total of the ``size``-th are counted, ties with it
+    included. A pair is no more frequent than its words, so pairs are counted after words, and only
+    those of words that are frequent enough. Terms are told apart by 64-bit hashes, and named last.
+    """
+    enough = F.col("doc_freq") >= min_documents
+    singles = written(_gram_sums(documents, text, True).where(enough), "words")
+    frequent = None
+    if size is not None:
+        frequent = marks(singles.where(F.col("total") >= _lowest_total(singles, size)))
+    pairs = written(_gram_sums(documents, text, False, frequent).where(enough), "pairs")
+    chosen = singles.union(pairs)
+    if size is not None:
+        chosen = chosen.where(F.col("total") >= _lowest_total(chosen, size))
+    names = _gram_names(documents, text, marks(chosen))
+    return chosen.join(names, "hash").select("term", "total", "doc_freq")
 
 
 def gram_vocabulary(
@@ -92,24 +189,11 @@ def gram_vocabulary(
 ) -> DataFrame:
     """The most frequent terms among those that occur in enough documents; ties go by name.
 
-    Before anything is sorted, terms that are too rare to be among the first ``size`` are filtered
-    out. The lowest count that can be needed follows from the number of terms per count, so a task
-    never has to sort or merge the whole vocabulary.
+    Terms that are too rare to be among the first ``size`` are left out before anything is sorted, so
+    a task never has to sort or merge the whole vocabulary.
     """
-    counts = gram_counts(documents, text).where(F.col("doc_freq") >= min_documents)
-    counts = written(counts, "grams")
-    # Texts of n words have fewer than sqrt(4 n) different term counts.
-    from_the_top = Window.orderBy(F.desc("total")).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    per_total = counts.groupBy("total").agg(F.count("*").alias("_terms"))
-    reached = per_total.select("total", F.sum("_terms").over(from_the_top).alias("_reached"))
-    lowest = reached.where(F.col("_reached") >= size).agg(F.max("total")).scalar()
-    return (
-        counts.where(F.col("total") >= F.coalesce(lowest, F.lit(0)))
-        .orderBy(F.desc("total"), "term")
-        .limit(size)
-    )
+    counts = written(gram_counts(documents, text, size, min_documents), "grams")
+    return counts.orderBy(F.desc("total"), "term").limit(size)
 
 
 def category_index(reviews: DataFrame, column: str = "product_category") -> DataFrame:

@@ -119,3 +119,24 @@ def test_category_index_matches_the_indexer(spark):
     found = category_index(rows).orderBy("category_idx").collect()
     assert [r.product_category for r in found] == labels
     assert [r.category_idx for r in found] == list(range(5))
+
+
+ODD = ["b a b a c", None, "", "x_1 Étéİ ΣΣ d9,a b", "a-b ab cd ab cd", "\U0001d54f y ab cd\nab"]
+
+
+def test_gram_counts_leave_out_pairs_of_rare_words(spark):
+    common, rare = ["ab cd ef"] * 6, ["rr ss", "rr ss tt"]
+    rows = frame(spark, common + rare)
+    found = {r.term: (r.total, r.doc_freq) for r in gram_counts(rows, "t", 3, 1).collect()}
+    assert found == {g: (6, 6) for g in ["ab", "cd", "ef", "ab cd", "cd ef"]}
+    assert {r.term for r in gram_counts(rows, "t", None, 3).collect()} == set(found)
+
+
+def test_grams_of_odd_texts_are_those_of_the_columns(spark):
+    rows = spark.createDataFrame(list(enumerate(ODD)), "id int, t string")
+    every = rows.select(F.explode(one_and_two_grams(words(F.col("t")))).alias("term"))
+    totals = Counter(r.term for r in every.collect())
+    assert {r.term: r.total for r in gram_counts(rows, "t").collect()} == totals
+    for size in (1, 2, 4, len(totals), 99):
+        found = gram_vocabulary(rows, "t", size=size, min_documents=1).collect()
+        assert [r.term for r in found] == sorted(totals, key=lambda g: (-totals[g], g.encode()))[:size]
