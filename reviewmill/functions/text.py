@@ -37,6 +37,16 @@ def space_tokens(text: Column) -> Column:
     return F.when(only_space, F.array().cast("array<string>")).otherwise(F.split(trimmed, r"\s"))
 
 
+def tokens_of_lower(text: str) -> list[str]:
+    """What ``space_tokens`` finds, inside tasks, in a text that is in lower case already."""
+    trimmed = text.rstrip(WHITE_SPACE)
+    if text and not trimmed:
+        return []
+    for space in WHITE_SPACE[1:]:
+        trimmed = trimmed.replace(space, " ")
+    return trimmed.split(" ")
+
+
 def without_stop_words(tokens: Column) -> Column:
     return F.filter(tokens, lambda token: ~token.isin(STOP_WORDS))
 

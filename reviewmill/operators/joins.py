@@ -92,3 +92,17 @@ def hot_key_join(
     salts = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
     salted_lookup = salted.withColumn(SALT, F.explode(salts)).drop("_salts")
     return salted_facts.join(salted_lookup, [key, SALT], "left").drop(SALT)
+
+
+def frequent_key_join(facts: DataFrame, lookup: DataFrame, key: str, weight: str) -> DataFrame:
+    """Inner join with a lookup of every key that facts have; ``weight`` counts each key's facts.
+
+    The lookup rows of keys with more than ``HOT_SHARE`` of all facts, of which there are at most
+    1 / ``HOT_SHARE``, are sent around. Only the facts of the other keys are shuffled, none of which
+    is hot, so none needs salts. For lookups of few bytes a row.
+    """
+    lookup = written(lookup, "lookup")
+    share = F.col(weight) > lookup.agg(F.sum(weight).cast("double") * HOT_SHARE).scalar()
+    hot = F.broadcast(lookup.where(share))
+    rest = facts.join(hot.select(key), key, "left_anti")
+    return facts.join(hot, key).unionByName(rest.join(lookup.where(~share), key))

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reviewmill.functions.grams import counted, is_marked, marks, pairs_in, worded, words_in
-from reviewmill.functions.text import STOP_WORDS, space_tokens
+from reviewmill.functions.text import STOP_WORDS, tokens_of_lower
 from reviewmill.llm.common import slices
-from reviewmill.operators.joins import hot_key_join
+from reviewmill.operators.joins import frequent_key_join
 from reviewmill.operators.ordering import default_buckets
 from reviewmill.session import written
 
@@ -20,49 +23,120 @@ VOCABULARY_SIZE, MIN_DOCUMENTS = 50_000, 5
 HELD_HASHES, NAMED_TERMS = 2_000_000, 300_000
 
 
-def _kept(term: Column) -> Column:
-    return ~term.isin(STOP_WORDS)
+def _lowered(text: str) -> Column:
+    return F.lower(F.col(text)).alias("_text")
 
 
-def term_frequencies(documents: DataFrame, key: str, text: str) -> DataFrame:
-    """How often each term that is no stop word occurs in each document.
+def term_rows(documents: DataFrame, key: str, text: str) -> DataFrame:
+    """How often each term occurs (``tf``) in the rows of a key, and in how many (``doc_freq``).
 
-    A document's tokens are counted where the document is read; only one row per document and term
-    is shuffled.
+    Stop words are left out. Tokens are counted where the document is read. Only the counts of rows that share their key, or
+    have none, are shuffled to be added up.
     """
-    return (
-        documents.select(key, F.explode(space_tokens(F.col(text))).alias("term"))
-        .where(_kept(F.col("term")))
-        .groupBy(key, "term")
-        .agg(F.count("*").alias("tf"))
+    kind = documents.schema[key].dataType
+
+    def count(batches):
+        stop_words = frozenset(STOP_WORDS)
+        for batch in batches:
+            for part in slices(batch, 128):
+                terms, times, rows = [], [], []
+                for row, text in enumerate(part.column("_text").to_pylist()):
+                    found = Counter(tokens_of_lower(text))
+                    own = [term for term in found if term not in stop_words]
+                    terms += own
+                    times += map(found.__getitem__, own)
+                    rows.append(np.full(len(own), row))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0).take(pa.array(np.concatenate(rows))),
+                        pa.array(terms, pa.string()),
+                        pa.array(times, pa.int64()),
+                        pa.array(np.ones(len(terms), np.int64)),
+                    ],
+                    names=[key, "term", "tf", "doc_freq"],
+                )
+
+    def counted_rows(rows: DataFrame) -> DataFrame:
+        texts = rows.select(F.col(key), _lowered(text)).where("_text IS NOT NULL")
+        schema = T.StructType().add(key, kind).add("term", "string").add("tf", "long")
+        schema = schema.add("doc_freq", "long")
+        return texts.mapInArrow(count, schema)
+
+    repeated = written(
+        documents.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_rows"))
+        .where("_rows > 1").select("_key"),
+        "repeated-keys",
+    )
+    if repeated.isEmpty():
+        return counted_rows(documents)
+    same = F.col(key).eqNullSafe(F.col("_key"))
+    shared = counted_rows(documents.join(repeated, same, "left_semi"))
+    return counted_rows(documents.join(repeated, same, "left_anti")).union(
+        shared.groupBy(key, "term").agg(
+            F.sum("tf").alias("tf"), F.sum("doc_freq").alias("doc_freq")
+        )
     )
 
 
+def term_frequencies(documents: DataFrame, key: str, text: str) -> DataFrame:
+    """How often each term that is no stop word occurs in each document."""
+    return term_rows(documents, key, text).drop("doc_freq")
+
+
 def document_frequencies(documents: DataFrame, text: str) -> DataFrame:
     """In how many documents each term occurs; counted per task before the one shuffle by term."""
-    return (
-        documents.select(F.explode(F.array_distinct(space_tokens(F.col(text)))).alias("term"))
-        .where(_kept(F.col("term")))
-        .groupBy("term")
-        .agg(F.count("*").alias("doc_freq"))
-    )
+
+    def count(batches):
+        stop_words = frozenset(STOP_WORDS)
+        found: Counter = Counter()
+
+        def flushed():
+            terms = [term for term in found if term not in stop_words]
+            batch = pa.RecordBatch.from_arrays(
+                [pa.array(terms, pa.string()), pa.array(map(found.__getitem__, terms), pa.int64())],
+                names=["term", "doc_freq"],
+            )
+            found.clear()
+            return batch
+
+        for batch in batches:
+            for part in slices(batch, 128):
+                for text in part.column("_text").to_pylist():
+                    found.update(set(tokens_of_lower(text)))
+                if len(found) > NAMED_TERMS:
+                    yield flushed()
+        if found:
+            yield flushed()
+
+    texts = documents.select(_lowered(text)).where("_text IS NOT NULL")
+    partial = texts.mapInArrow(count, "term string, doc_freq bigint")
+    return partial.groupBy("term").agg(F.sum("doc_freq").alias("doc_freq"))
 
 
-def inverse_document_frequencies(documents: DataFrame, text: str) -> DataFrame:
-    """ln((documents + 1) / (document frequency + 1)) of each term."""
+def inverse_document_frequencies(
+    documents: DataFrame, text: str, frequencies: DataFrame | None = None
+) -> DataFrame:
+    """ln((documents + 1) / (document frequency + 1)) of each term; frequencies may be known."""
+    if frequencies is None:
+        frequencies = document_frequencies(documents, text)
     all_documents = documents.agg(F.count("*")).scalar()
     idf = F.log((all_documents + F.lit(1.0)) / (F.col("doc_freq") + F.lit(1.0)))
-    return document_frequencies(documents, text).withColumn("idf", idf)
+    return frequencies.withColumn("idf", idf)
 
 
 def tf_idf(documents: DataFrame, key: str, text: str) -> DataFrame:
-    """TF-IDF of each term in each document; terms that fill many documents are joined salted."""
-    weighted = hot_key_join(
-        term_frequencies(documents, key, text),
-        inverse_document_frequencies(documents, text),
+    """TF-IDF of each term in each document.
+
+    Texts are taken apart once and their terms written. Only those of rarer terms are shuffled to be
+    joined.
+    """
+    rows = written(term_rows(documents, key, text), "terms")
+    frequencies = rows.groupBy("term").agg(F.sum("doc_freq").alias("doc_freq"))
+    weighted = frequent_key_join(
+        rows.drop("doc_freq"),
+        inverse_document_frequencies(documents, text, frequencies),
         "term",
         "doc_freq",
-        key,
     )
     return weighted.select(key, "term", "tf", (F.col("tf") * F.col("idf")).alias("tfidf"))
 

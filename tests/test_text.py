@@ -140,3 +140,26 @@ def test_grams_of_odd_texts_are_those_of_the_columns(spark):
     for size in (1, 2, 4, len(totals), 99):
         found = gram_vocabulary(rows, "t", size=size, min_documents=1).collect()
         assert [r.term for r in found] == sorted(totals, key=lambda g: (-totals[g], g.encode()))[:size]
+
+
+def test_term_rows_of_repeated_and_missing_keys(spark):
+    texts = ["a b  red", "red", "red x", None, "\t", "x X ", "red"]
+    keys = [1, 1, 2, 3, 4, None, None]
+    rows = spark.createDataFrame(list(zip(keys, texts)), "id int, t string")
+    found = {(r.id, r.term): r.tf for r in term_frequencies(rows, "id", "t").collect()}
+    assert found == {(1, "b"): 1, (1, ""): 1, (1, "red"): 2, (2, "red"): 1, (2, "x"): 1,
+                     (None, "x"): 2, (None, "red"): 1}
+    idf = {r.term: (r.doc_freq, r.idf) for r in inverse_document_frequencies(rows, "t").collect()}
+    assert {t: n for t, (n, _) in idf.items()} == {"b": 1, "": 1, "red": 4, "x": 2}
+    weights = {(r.id, r.term): r.tfidf for r in tf_idf(rows, "id", "t").collect()}
+    assert weights == {k: tf * idf[k[1]][1] for k, tf in found.items()}
+
+
+def test_facts_of_frequent_keys_are_not_shuffled(spark, monkeypatch):
+    from reviewmill.operators import joins
+
+    monkeypatch.setattr(joins, "HOT_SHARE", 0.2)
+    facts = spark.createDataFrame([(i, "ab"[i > 6]) for i in range(8)] + [(9, None)], "id int, k string")
+    lookup = spark.createDataFrame([("a", 7, 1.0), ("b", 1, 2.0)], "k string, n long, v double")
+    joined = joins.frequent_key_join(facts, lookup, "k", "n")
+    assert sorted((r.id, r.v) for r in joined.collect()) == [(i, 1.0 + (i > 6)) for i in range(8)]
