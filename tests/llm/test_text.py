@@ -10,11 +10,12 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from conftest import MEDIUM
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from reviewmill.llm import url_reputation
+from reviewmill.llm import class_lm, url_reputation
 from reviewmill.llm.bpe import Encoder, bpe_decode, bpe_encode, decode, default_vocabulary
 from reviewmill.llm.class_lm import class_lm_scores
 from reviewmill.llm.html_text import extract_text, main_text
@@ -263,6 +264,66 @@ def test_language_model_counts_and_gain(spark):
     assert sum(r.score for r in held) > sum(r.base_score for r in held) + 0.1 * sum(r.n_tokens for r in held)
 
 
+def brute_scores(rows, classes, counts):
+    """Scores from given classes of all training words, straight from the definition."""
+    def tokens(text):
+        return [*text.split(), ""]
+
+    train = [t for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2]
+    matrix = np.zeros((66, 65))
+    for text in train:
+        last, was_once = 65, False
+        for word in tokens(text):
+            own, once = classes[word], counts[word] == 1
+            matrix[last, own] += 1
+            if once:
+                matrix[last, 64] += 1
+            if was_once:
+                matrix[64, own] += 1
+            if once and was_once:
+                matrix[64, 64] += 1
+            last, was_once = own, once
+    overall = (matrix.sum(axis=0) + 1) / (matrix.sum() + 65)
+    p = (matrix + 20 * overall) / (matrix.sum(axis=1, keepdims=True) + 20)
+    sizes = Counter()
+    for word, n in counts.items():
+        sizes[classes[word]] += n
+    once = sum(n == 1 for n in counts.values())
+    found = {}
+    for i, text in rows:
+        last, score = 65, 0.0
+        for word in tokens(text):
+            own = classes.get(word, 64)
+            inside = counts[word] / sizes[own] if word in classes else 1 / (once + 1)
+            score += math.log10(p[last, own] * inside)
+            last = own
+        found[i] = score
+    return found
+
+
+def test_language_model_scores_by_neighbours(spark, monkeypatch):
+    """The score is that of the classes chosen, with neighbouring tokens as contexts, rare ones too."""
+    rng, held = random.Random(5), {}
+    rows = [(i, " ".join(f"w{min(int(rng.expovariate(0.02)), 600)}" for _ in range(rng.randrange(40))))
+            for i in range(400)]
+    kept = class_lm.rare_words
+
+    def watched(tokens, words, rest):
+        held.update(zip(words[0].tolist(), words[2].tolist()))
+        held.update({r["hash"]: r["class"] for r in rest.collect()})
+        return kept(tokens, words, rest)
+
+    monkeypatch.setattr(class_lm, "rare_words", watched)
+    monkeypatch.setattr(class_lm, "HELD_LEAST", 12)
+    found = {r.doc_id: r.score for r in class_lm_scores(spark.createDataFrame(rows, DOCS)).collect()}
+    counts = Counter(w for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2 for w in [*t.split(), ""])
+    hashes = {w: int(np.uint64(xxhash.xxh3_64_intdigest(w.encode())).astype(np.int64)) for w in counts}
+    assert set(held) == set(hashes.values())
+    assert any(n == 1 for n in counts.values())
+    classes = {w: held[h] for w, h in hashes.items()}
+    assert found == pytest.approx(brute_scores(rows, classes, counts), rel=1e-9)
+
+
 def test_language_model_without_training_rows(spark):
     docs = spark.createDataFrame([(i, "a b") for i in range(60)], DOCS)
     only = docs.where("crc32(cast(doc_id as string)) % 7 = 2")
