@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewmill.functions.text import MIN_WORD_LENGTH, WORD_BREAK
+from reviewmill.llm.common import numbers_in
 from reviewmill.llm.shingles import STEP, mixed
 
 # Bytes of words: digits, letters, underscore, and all of characters that take several bytes.
@@ -74,6 +75,24 @@ def words_in(texts: pa.Array) -> Words:
     return Words(data, starts, hashes[kept], np.searchsorted(ends, starts, side="right") - 1)
 
 
+def hashed_words(column: pa.Array) -> Words:
+    """Words of which only the hashes are left, from a binary column with those of each row."""
+    hashes, starts = numbers_in(column)
+    rows = np.repeat(np.arange(len(starts)), np.diff(starts, append=len(hashes)))
+    return Words(np.empty(0, np.uint8), np.empty(0, np.int64), hashes.view(np.uint64), rows)
+
+
+def term_hashes(terms: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of terms of one or two words, and the place of each in the list."""
+    found = words_in(pa.array(terms, pa.string()))
+    places, pairs = pairs_in(found)
+    one = np.bincount(found.rows, minlength=len(terms))[found.rows] == 1
+    hashes = np.concatenate([found.hashes[one], pairs])
+    rows = np.concatenate([found.rows[one], found.rows[places]])
+    order = np.argsort(hashes)
+    return hashes[order], rows[order]
+
+
 def pairs_in(words: Words) -> tuple[np.ndarray, np.ndarray]:
     """Places of the words that have another one behind them, and the hashes of the two."""
     places = np.nonzero(words.rows[:-1] == words.rows[1:])[0]

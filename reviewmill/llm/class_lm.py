@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewmill.llm.common import row_key, slices, table, text_of
+from reviewmill.llm.common import number_rows, numbers_in, row_key, slices, table, text_of
 from reviewmill.llm.shingles import WordHashes, words_of
 from reviewmill.session import written
 
@@ -65,10 +65,7 @@ def token_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     every.append(END_WORD)
                     ends.append(len(every))
                 values = np.fromiter(map(hashes.__getitem__, every), np.uint64, count=len(every))
-                tokens = pa.Array.from_buffers(
-                    pa.binary(), part.num_rows,
-                    [None, pa.py_buffer(np.array(ends, np.int32) * 8), pa.py_buffer(values)],
-                )
+                tokens = number_rows(values, np.array(ends))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(c) for c in ("_row", "_id", "held_out")] + [tokens],
                     names=["_row", "_id", "held_out", "tokens"],
@@ -83,14 +80,6 @@ def token_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return written(rows, "lm-tokens", compression="zstd")
 
 
-def numbers_in(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The numbers of all rows of a binary column, and the place of each row's first one."""
-    column = column.cast(pa.large_binary())
-    ends = np.frombuffer(column.buffers()[1], np.int64)[column.offset :][: len(column) + 1]
-    data = np.frombuffer(column.buffers()[2], np.uint8)[ends[0] : ends[-1]]
-    return data.view(np.int64), (ends[:-1] - ends[0]) // 8
-
-
 def tokens_in(batches):
     """Slices of rows with all their tokens in order, and the place of each row's first one."""
     for batch in batches:
@@ -399,12 +388,8 @@ def rare_words(tokens: DataFrame, words: tuple, rest: DataFrame) -> DataFrame:
             near = ahead < 0
             ahead[near] = own[np.nonzero(near)[0] - 1]
             items = (((word // STEP * 2 + near) * STEP + ahead) * STEP + own) * STEP + after
-            ends = np.append(starts, len(row)).astype(np.int32) * 8
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(row[starts]), pa.Array.from_buffers(
-                    pa.binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(items)])],
-                names=["_row", "rare"],
-            )
+            rare = number_rows(items, np.append(starts, len(row)))
+            yield pa.RecordBatch.from_arrays([pa.array(row[starts]), rare], names=["_row", "rare"])
 
     found = tokens.select("_row", "tokens").mapInArrow(find, "_row bigint, hash bigint, at bigint")
     known = rest.select("hash", (F.col("n") * STEP + F.col("class")).alias("word"))

@@ -60,6 +60,20 @@ def slices(batch: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
         yield batch.slice(start, rows)
 
 
+def number_rows(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """A binary column with the 64-bit numbers of each row, from one row's end to the next."""
+    buffers = [None, pa.py_buffer(ends.astype(np.int32) * 8), pa.py_buffer(values)]
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, buffers)
+
+
+def numbers_in(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all rows of a binary column, and the place of each row's first one."""
+    column = column.cast(pa.large_binary())
+    ends = np.frombuffer(column.buffers()[1], np.int64)[column.offset :][: len(column) + 1]
+    data = np.frombuffer(column.buffers()[2], np.uint8)[ends[0] : ends[-1]]
+    return data.view(np.int64), (ends[:-1] - ends[0]) // 8
+
+
 def mark_place() -> Column:
     """The bit of a row with the columns ``_id`` and ``_th``."""
     return F.pmod(F.xxhash64("_id", "_th"), F.lit(MARK_BITS))

@@ -6,13 +6,23 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reviewmill.functions.grams import counted, is_marked, marks, pairs_in, worded, words_in
+from reviewmill.functions.grams import (
+    counted,
+    hashed_words,
+    is_marked,
+    marks,
+    pairs_in,
+    term_hashes,
+    worded,
+    words_in,
+)
 from reviewmill.functions.text import STOP_WORDS, tokens_of_lower
-from reviewmill.llm.common import slices
+from reviewmill.llm.common import number_rows, slices
 from reviewmill.operators.joins import frequent_key_join
 from reviewmill.operators.ordering import default_buckets
 from reviewmill.session import written
@@ -141,14 +151,66 @@ def tf_idf(documents: DataFrame, key: str, text: str) -> DataFrame:
     return weighted.select(key, "term", "tf", (F.col("tf") * F.col("idf")).alias("tfidf"))
 
 
-def _gram_sums(
-    documents: DataFrame, text: str, words: bool, marked: np.ndarray | None = None
-) -> DataFrame:
+def word_hashes(documents: DataFrame, text: str, *keep: str) -> DataFrame:
+    """The hashes of each text's words in order (``_words``, one binary value), and columns to keep."""
+
+    def take_apart(batches):
+        for batch in batches:
+            for part in slices(batch, 128):
+                found = words_in(part.column("_text"))
+                ends = np.searchsorted(found.rows, np.arange(part.num_rows + 1))
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[:-1], number_rows(found.hashes, ends)],
+                    names=[*keep, "_words"],
+                )
+
+    texts = documents.select(*keep, F.coalesce(worded(F.col(text)), F.lit("")).alias("_text"))
+    schema = T.StructType([documents.schema[name] for name in keep]).add("_words", "binary")
+    return texts.mapInArrow(take_apart, schema)
+
+
+def term_counts(apart: DataFrame, vocabulary: list[str], *keep: str) -> DataFrame:
+    """Sparse vectors (``counts``) of how often each term of a vocabulary is in ``word_hashes``."""
+    sent = apart.sparkSession.sparkContext.broadcast(term_hashes(vocabulary))
+    size = len(vocabulary)
+
+    def count(batches):
+        hashes, places = sent.value
+        for batch in batches:
+            for part in slices(batch, 128):
+                found = hashed_words(part.column("_words"))
+                at, pairs = pairs_in(found)
+                every = np.concatenate([found.hashes, pairs])
+                rows = np.concatenate([found.rows, found.rows[at]])
+                near = np.minimum(np.searchsorted(hashes, every), max(len(hashes) - 1, 0))
+                hit = hashes[near] == every if len(hashes) else np.zeros(len(every), bool)
+                keys, n = np.unique(rows[hit] * size + places[near[hit]], return_counts=True)
+                ends = pa.array(
+                    np.searchsorted(keys, np.arange(part.num_rows + 1) * size).astype(np.int32)
+                )
+                counts = pa.StructArray.from_arrays(
+                    [
+                        pa.array(np.zeros(part.num_rows, np.int8)),
+                        pa.array(np.full(part.num_rows, size, np.int32)),
+                        pa.ListArray.from_arrays(ends, pa.array((keys % size).astype(np.int32))),
+                        pa.ListArray.from_arrays(ends, pa.array(n.astype(np.float64))),
+                    ],
+                    names=["type", "size", "indices", "values"],
+                )
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[:-1], counts], names=[*keep, "counts"]
+                )
+
+    schema = T.StructType([apart.schema[name] for name in keep]).add("counts", VectorUDT())
+    return apart.select(*keep, "_words").mapInArrow(count, schema)
+
+
+def _gram_sums(apart: DataFrame, words: bool, marked: np.ndarray | None = None) -> DataFrame:
     """Total and document counts of words, or of pairs of neighbouring marked words, by hash.
 
     Tasks add up the hashes of many texts before the shuffle, which so carries numbers only.
     """
-    sent = documents.sparkSession.sparkContext.broadcast(marked)
+    sent = apart.sparkSession.sparkContext.broadcast(marked)
 
     def count(batches):
         keys, rows, held, row = [], [], 0, 0
@@ -162,7 +224,7 @@ def _gram_sums(
 
         for batch in batches:
             for part in slices(batch, 128):
-                found = words_in(part.column("_text"))
+                found = hashed_words(part.column("_words"))
                 own, places = found.hashes, slice(None)
                 if not words:
                     places, own = pairs_in(found)
@@ -179,7 +241,7 @@ def _gram_sums(
         if held:
             yield flushed()
 
-    partial = _worded(documents, text).mapInArrow(count, "hash bigint, total bigint, doc_freq bigint")
+    partial = apart.select("_words").mapInArrow(count, "hash bigint, total bigint, doc_freq bigint")
     return partial.groupBy("hash").agg(
         F.sum("total").alias("total"), F.sum("doc_freq").alias("doc_freq")
     )
@@ -212,14 +274,11 @@ def _gram_names(documents: DataFrame, text: str, marked: np.ndarray) -> DataFram
                     names=["hash", "term"],
                 )
 
-    named = _worded(documents, text).mapInArrow(name, "hash bigint, term string")
+    texts = documents.select(worded(F.col(text)).alias("_text")).where("_text IS NOT NULL")
+    named = texts.mapInArrow(name, "hash bigint, term string")
     return named.groupBy("hash").agg(F.min("term").alias("term"))
 
 
-def _worded(documents: DataFrame, text: str) -> DataFrame:
-    return documents.select(worded(F.col(text)).alias("_text")).where("_text IS NOT NULL")
-
-
 def _lowest_total(counts: DataFrame, size: int) -> int:
     """The largest total that ``size`` terms reach, from the number of terms per total; 0 if none.
 
@@ -234,20 +293,24 @@ def _lowest_total(counts: DataFrame, size: int) -> int:
 
 
 def gram_counts(
-    documents: DataFrame, text: str, size: int | None = None, min_documents: int = 1
+    documents: DataFrame, text: str, size: int | None = None, min_documents: int = 1,
+    apart: DataFrame | None = None,
 ) -> DataFrame:
     """Total and document counts of one- and two-word terms that are in enough documents.
 
     With a ``size``, only the terms that reach the total of the ``size``-th are counted, ties with it
     included. A pair is no more frequent than its words, so pairs are counted after words, and only
     those of words that are frequent enough. Terms are told apart by 64-bit hashes, and named last.
+    Texts are taken apart once; ``apart`` is their written ``word_hashes``, if a caller has them.
     """
+    if apart is None:
+        apart = written(word_hashes(documents, text), "word-hashes")
     enough = F.col("doc_freq") >= min_documents
-    singles = written(_gram_sums(documents, text, True).where(enough), "words")
+    singles = written(_gram_sums(apart, True).where(enough), "words")
     frequent = None
     if size is not None:
         frequent = marks(singles.where(F.col("total") >= _lowest_total(singles, size)))
-    pairs = written(_gram_sums(documents, text, False, frequent).where(enough), "pairs")
+    pairs = written(_gram_sums(apart, False, frequent).where(enough), "pairs")
     chosen = singles.union(pairs)
     if size is not None:
         chosen = chosen.where(F.col("total") >= _lowest_total(chosen, size))
@@ -260,13 +323,14 @@ def gram_vocabulary(
     text: str,
     size: int = VOCABULARY_SIZE,
     min_documents: int = MIN_DOCUMENTS,
+    apart: DataFrame | None = None,
 ) -> DataFrame:
     """The most frequent terms among those that occur in enough documents; ties go by name.
 
     Terms that are too rare to be among the first ``size`` are left out before anything is sorted, so
     a task never has to sort or merge the whole vocabulary.
     """
-    counts = written(gram_counts(documents, text, size, min_documents), "grams")
+    counts = written(gram_counts(documents, text, size, min_documents, apart), "grams")
     return counts.orderBy(F.desc("total"), "term").limit(size)
 
 

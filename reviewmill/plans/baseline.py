@@ -11,7 +11,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewmill.functions.text import one_and_two_grams, words
-from reviewmill.operators.terms import MIN_DOCUMENTS, VOCABULARY_SIZE, gram_vocabulary
+from reviewmill.operators.terms import (
+    MIN_DOCUMENTS,
+    VOCABULARY_SIZE,
+    gram_vocabulary,
+    term_counts,
+    word_hashes,
+)
 
 # Iterations of the solver and the strength of its penalty on the summed loss.
 ITERATIONS = 200
@@ -38,13 +44,15 @@ def fit_baseline(
     scaled to length one. The penalty applies to the sum of the losses, while Spark's applies to
     their mean, hence the division by the number of rows. The vocabulary is counted by the operator
     that does so for any table; at most ``vocabulary_size`` terms come to the driver, and only the
-    sparse counts are kept while the model is fitted.
+    sparse counts are kept while the model is fitted. Texts are taken apart once, into word hashes that
+    serve the vocabulary and the counts, which are those that the model's first stage makes.
     """
-    terms = gram_vocabulary(train, "review_text", vocabulary_size, min_documents).collect()
-    counter = CountVectorizerModel.from_vocabulary(
-        [row.term for row in terms] or [NO_TERM], inputCol="grams", outputCol="counts"
-    )
-    counts = counter.transform(with_grams(train)).select("label", "counts")
+    # Cached and not written, so that the solver sums rows in the order of the scan.
+    apart = word_hashes(train, "review_text", "label").persist(StorageLevel.MEMORY_AND_DISK)
+    found = gram_vocabulary(train, "review_text", vocabulary_size, min_documents, apart).collect()
+    terms = [row.term for row in found] or [NO_TERM]
+    counter = CountVectorizerModel.from_vocabulary(terms, inputCol="grams", outputCol="counts")
+    counts = term_counts(apart, terms, "label")
     counts.persist(StorageLevel.MEMORY_AND_DISK)
     idf = IDF(inputCol="counts", outputCol="idf").fit(counts)
     weights = Vectors.dense(idf.idf.toArray() + 1.0)
@@ -58,10 +66,14 @@ def fit_baseline(
     )
     model = logreg.fit(scale.transform(weigh.transform(counts)).select("label", "features"))
     counts.unpersist()
+    apart.unpersist()
     return PipelineModel([counter, weigh, scale, model])
 
 
 def score_baseline(model: PipelineModel, rows: DataFrame) -> DataFrame:
-    return model.transform(with_grams(rows)).select(
+    counter, *stages = model.stages
+    apart = word_hashes(rows, "review_text", "review_id", "label")
+    counts = term_counts(apart, counter.vocabulary, "review_id", "label")
+    return PipelineModel(stages).transform(counts).select(
         "review_id", "label", "prediction", "probability", "rawPrediction"
     )

@@ -14,7 +14,8 @@ from reviewmill.catalog import model_queries
 from reviewmill.catalog.common import features, valid
 from reviewmill.plans import dashboards as export
 from reviewmill.plans import training
-from reviewmill.plans.baseline import fit_baseline, with_grams
+from reviewmill.operators.terms import term_counts, word_hashes
+from reviewmill.plans.baseline import fit_baseline, score_baseline, with_grams
 from reviewmill.plans.evaluation import run_evaluation
 from reviewmill.plans.scaling import fit_light, run_scaling
 from reviewmill.plans.train_job import TrainingTarget, run_training
@@ -192,6 +193,23 @@ def test_baseline_weights_and_penalty_match_the_formula(spark):
     assert residual.sum() == pytest.approx(0.0, abs=1e-3)
 
 
+def test_baseline_counts_from_hashes_are_those_of_the_first_stage(spark):
+    """Fit and scores take texts apart once; their vectors are what CountVectorizerModel makes."""
+    texts = ["b a b a c", "", "x_1 \u00c9t\u00e9\u0130 \u03a3\u03a3 d9,ab cd", "a-b ab cd ab cd", "\U0001d54f y ab cd\nab", "zz"]
+    rows = spark.createDataFrame(
+        [(str(i), t, float(i % 2)) for i, t in enumerate(texts)], "review_id string, review_text string, label double"
+    )
+    model = fit_baseline(rows, min_documents=1, iterations=3)
+    expected = {r.review_id: r for r in model.transform(with_grams(rows)).collect()}
+    apart = word_hashes(rows, "review_text", "review_id")
+    found = {r.review_id: r.counts for r in term_counts(apart, model.stages[0].vocabulary, "review_id").collect()}
+    assert found == {i: r.counts for i, r in expected.items()}
+    assert any(v.numNonzeros() for v in found.values())
+    assert not found["1"].numNonzeros()
+    scores = {r.review_id: r for r in score_baseline(model, rows).collect()}
+    assert {i: r.probability for i, r in scores.items()} == {i: r.probability for i, r in expected.items()}
+
+
 def test_dashboard_export(spark, job, tmp_path):
     path, target, _ = job
     scaling = run_scaling(valid(spark, SMALL), partitions=[2], base_fraction=0.5)
