@@ -35,7 +35,7 @@ UNSEEN, START = CLASSES, CLASSES + 1
 # Weight of the overall class frequencies in the class probabilities after a context.
 SMOOTHING = 20.0
 FOLDS, HELD_OUT = 7, 2
-COUNTED_TOKENS = 2_000_000
+COUNTED_TOKENS = 1_000_000
 # No word is empty, so the empty one can stand for the end of a text.
 END_WORD = b""
 END = int(np.uint64(xxhash.xxh3_64_intdigest(END_WORD)).astype(np.int64))
@@ -132,7 +132,8 @@ def word_counts(tokens: DataFrame) -> DataFrame:
             )
 
         for _, own, _ in tokens_in(batches):
-            keys.append(own)
+            # A copy, so that the whole batch need not be held.
+            keys.append(own.copy())
             held += len(own)
             if held > COUNTED_TOKENS:
                 yield flushed()

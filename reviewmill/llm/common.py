@@ -68,8 +68,9 @@ def number_rows(values: np.ndarray, ends: np.ndarray) -> pa.Array:
 
 def numbers_in(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The numbers of all rows of a binary column, and the place of each row's first one."""
-    column = column.cast(pa.large_binary())
-    ends = np.frombuffer(column.buffers()[1], np.int64)[column.offset :][: len(column) + 1]
+    width = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+    ends = np.frombuffer(column.buffers()[1], width)[column.offset :][: len(column) + 1]
+    ends = ends.astype(np.int64)
     data = np.frombuffer(column.buffers()[2], np.uint8)[ends[0] : ends[-1]]
     return data.view(np.int64), (ends[:-1] - ends[0]) // 8
 
