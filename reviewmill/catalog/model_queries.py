@@ -44,9 +44,8 @@ from reviewmill.sinks.tables import write_table
 from reviewmill.sources.tables import read_predictions
 
 PROFILE = whole_table(FAST)
-# Models of the search are fitted on at most this many rows; all newer rows are scored.
-MAX_TRAIN_ROWS = 1_500
-SEARCH = grid_search(MAX_TRAIN_ROWS)
+# Models of the search are fitted on every training row; all newer rows are scored.
+SEARCH = grid_search()
 
 
 def hashing_tf(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,8 +6,8 @@ from dataclasses import replace
 import numpy as np
 import pytest
 from conftest import SMALL
-from pyspark.ml import PipelineModel
-from pyspark.ml.feature import HashingTF
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import HashingTF, IDFModel
 from pyspark.sql import functions as F
 
 from reviewmill.catalog import model_queries
@@ -27,6 +27,8 @@ from reviewmill.plans.training import (
     classifier,
     cross_validate,
     fast,
+    fit_families,
+    fitted_stages,
     scored,
     stored_predictions,
     text_stages,
@@ -135,6 +137,49 @@ def test_bounded_training_rows_are_drawn_by_key(spark):
     assert {r.label for r in one} == set(every)
 
 
+def numbered_rows(spark, count):
+    """Reviews with ids, times and words by their numbers; there are few different words."""
+    texts = "concat('word', id % 7, ' w', id, IF(id % 3 = 0, ' good', ' bad')) AS review_text"
+    return spark.range(count).selectExpr(
+        "concat('r', id) AS review_id", "CAST(id % 2 AS DOUBLE) AS label", "id AS unix_time",
+        "concat('c', id % 3) AS product_category", "2 AS category_name_len", texts,
+    )
+
+
+def test_the_search_fits_on_every_training_row(spark):
+    """More rows than any bound of the past: weights of terms and models come from all of them."""
+    rows = numbered_rows(spark, 3_000)
+    small = replace(
+        model_queries.SEARCH, hash_buckets=64, folds=2, logreg_iterations=2, logreg_reg=(0.1,),
+        logreg_elastic=(0.0,),
+    )
+    run = fit_families(rows, small, ["logreg"])
+    documents = [s.numDocs for s in run.models[0].pipeline.stages if isinstance(s, IDFModel)]
+    assert documents == [run.rows.count()] == [2_100]
+    assert run.models[0].pipeline.stages[-1].summary.predictions.count() == 2_100
+    assert run.models[0].predictions.count() == 450
+    run.release()
+
+
+def test_folds_are_judged_by_every_score(spark):
+    """A fold's AUC is that of all its scores, also where they are more than an evaluator's 1,000 bins."""
+    profile = replace(TINY, hash_buckets=512, folds=2, logreg_reg=(0.01,), logreg_iterations=5)
+    rows = training_rows(numbered_rows(spark, 6_000), profile).cache()
+    aucs, _ = cross_validate(rows, ["logreg"], profile)
+    exact = []
+    for fold in range(2):
+        kept, held = rows.where(F.col("fold") != fold), rows.where(F.col("fold") == fold)
+        estimator, [point] = classifier("logreg", profile)
+        learned = Pipeline(stages=fitted_stages()).fit(kept)
+        model = estimator.fit(learned.transform(kept).select("label", "features"), point)
+        found = scored(model.transform(learned.transform(held))).toPandas()
+        assert found.score.nunique() > 1_000
+        ranks, positive = found.score.rank(), found.label == 1.0
+        wins = ranks[positive].sum() - positive.sum() * (positive.sum() + 1) / 2
+        exact.append(wins / (positive.sum() * (~positive).sum()))
+    assert aucs["logreg"] == pytest.approx([sum(exact) / 2], abs=1e-9)
+
+
 def test_partitions_of_a_fit_grow_with_its_rows(spark, monkeypatch):
     """Few rows get few partitions; what a task holds of many is bounded, whatever the cores."""
     assert training.fit_partitions(1_500, 12, 2**12) == 2
