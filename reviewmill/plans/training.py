@@ -105,7 +105,7 @@ def grid_search(profile: Profile = FULL) -> Profile:
     """The grids, folds and model sizes of a profile over a whole table: every training row is fitted.
 
     Terms are hashed into as few buckets as in a fast run: a solver's step sends a coefficient per
-    bucket around, and a forest keeps at least a byte for every row and bucket.
+    bucket around, and a forest keeps four bytes for every row and bucket.
     """
     return replace(
         profile, sample_fraction=1.0, max_train_rows=0, hash_buckets=FAST.hash_buckets
